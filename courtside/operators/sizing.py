@@ -1,0 +1,23 @@
+"""Proven size bounds before a broadcast.
+
+A side is broadcast only after a bounded count shows it has at most
+``max_rows`` rows; ``limit(max_rows + 1).count()`` stops reading as soon as
+the bound is exceeded, so the check is cheap even on a large table.
+Otherwise the join is left to the planner (sort-merge, with AQE turning it
+into a broadcast or splitting skewed partitions at run time).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
