@@ -50,8 +50,10 @@ def scalable_rank(df: DataFrame, value_col: str, partition_cols: Sequence[str] =
     w_in = Window.partitionBy(*parts, "__b").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     hist = hist.withColumn("__before", F.coalesce(F.sum("__n").over(w_in), F.lit(0)))
 
-    ranked = (hist.join(totals, on=parts + ["__b"], how="inner")
-                  .select(*parts, v.alias("__v"),
+    t = totals.select(*[F.col(p).alias(f"__t_{p}") for p in parts], F.col("__b").alias("__t_b"), "__off")
+    on = [hist["__b"] == t["__t_b"]] + [hist[p].eqNullSafe(t[f"__t_{p}"]) for p in parts]
+    ranked = (hist.join(t, on=on, how="inner")
+                  .select(*[hist[p] for p in parts], v.alias("__v"),
                           (F.lit(1) + F.col("__off") + F.col("__before")).cast("int").alias(out)))
     cond = [df[value_col].eqNullSafe(ranked["__v"])]
     cond += [df[p].eqNullSafe(ranked[p]) for p in parts]
