@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def scalable_rank(df: DataFrame, value_col: str, partition_cols: Sequence[str] = (),
-                  descending: bool = True, nulls_first: bool = True, out: str = "rank",
-                  buckets: int = 64, accuracy: int = 10000) -> DataFrame:
-    """Add ``out`` = rank() over (partition by partition_cols order by value_col)."""
+def value_rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str] = (),
+                     descending: bool = True, nulls_first: bool = True, out: str = "rank",
+                     buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+    """One row per distinct (partition, value): ``__v`` and its rank ``out``."""
     parts = list(partition_cols)
     v = F.col(value_col)
     hist = df.groupBy(*parts, value_col).agg(F.count(F.lit(1)).alias("__n"))
@@ -52,18 +52,32 @@ def scalable_rank(df: DataFrame, value_col: str, partition_cols: Sequence[str] =
 
     t = totals.select(*[F.col(p).alias(f"__t_{p}") for p in parts], F.col("__b").alias("__t_b"), "__off")
     on = [hist["__b"] == t["__t_b"]] + [hist[p].eqNullSafe(t[f"__t_{p}"]) for p in parts]
-    ranked = (hist.join(t, on=on, how="inner")
-                  .select(*[hist[p] for p in parts], v.alias("__v"),
-                          (F.lit(1) + F.col("__off") + F.col("__before")).cast("int").alias(out)))
+    return (hist.join(t, on=on, how="inner")
+                .select(*[hist[p] for p in parts], v.alias("__v"),
+                        (F.lit(1) + F.col("__off") + F.col("__before")).cast("int").alias(out)))
+
+
+def scalable_rank(df: DataFrame, value_col: str, partition_cols: Sequence[str] = (),
+                  descending: bool = True, nulls_first: bool = True, out: str = "rank",
+                  buckets: int = 64, accuracy: int = 10000, source: DataFrame | None = None) -> DataFrame:
+    """Add ``out`` = rank() over (partition by partition_cols order by value_col).
+
+    ``source`` (default ``df``) is where the value histogram is computed; pass a
+    materialised frame when several ranks are added one after another, so each
+    rank does not re-derive the previous ones.
+    """
+    parts = list(partition_cols)
+    ranked = value_rank_table(source if source is not None else df, value_col, parts, descending,
+                              nulls_first, out, buckets, accuracy)
     cond = [df[value_col].eqNullSafe(ranked["__v"])]
     cond += [df[p].eqNullSafe(ranked[p]) for p in parts]
     return df.join(ranked, on=cond, how="inner").select(df["*"], ranked[out])
 
 
 def global_rank(df: DataFrame, value_col: str, descending: bool = True, nulls_first: bool = True,
-                out: str = "rank", buckets: int = 64) -> DataFrame:
+                out: str = "rank", buckets: int = 64, source: DataFrame | None = None) -> DataFrame:
     """Rank over the whole table without a single-partition sort."""
-    return scalable_rank(df, value_col, (), descending, nulls_first, out, buckets)
+    return scalable_rank(df, value_col, (), descending, nulls_first, out, buckets, source=source)
 
 
 def rank_within(df: DataFrame, partition_cols: Sequence[str], value_col: str, descending: bool = True,

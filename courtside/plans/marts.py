@@ -50,10 +50,13 @@ def player_mart(dim_players: DataFrame, fact: DataFrame, season: str, recent_ord
         F.col("rt_fg_made_pct").alias("recent_10_fg_pct"))
 
     base = dim_players.select(*basic_cols)
-    mart = base.join(stats, on=key, how="left")
-    mart = global_rank(mart, "current_season_avg_points", out="season_pts_rank")
-    mart = global_rank(mart, "current_season_avg_assists", out="season_ast_rank")
-    mart = global_rank(mart, "current_season_avg_reb", out="season_reb_rank")
+    # One row per player: materialised once in the shared checkpoint folder, so
+    # the three ranks read it instead of re-deriving the statistics.
+    mart = base.join(stats, on=key, how="left").checkpoint(eager=True)
+    src = mart
+    mart = global_rank(mart, "current_season_avg_points", out="season_pts_rank", source=src)
+    mart = global_rank(mart, "current_season_avg_assists", out="season_ast_rank", source=src)
+    mart = global_rank(mart, "current_season_avg_reb", out="season_reb_rank", source=src)
     stat_cols = [c for c in stats.columns if c != key]
     return mart.select(*basic_cols, "season_pts_rank", "season_ast_rank", "season_reb_rank", *stat_cols)
 
@@ -96,7 +99,7 @@ def team_mart(dim_teams: DataFrame, conference_lookup: DataFrame, fact_team_game
         win_pct("rt_").alias("recent_10_games_win_pct"),
         F.col("rt_avg_team_point").alias("recent_10_games_avg_team_point"))
 
-    mart = base.join(stats, on=key, how="left")
+    mart = base.join(stats, on=key, how="left").checkpoint(eager=True)
     mart = rank_within(mart, ["conference"], "current_season_win_pct", out="conference_rank")
     front = [c for c in stats.columns if c != key]
     i = front.index("current_season_win_pct") + 1
