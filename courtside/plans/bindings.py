@@ -141,3 +141,29 @@ def conference_lookup(spark: SparkSession, root: str) -> DataFrame:
 
 
 TEAM_COLS = ("team_id", "team_name", "abbreviation")
+
+
+# Box-score feed derived from lineitem: two load batches that overlap in ship year.
+FEED_BATCHES = (("1900-01-01", "1998-01-01", "2024-03-01 10:00:00", 0),
+                ("1997-01-01", "9999-12-31", "2024-03-02 10:00:00", 1))
+
+
+def box_score_feed_records(spark: SparkSession, root: str, lo: str, hi: str, bump: int) -> DataFrame:
+    """Landing records (as the producer writes them) for line items shipped in [lo, hi).
+
+    game_id is the order key as ten-digit text; the fetch time is the ship date
+    plus the supplier key in seconds; ``bump`` is added to the points of a later
+    re-fetch so replaced rows are visible.
+    """
+    li = read_table(spark, root, "lineitem").filter(
+        (F.col("l_shipdate") >= F.lit(lo).cast("timestamp_ntz")) & (F.col("l_shipdate") < F.lit(hi).cast("timestamp_ntz")))
+    fetched = F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("l_suppkey").cast("decimal(18,6)"))
+    return li.select(
+        F.lpad(F.col("l_orderkey").cast("string"), 10, "0").alias("game_id"),
+        F.col("l_partkey").alias("player_id"), F.col("l_suppkey").alias("team_id"),
+        F.when(F.col("l_returnflag") == "R", F.lit("INACTIVE")).otherwise(F.lit("ACTIVE")).alias("status"),
+        F.when(F.col("l_linenumber") == 2, F.lit("")).otherwise(F.lit("12:00")).alias("minutes"),
+        (F.col("l_quantity").cast("bigint") + F.lit(bump)).alias("points"),
+        F.col("l_linenumber").alias("assists"),
+        F.date_format(fetched, "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"),
+        F.date_format("l_shipdate", "yyyyMMdd").alias("date"))

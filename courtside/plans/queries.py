@@ -518,3 +518,32 @@ REGISTRY.update({
     "quality_assertion": q_quality_assertion,
     "quality_freshness": q_quality_freshness,
 })
+
+
+# ---------------------------------------------------------------------------
+# The reference's bronze model over a feed that Spark derives from lineitem
+# ---------------------------------------------------------------------------
+from courtside.plans.feeds import BOX_SCORES  # noqa: E402
+from courtside.plans.models import bronze  # noqa: E402
+
+
+def q_bronze_box_scores(spark: SparkSession, root: str) -> DataFrame:
+    """M1 twice: load 1 lands every line item shipped before 1998, load 2 those
+    shipped from 1997 on (re-fetched, points + 1). RAW rows are JSON array
+    documents; the second run reads only rows newer than the bronze watermark,
+    flattens, types, keys, keeps the newest row per key and upserts."""
+    raws = []
+    for lo, hi, loaded, bump in B.FEED_BATCHES:
+        recs = B.box_score_feed_records(spark, root, lo, hi, bump)
+        files = pack_json_arrays(recs, "date", "box_scores", max_records=5000)
+        raws.append(parse_raw(files, "raw_text", "raw_json").select(
+            "raw_json", "file_name", F.lit(loaded).cast("timestamp_ntz").alias("inserted_at")))
+    raw = raws[0].unionByName(raws[1])
+    first = bronze(raw.filter(F.col("inserted_at") == F.lit(B.FEED_BATCHES[0][2]).cast("timestamp_ntz")), None,
+                   BOX_SCORES).checkpoint(eager=True)
+    second = bronze(raw, first, BOX_SCORES)
+    return second.select("box_score_id", "game_id", "player_id", "team_id", "status", "minutes_played", "points",
+                         "assists", "loaded_at_utc", "api_fetched_at")
+
+
+REGISTRY["bronze_box_scores"] = q_bronze_box_scores
