@@ -60,11 +60,15 @@ def bronze(raw: DataFrame, target: DataFrame | None, spec: FeedSpec, tolerant: b
     newest row per unique key, so the upsert is deterministic; then rows
     replace target rows with the same key.
     """
+    return upsert(target, bronze_batch(raw, target, spec, tolerant), [spec.key_name])
+
+
+def bronze_batch(raw: DataFrame, target: DataFrame | None, spec: FeedSpec, tolerant: bool = False) -> DataFrame:
+    """The rows one load adds or replaces (watermark, flatten, type, dedup)."""
     batch = bronze_rows(new_rows(raw, target, "inserted_at", "loaded_at_utc"), spec, tolerant)
     if spec.entity:
         batch = latest_per_key(batch, [spec.entity], newest_first(spec.key_name))
-    batch = latest_per_key(batch, [spec.key_name], newest_first())
-    return upsert(target, batch, [spec.key_name])
+    return latest_per_key(batch, [spec.key_name], newest_first())
 
 
 # ---- snapshots (M7-M9) ---------------------------------------------------------
