@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from courtside.operators.ranking import global_rank, rank_within
 from courtside.operators.star import enrich
 from courtside.operators.stats import StatSpec, all_and_season_stats, recent_stats
+from courtside.session import materialize
 
 PLAYER_BASIC = ("player_id", "full_name", "birthdate", "country", "height", "weight_lbs", "jersey_number",
                 "position", "team_id", "draft_year", "draft_round", "draft_number", "career_from_year",
@@ -52,7 +53,7 @@ def player_mart(dim_players: DataFrame, fact: DataFrame, season: str, recent_ord
     base = dim_players.select(*basic_cols)
     # One row per player: materialised once in the shared checkpoint folder, so
     # the three ranks read it instead of re-deriving the statistics.
-    mart = base.join(stats, on=key, how="left").checkpoint(eager=True)
+    mart = materialize(base.join(stats, on=key, how="left"))
     src = mart
     mart = global_rank(mart, "current_season_avg_points", out="season_pts_rank", source=src)
     mart = global_rank(mart, "current_season_avg_assists", out="season_ast_rank", source=src)
@@ -99,7 +100,7 @@ def team_mart(dim_teams: DataFrame, conference_lookup: DataFrame, fact_team_game
         win_pct("rt_").alias("recent_10_games_win_pct"),
         F.col("rt_avg_team_point").alias("recent_10_games_avg_team_point"))
 
-    mart = base.join(stats, on=key, how="left").checkpoint(eager=True)
+    mart = materialize(base.join(stats, on=key, how="left"))
     mart = rank_within(mart, ["conference"], "current_season_win_pct", out="conference_rank")
     front = [c for c in stats.columns if c != key]
     i = front.index("current_season_win_pct") + 1

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from courtside.operators.star import resolve_counterpart
 from courtside.plans import bindings as B
 from courtside.plans.marts import player_mart, team_mart
+from courtside.session import materialize
 
 
 def q_player_mart(spark: SparkSession, root: str) -> DataFrame:
@@ -359,7 +360,7 @@ def scd2_batches(spark: SparkSession, root: str) -> DataFrame:
     for y in years:
         batch = rows.filter(F.col("batch_year") == y).drop("batch_year")
         snap = snapshot_check(snap, batch, "c_custkey", ["o_orderpriority"], updated_at_col="updated_at")
-        snap = snap.checkpoint(eager=True)
+        snap = materialize(snap)
     return snap.select(*SNAP_COLS)
 
 
@@ -539,8 +540,8 @@ def q_bronze_box_scores(spark: SparkSession, root: str) -> DataFrame:
         raws.append(parse_raw(files, "raw_text", "raw_json").select(
             "raw_json", "file_name", F.lit(loaded).cast("timestamp_ntz").alias("inserted_at")))
     raw = raws[0].unionByName(raws[1])
-    first = bronze(raw.filter(F.col("inserted_at") == F.lit(B.FEED_BATCHES[0][2]).cast("timestamp_ntz")), None,
-                   BOX_SCORES).checkpoint(eager=True)
+    first = materialize(bronze(raw.filter(F.col("inserted_at") == F.lit(B.FEED_BATCHES[0][2]).cast("timestamp_ntz")),
+                               None, BOX_SCORES))
     second = bronze(raw, first, BOX_SCORES)
     return second.select("box_score_id", "game_id", "player_id", "team_id", "status", "minutes_played", "points",
                          "assists", "loaded_at_utc", "api_fetched_at")

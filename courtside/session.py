@@ -71,3 +71,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_root(spark: SparkSession) -> str:
     """Folder for intermediate tables: next to the shared checkpoint folder."""
     return ensure_checkpoint_dir(spark).rstrip("/") + "/tables"
+
+
+def materialize(df):
+    """Reliable checkpoint (cuts lineage) into the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
