@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.llm.common import table
+from courtside.llm.sentencepiece_codec import codec_digests
 from courtside.llm.url_reputation import TWO_LABEL_SUFFIXES, judge_urls
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -20,7 +21,20 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
 
 
-REGISTRY = {"op1_url_reputation": op1_url_reputation}
+def piece_model(name: str = "piece_bpe_32k.model") -> bytes:
+    """The bytes of an installed public SentencePiece model (0.5 MB), read on the driver."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
+def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids, decoded text and source spans of every whole text, as digests."""
+    return codec_digests(table(spark, sf_dir, "documents"), piece_model())
+
+
+REGISTRY = {"op1_url_reputation": op1_url_reputation, "op4_sentencepiece_codec": op4_sentencepiece_codec}
 
 _RULE_SQL = "\n".join(
     f"WHEN (host = '{r.split('/')[0]}' OR ends_with(host, '.{r.split('/')[0]}')) "
