@@ -82,6 +82,9 @@ class Codec:
         self.score = {p.piece: p.score for p in proto.pieces if p.type == kinds.NORMAL}
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == kinds.BYTE}
+        row = lambda i, size, spaces: (str(i), array("I", (i, size, size - 2 * spaces)).tobytes())
+        self.known = {p: row(i, len(p.encode()), p.count(SPACE)) for p, i in self.ids.items()}
+        self.known_bytes = {b: row(i, 1, 0) for b, i in self.byte_ids.items()}
         self.id_bytes = {i: b for b, i in self.byte_ids.items()}
         self.silent = {i for i, p in enumerate(proto.pieces) if p.type == kinds.CONTROL}
         self.unk = next((i for i, p in enumerate(proto.pieces) if p.type == kinds.UNKNOWN), -1)
@@ -143,19 +146,19 @@ class Codec:
 
     def merge(self, word: str) -> list[str]:
         """Pieces of a word: the best-scored neighbouring pair joins first, the leftmost of equals."""
-        score = self.score
         if len(word) > 48:
             return self._merge_long(word)
+        get, none = self.score.get, -float("inf")
         parts = list(word)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                s = score.get(parts[i] + parts[i + 1])
-                if s is not None and (best is None or s > best):
-                    best, at = s, i
-            if best is None:
-                break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        scores = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) != none:
+            i = scores.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = get(parts[i - 1] + parts[i], none)
+            if i < len(scores):
+                scores[i] = get(parts[i] + parts[i + 1], none)
         return parts
 
     def _merge_long(self, word: str) -> list[str]:
@@ -184,19 +187,13 @@ class Codec:
             offer(i)
         return [p for p in parts if p]
 
-    def _entry(self, word: str) -> tuple:
-        """(ids as text, bytes per piece as uint32 text, bytes per piece in a text with plain spaces, ids)."""
-        ids, sizes = [], []
+    def _entry(self, word: str) -> tuple[str, bytes]:
+        """(ids as text, rows of uint32: id, bytes of the piece, bytes of it in a text with plain spaces)."""
+        known, rows = self.known, []
         for p in self.merge(word):
-            if (i := self.ids.get(p)) is not None:
-                ids.append(i)
-                sizes.append((len(p.encode()), p.count(SPACE)))
-            else:
-                raw = p.encode()
-                ids.extend(self.byte_ids[b] for b in raw)
-                sizes.extend([(1, 0)] * len(raw))
-        entry = (",".join(map(str, ids)), array("I", [s for s, _ in sizes]).tobytes(),
-                 array("I", [s - 2 * k for s, k in sizes]).tobytes(), array("I", ids).tobytes())
+            row = known.get(p)
+            rows += [row] if row else [self.known_bytes[b] for b in p.encode()]
+        entry = (",".join([r[0] for r in rows]), b"".join([r[1] for r in rows]))
         if len(word) <= 48:
             if len(self.cache) >= self.cache_size:
                 self.cache.clear()
@@ -217,9 +214,10 @@ class Codec:
         else:
             norm, origin = self.normalise(text)
         found = self.entries(norm)
-        ids = np.frombuffer(b"".join([e[3] for e in found]), np.uint32)
-        ends = np.cumsum(np.frombuffer(b"".join([e[2 if direct else 1] for e in found]), np.uint32), dtype=np.int64)
-        ends = np.concatenate([[0], ends])
+        rows = np.frombuffer(b"".join([e[1] for e in found]), np.uint32).reshape(-1, 3)
+        ids = rows[:, 0]
+        ends = np.zeros(len(rows) + 1, np.int64)
+        np.cumsum(rows[:, 2 if direct else 1], out=ends[1:])
         if direct:
             ends[1:] -= self.dummy_prefix
             if len(ids):
