@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtside.llm.automaton_dedup import remove_repeated_words
 from courtside.llm.common import table
 from courtside.llm.sentencepiece_codec import codec_digests
+from courtside.llm.suffix_dedup import remove_repeated_bytes
 from courtside.llm.url_reputation import TWO_LABEL_SUFFIXES, judge_urls
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -34,7 +36,24 @@ def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
-REGISTRY = {"op1_url_reputation": op1_url_reputation, "op4_sentencepiece_codec": op4_sentencepiece_codec}
+def op7_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words in 50-word windows that start in a document with a smaller id are removed."""
+    out = remove_repeated_words(table(spark, sf_dir, "documents"), 50)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes in 400-byte strings that also start elsewhere are removed."""
+    out = remove_repeated_bytes(table(spark, sf_dir, "documents"), 400)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+REGISTRY = {
+    "op1_url_reputation": op1_url_reputation,
+    "op4_sentencepiece_codec": op4_sentencepiece_codec,
+    "op7_automaton_dedup": op7_automaton_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
+}
 
 _RULE_SQL = "\n".join(
     f"WHEN (host = '{r.split('/')[0]}' OR ends_with(host, '.{r.split('/')[0]}')) "
@@ -81,4 +100,18 @@ r AS (SELECT host AS rh, n, b, round(mean, 6) AS bad_rate,
 j AS (SELECT u.*, r.*, CASE {_RULE_SQL} END AS rule FROM u LEFT JOIN r ON r.rh = u.host)
 SELECT page_id, host, path, rule,
   coalesce(CASE rule {_ACTION_SQL} END, CASE WHEN bad_lower > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
-  n::BIGINT AS n_labelled, b::BIGINT AS n_bad, bad_rate, bad_lower FROM j"""}
+  n::BIGINT AS n_labelled, b::BIGINT AS n_bad, bad_rate, bad_lower FROM j""",
+          "op7_automaton_dedup": """
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+  FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d),
+k AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM s),
+m AS (SELECT h, min(doc_id) AS lo FROM k GROUP BY h),
+hit AS (SELECT doc_id, i FROM k JOIN m USING (h) WHERE lo < doc_id),
+gone AS (SELECT DISTINCT doc_id, i + o AS p FROM (SELECT doc_id, i, unnest(range(0, 50)) AS o FROM hit)),
+g AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id),
+u AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS p FROM d),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS txt FROM u ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept.txt, '')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)"""}
