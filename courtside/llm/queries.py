@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from courtside.llm.automaton_dedup import remove_repeated_words
 from courtside.llm.common import table
 from courtside.llm.sentencepiece_codec import codec_digests
+from courtside.llm.simhash_dedup import simhash_components
 from courtside.llm.suffix_dedup import remove_repeated_bytes
 from courtside.llm.url_reputation import TWO_LABEL_SUFFIXES, judge_urls
 
@@ -42,6 +43,11 @@ def op7_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose 64-bit SimHash differs in at most 4 bits."""
+    return simhash_components(table(spark, sf_dir, "documents"), 4, 4)
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes in 400-byte strings that also start elsewhere are removed."""
     out = remove_repeated_bytes(table(spark, sf_dir, "documents"), 400)
@@ -52,6 +58,7 @@ REGISTRY = {
     "op1_url_reputation": op1_url_reputation,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op7_automaton_dedup": op7_automaton_dedup,
+    "op8_simhash_dedup": op8_simhash_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
 }
 
@@ -102,7 +109,7 @@ SELECT page_id, host, path, rule,
   coalesce(CASE rule {_ACTION_SQL} END, CASE WHEN bad_lower > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
   n::BIGINT AS n_labelled, b::BIGINT AS n_bad, bad_rate, bad_lower FROM j""",
           "op7_automaton_dedup": """
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d),
 k AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM s),
