@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.llm.automaton_dedup import remove_repeated_words
-from courtside.llm.common import table
+from courtside.llm.common import crc_mod, table
+from courtside.llm.ppm import score
 from courtside.llm.sentencepiece_codec import codec_digests
 from courtside.llm.simhash_dedup import simhash_components
 from courtside.llm.suffix_dedup import remove_repeated_bytes
@@ -54,12 +55,18 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PPM and unigram scores of all documents, learnt from those with crc32(doc_id) mod 7 other than 2."""
+    return score(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) != 2)
+
+
 REGISTRY = {
     "op1_url_reputation": op1_url_reputation,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op7_automaton_dedup": op7_automaton_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_ppm_scoring": op10_ppm_scoring,
 }
 
 _RULE_SQL = "\n".join(
