@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtside.llm import langid
 from courtside.llm.automaton_dedup import remove_repeated_words
 from courtside.llm.common import crc_mod, table
 from courtside.llm.ppm import score
@@ -38,6 +39,14 @@ def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec_digests(table(spark, sf_dir, "documents"), piece_model())
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole text; learnt from the rows whose crc32(doc_id) mod 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    out = langid.predict(docs.withColumn("held_out", held_out), langid.train(docs, ~held_out), carry=("held_out",))
+    return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op7_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in 50-word windows that start in a document with a smaller id are removed."""
     out = remove_repeated_words(table(spark, sf_dir, "documents"), 50)
@@ -63,6 +72,7 @@ def op10_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_url_reputation": op1_url_reputation,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
+    "op5_language_id": op5_language_id,
     "op7_automaton_dedup": op7_automaton_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
