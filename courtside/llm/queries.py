@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from courtside.llm import langid
 from courtside.llm.automaton_dedup import remove_repeated_words
 from courtside.llm.common import crc_mod, table
+from courtside.llm.ctph import fingerprint_neighbours
 from courtside.llm.ppm import score
 from courtside.llm.sentencepiece_codec import codec_digests
 from courtside.llm.simhash_dedup import simhash_components
@@ -26,6 +27,11 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), outcomes, URL_RULES)
 
 
+def op2_ctph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text, and their likeness."""
+    return fingerprint_neighbours(table(spark, sf_dir, "documents"))
+
+
 def piece_model(name: str = "piece_bpe_32k.model") -> bytes:
     """The bytes of an installed public SentencePiece model (0.5 MB), read on the driver."""
     import public_tokenizers
@@ -71,6 +77,7 @@ def op10_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_url_reputation": op1_url_reputation,
+    "op2_ctph_fingerprints": op2_ctph_fingerprints,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op5_language_id": op5_language_id,
     "op7_automaton_dedup": op7_automaton_dedup,
