@@ -14,6 +14,7 @@ from courtside.llm.sentencepiece_codec import codec_digests
 from courtside.llm.simhash_dedup import simhash_components
 from courtside.llm.suffix_dedup import remove_repeated_bytes
 from courtside.llm.url_reputation import TWO_LABEL_SUFFIXES, judge_urls
+from courtside.llm.warc_derivatives import derivatives, responses
 
 URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
              ("block", "net/es/"), ("block", "net/fr/"))
@@ -53,6 +54,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score", "accepted")
 
 
+def op6_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a response record, and the metadata and conversion records that refer to it."""
+    return derivatives(responses(table(spark, sf_dir, "pages"), "2026-01-01T00:00:00Z"), carry=("page_id",))
+
+
 def op7_automaton_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words in 50-word windows that start in a document with a smaller id are removed."""
     out = remove_repeated_words(table(spark, sf_dir, "documents"), 50)
@@ -80,6 +86,7 @@ REGISTRY = {
     "op2_ctph_fingerprints": op2_ctph_fingerprints,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op5_language_id": op5_language_id,
+    "op6_warc_derivatives": op6_warc_derivatives,
     "op7_automaton_dedup": op7_automaton_dedup,
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
