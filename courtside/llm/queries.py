@@ -9,6 +9,7 @@ from courtside.llm import langid
 from courtside.llm.automaton_dedup import remove_repeated_words
 from courtside.llm.common import crc_mod, table
 from courtside.llm.ctph import fingerprint_neighbours
+from courtside.llm.lsa_decontam import contaminated
 from courtside.llm.ppm import score
 from courtside.llm.sentencepiece_codec import codec_digests
 from courtside.llm.simhash_dedup import simhash_components
@@ -33,6 +34,11 @@ def op2_ctph_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_neighbours(table(spark, sf_dir, "documents"))
 
 
+def op3_lsa_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it holds."""
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("rk")
+
+
 def piece_model(name: str = "piece_bpe_32k.model") -> bytes:
     """The bytes of an installed public SentencePiece model (0.5 MB), read on the driver."""
     import public_tokenizers
@@ -84,6 +90,7 @@ def op10_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_url_reputation": op1_url_reputation,
     "op2_ctph_fingerprints": op2_ctph_fingerprints,
+    "op3_lsa_decontamination": op3_lsa_decontamination,
     "op4_sentencepiece_codec": op4_sentencepiece_codec,
     "op5_language_id": op5_language_id,
     "op6_warc_derivatives": op6_warc_derivatives,
