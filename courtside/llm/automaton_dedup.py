@@ -14,15 +14,17 @@ one id do not remove each other's words; a NULL id counts as larger than all oth
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import rebatched, row_key, stored, utf8
-from courtside.llm.repeats import WordText, covered, join_small, ranges_by_text, repeated_windows, runs
+from courtside.llm.common import rebatched, row_key, utf8
+from courtside.llm.repeats import WordText, covered, repeated_windows, runs, with_ranges
 
 LAST = (1 << 63) - 1
 
@@ -86,42 +88,58 @@ class SuffixAutomaton:
             yield n
 
 
-def judge(length: int):
-    """Windows of each segment that an automaton of segments with smaller ids holds."""
+def judge(length: int, shard_words: int = 40_000):
+    """Windows of each segment that an automaton of segments with smaller ids holds.
+
+    The segments of an anchor come in ascending id order. Each shard of them is
+    built and read in turn, then all later segments are streamed against it.
+    """
+
+    def settle(group: list[tuple]) -> Iterator[tuple]:
+        texts = [(doc, piece.split(b" ")) for _, _, doc, _, _, piece in group]
+        best = [np.zeros(len(words), bool) for _, words in texts]  # where a matching window ends
+
+        def read(k: int, shard: SuffixAutomaton) -> None:
+            words = texts[k][1]
+            best[k] |= np.fromiter(shard.statistics(words), np.int64, len(words)) >= length
+
+        at = 0
+        while at < len(texts):
+            end, held = at, 0  # a shard ends where an id ends
+            while end < len(texts) and (held < shard_words or texts[end][0] == texts[end - 1][0]):
+                held += len(texts[end][1])
+                end += 1
+            shard, added = SuffixAutomaton(), at
+            for k in range(at, end):
+                while texts[added][0] < texts[k][0]:
+                    shard.add(texts[added][1])
+                    added += 1
+                if added > at:
+                    read(k, shard)
+            if end < len(texts):
+                for k in range(added, end):
+                    shard.add(texts[k][1])
+            for k in range(end, len(texts)):
+                read(k, shard)
+            at = end
+        for row, ends in zip(group, best):
+            for b, e in runs(ends):
+                yield row[0], row[1], b - length + 1, e - b
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
-        anchor, shard, waiting = None, SuffixAutomaton(), []
-        for a, s1, s2, doc, _, _, piece in rows:
-            if a != anchor:
-                anchor, shard, waiting = a, SuffixAutomaton(), []
-            if waiting and waiting[0][0] < doc:
-                for _, words in waiting:
-                    shard.add(words)
-                waiting = []
-            words = piece.split(b" ")
-            begin = None
-            for end, n in enumerate(shard.statistics(words)):
-                at = end - length + 1
-                if n >= length and begin is None:
-                    begin = at
-                elif n < length and begin is not None:
-                    yield a, s1, s2, begin, at - begin
-                    begin = None
-            if begin is not None:
-                yield a, s1, s2, begin, len(words) - length + 1 - begin
-            waiting.append((doc, words))
+        for _, group in groupby(rows, key=itemgetter(0)):
+            yield from settle(list(group))
 
     return run
 
 
 def remove_repeated_words(docs: DataFrame, length: int = 50, id_col: str = "doc_id", text_col: str = "text",
-                          max_group: int = 400) -> DataFrame:
+                          max_units: int = 1_000_000) -> DataFrame:
     """Per row: id_col, n_words, n_removed, spans (removed runs as [begin, end) of words), kept (text)."""
     keyed = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"),
                         row_key(docs, id_col, text_col).alias("rk"), F.col(text_col).alias("text"))
-    found = repeated_windows(keyed, WordText, length, judge(length), True, max_group)
-    found = stored(ranges_by_text(found), "ranges")
-    marked = join_small(keyed, found, ["doc", "rk"], "left", "ranges").select("id", "text", "ranges")
+    found = repeated_windows(keyed, WordText, length, judge(length), True, max_units)
+    marked = with_ranges(keyed, found).select("id", "text", "starts", "ends")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,15 +148,13 @@ def remove_repeated_words(docs: DataFrame, length: int = 50, id_col: str = "doc_
                                 ("k", pa.string())])
 
             def rows(batch=batch):
-                for key, raw, found in zip(batch.column(0).to_pylist(), utf8(batch, 1), batch.column(2)):
+                for key, raw, starts, ends in zip(batch.column(0).to_pylist(), utf8(batch, 1), *batch.columns[2:]):
                     words = raw.split()
-                    gone = runs(covered(len(words), length, found.as_py())) if found.is_valid else []
-                    kept = words if not gone else []
-                    at = 0
+                    gone, kept, at = covered(starts, ends, length), [], 0
                     for b, e in gone:
                         kept += words[at:b]
                         at = e
-                    kept += words[at:] if gone else []
+                    kept += words[at:]
                     yield (key, len(words), len(words) - len(kept), [{"begin": b, "end": e} for b, e in gone],
                            b" ".join(kept).decode())
 
@@ -147,7 +163,3 @@ def remove_repeated_words(docs: DataFrame, length: int = 50, id_col: str = "doc_
     kind = docs.schema[id_col].dataType.simpleString()
     return marked.mapInArrow(run, f"id {kind}, n bigint, m bigint, s array<struct<begin:bigint,end:bigint>>, k string") \
         .toDF(id_col, "n_words", "n_removed", "spans", "kept")
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()

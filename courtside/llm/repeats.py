@@ -5,11 +5,11 @@ window is owned by its minimiser, the smallest of the hashed k-grams inside it
 (leftmost of equals), so equal windows have equal minimisers at equal offsets.
 The windows that one minimiser occurrence owns form a *segment*.
 
-1. Each text is cut into segments: (anchor hash, 128-bit hash of the segment).
+1. Each text is cut into segments: (64-bit anchor hash, 64-bit hash of the segment).
 2. Segments whose bytes occur again are settled by a grouped count.
 3. Anchors that occur in different segments (a match that ends inside one) go,
    one copy of each different segment, to an exact judge, grouped by anchor.
-4. An anchor with more than ``max_group`` different segments (a passage in very
+4. An anchor whose different segments are too large together (a passage in very
    many documents) is not gathered: its segments are cut into single windows,
    which a grouped count settles exactly.
 
@@ -19,7 +19,7 @@ Only hashes and the segments of step 3 are shuffled. All results are ranges
 
 from __future__ import annotations
 
-import re
+import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -33,7 +33,7 @@ from courtside.llm.common import mix64, rebatched, stored, utf8
 BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-BROADCAST_BYTES = 48 << 20
+BROADCAST_BYTES = 24 << 20
 
 
 class _Powers:
@@ -130,125 +130,161 @@ def segments(text, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
         yield first + lo, np.diff(first, append=n), grams[owner]
 
 
-def _digest(pieces: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(b"".join([xxhash.xxh3_128_digest(p) for p in pieces]), ">i8").astype(np.int64).reshape(-1, 2)
-    return raw[:, 0], raw[:, 1]
+def _digest(pieces: Iterable[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, pieces), np.uint64).view(np.int64)
 
 
 def all_segments(docs: DataFrame, kind: type, length: int) -> DataFrame:
-    """Segments of (doc, rk, text) rows: doc, rk, start, n, a (anchor), s1, s2 (segment hash)."""
+    """Segments of (doc, rk, text) rows: doc, rk, start, n, a (anchor hash), s (segment hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc", "rk", "start", "n", "a", "s1", "s2"]
         for batch in batches:
             parts, size = [], 0
             for doc, rk, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), utf8(batch, 2)):
                 text = kind(raw)
                 for first, n, anchors in segments(text, length):
-                    s1, s2 = _digest(text.span(s, c + length - 1) for s, c in zip(first.tolist(), n.tolist()))
-                    parts.append((np.full(len(n), doc), np.full(len(n), rk), first, n, anchors.view(np.int64), s1, s2))
+                    s = _digest(text.span(at, c + length - 1) for at, c in zip(first.tolist(), n.tolist()))
+                    parts.append((np.full(len(n), doc), np.full(len(n), rk), first, n, anchors.view(np.int64), s))
                     size += len(n)
                 if size >= 50_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+                    yield _columns(parts, ["doc", "rk", "start", "n", "a", "s"])
                     parts, size = [], 0
             if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+                yield _columns(parts, ["doc", "rk", "start", "n", "a", "s"])
 
     return docs.select("doc", "rk", "text").mapInArrow(
-        run, "doc bigint, rk bigint, start bigint, n bigint, a bigint, s1 bigint, s2 bigint")
+        run, "doc bigint, rk bigint, start bigint, n bigint, a bigint, s bigint")
 
 
-def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str, size_col: str) -> DataFrame:
-    """Equi-join; ``small`` is broadcast only if its counted bytes stay under BROADCAST_BYTES."""
-    bytes_ = small.agg(F.sum(F.size(size_col) * 16 + 64)).first()[0] or 0
-    return big.join(F.broadcast(small) if bytes_ <= BROADCAST_BYTES else small, keys, how)
+def _columns(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts)], names=names)
+
+
+def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str, row_bytes) -> DataFrame:
+    """Equi-join with a stored frame, broadcast only if its counted bytes stay under BROADCAST_BYTES."""
+    held = small.agg(F.sum(row_bytes)).first()[0] or 0
+    return big.join(F.broadcast(small) if held <= BROADCAST_BYTES else small, keys, how)
 
 
 def repeated_windows(docs: DataFrame, kind: type, length: int, judge: Callable, earlier: bool,
-                     max_group: int = 400) -> DataFrame:
+                     max_units: int) -> DataFrame:
     """Ranges (doc, rk, start, n) of the windows of (doc, rk, text) rows that repeat.
 
     ``earlier``: a window counts if its content also starts in a text with a smaller
     ``doc``; else if it also starts anywhere else. ``judge`` takes an iterator of
-    (a, s1, s2, doc, open, windows, bytes), sorted by (a, doc), and yields
-    (a, s1, s2, first window, n) for the windows of open segments that repeat.
+    (a, s, doc, open, windows, bytes), sorted by (a, doc), and yields
+    (a, s, first window, n) for the windows of open segments that repeat. Anchors
+    whose different segments hold more than ``max_units`` units are counted by window.
     """
     segs = stored(all_segments(docs, kind, length), "segments")
-    shared = segs.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a")
-    segs = stored(segs.join(shared, "a"), "shared-segments")
-    key = ["a", "s1", "s2"]
+    shared = stored(segs.groupBy("a").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("a"), "shared-anchors")
+    segs = stored(join_small(segs, shared, ["a"], "inner", F.lit(40)), "shared-segments")
+    key = ["a", "s"]
     least = F.min(F.struct("doc", "rk", "start", "n"))
     kinds = stored(segs.groupBy(*key).agg(F.count(F.lit(1)).alias("c"), least.alias("at")), "segment-kinds")
-    kinds = kinds.select(*key, "c", F.col("at.doc").alias("first_doc"), "at")
-    groups = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("k"), F.min("c").alias("least_c"),
-                                    F.min("first_doc").alias("lo"), F.max("first_doc").alias("hi"))
-    groups = groups.where("k > 1 AND " + ("lo < hi" if earlier else "least_c = 1"))
-    unsettled = kinds.join(groups.select("a", (F.col("k") > max_group).alias("hot")), "a")
+    groups = kinds.groupBy("a").agg(
+        F.count(F.lit(1)).alias("k"), F.min("c").alias("least_c"), F.min("at.doc").alias("lo"),
+        F.max("at.doc").alias("hi"), F.sum(F.col("at.n") + length - 1).alias("units"))
+    groups = stored(groups.where("k > 1 AND " + ("lo < hi" if earlier else "least_c = 1"))
+                    .select("a", (F.col("units") > max_units).alias("hot")), "anchor-groups")
+    unsettled = join_small(kinds, groups, ["a"], "inner", F.lit(48))
     # The text of one copy of each unsettled segment, cut out where its document lies.
-    asked = unsettled.select(F.col("at.doc").alias("doc"), F.col("at.rk").alias("rk"), F.struct(
-        F.col("at.start").alias("start"), F.col("at.n").alias("n"), *key, "c", "hot").alias("ask"))
-    asked = stored(asked.groupBy("doc", "rk").agg(F.collect_list("ask").alias("asks")), "asked")
-    cut = join_small(docs.select("doc", "rk", "text"), asked, ["doc", "rk"], "inner", "asks")
+    ask = F.struct(F.col("at.start").cast("int").alias("start"), F.col("at.n").cast("int").alias("n"), "a",
+                   F.least("c", F.lit(2)).cast("int").alias("c"), "hot")
+    asked = unsettled.groupBy(F.col("at.doc").alias("doc"), F.col("at.rk").alias("rk")).agg(F.collect_list(ask).alias("q"))
+    asked = stored(asked.select("doc", "rk", *[F.col(f"q.{c}").alias(c) for c in ("start", "n", "a", "c", "hot")]), "asked")
+    cut = join_small(docs.select("doc", "rk", "text"), asked, ["doc", "rk"], "inner", F.size("a") * 24 + 96)
     pieces = stored(cut.mapInArrow(_cutter(kind, length), _PIECE), "pieces")
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((a, s1, s2, d, earlier or c == 1, w, p) for b in batches
-                for a, s1, s2, d, c, w, p in zip(*(x.to_pylist() for x in b.columns)))
-        yield from rebatched(judge(rows), pa.schema([(x, pa.int64()) for x in ("a", "s1", "s2", "off", "m")]))
+        rows = ((a, s, d, earlier or c == 1, w, p) for b in batches
+                for a, s, d, c, w, p in zip(*(x.to_pylist() for x in b.columns)))
+        yield from rebatched(judge(rows), pa.schema([(x, pa.int64()) for x in ("a", "s", "off", "m")]))
 
     ordered = (pieces.where("NOT hot").select(*key, "doc", "c", "w", "piece").repartition("a")
-               .sortWithinPartitions("a", "doc", "s1", "s2"))
-    found = ordered.mapInArrow(judged, "a bigint, s1 bigint, s2 bigint, off bigint, m bigint")
+               .sortWithinPartitions("a", "doc", "s"))
+    found = ordered.mapInArrow(judged, "a bigint, s bigint, off bigint, m bigint")
     # Hot anchors: a row per window; pre-aggregated counts, no group is gathered.
-    single = pieces.where("hot").select(*key, F.col("doc").alias("d"), "c", F.col("off"), "w1", "w2")
-    again = single.groupBy("w1", "w2").agg(F.sum("c").alias("wc"), F.min("d").alias("wd"))
-    again = again.where("wc > 1") if not earlier else again
-    hit = single.join(again, ["w1", "w2"]).where(F.col("wd") < F.col("d") if earlier else F.lit(True))
+    single = pieces.where("hot").select(*key, "doc", "c", "off", "w1", "w2")
+    again = single.groupBy("w1", "w2").agg(F.sum("c").alias("wc"), F.min("doc").alias("wd"))
+    hit = single.join(again.where("wc > 1") if not earlier else again, ["w1", "w2"])
+    hit = hit.where("wd < doc") if earlier else hit
     found = found.unionByName(hit.select(*key, "off", F.lit(1).cast("bigint").alias("m")))
-    first = kinds.select(*key, "first_doc", "c")
-    whole = segs.join(first, key).where("doc > first_doc" if earlier else "c > 1").select("doc", "rk", "start", "n")
-    open_ = segs.join(first, key).where("doc = first_doc" if earlier else "c = 1").drop("first_doc", "c")
+    first = kinds.select(*key, F.col("at.doc").alias("first_doc"), "c")
+    known = segs.join(first, key)
+    whole = known.where("doc > first_doc" if earlier else "c > 1").select("doc", "rk", "start", "n")
+    open_ = known.where("doc = first_doc" if earlier else "c = 1").select(*key, "doc", "rk", "start")
     part = open_.join(found, key).select("doc", "rk", (F.col("start") + F.col("off")).alias("start"),
                                          F.col("m").alias("n"))
     return whole.unionByName(part)
 
 
-_PIECE = ("a bigint, s1 bigint, s2 bigint, doc bigint, c bigint, hot boolean, w bigint, off bigint, "
-          "w1 bigint, w2 bigint, piece binary")
+_PIECE = ("a bigint, s bigint, doc bigint, c bigint, hot boolean, w bigint, off bigint, w1 bigint, w2 bigint, "
+          "piece binary")
 
 
 def _cutter(kind: type, length: int) -> Callable:
     i = pa.int64()
-    schema = pa.schema([("a", i), ("s1", i), ("s2", i), ("doc", i), ("c", i), ("hot", pa.bool_()), ("w", i), ("off", i),
+    schema = pa.schema([("a", i), ("s", i), ("doc", i), ("c", i), ("hot", pa.bool_()), ("w", i), ("off", i),
                         ("w1", i), ("w2", i), ("piece", pa.binary())])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
-            for doc, asks, raw in zip(batch.column("doc").to_pylist(), batch.column("asks"), utf8(batch, 2)):
+            asks = [batch.column(x) for x in ("start", "n", "a", "c", "hot")]
+            for at, (doc, raw) in enumerate(zip(batch.column("doc").to_pylist(), utf8(batch, 2))):
                 text = kind(raw)
-                for q in asks.as_py():
-                    head = (q["a"], q["s1"], q["s2"], doc, q["c"], q["hot"], q["n"])
-                    if q["hot"]:
-                        w1, w2 = _digest(text.span(q["start"] + o, length) for o in range(q["n"]))
-                        yield from ((*head, o, int(w1[o]), int(w2[o]), None) for o in range(q["n"]))
+                for start, n, a, c, hot in zip(*(x[at].as_py() for x in asks)):
+                    span = text.span(start, n + length - 1)
+                    head = (a, struct.unpack(">q", xxhash.xxh3_64_digest(span))[0], doc, c, hot, n)
+                    if hot:
+                        for o in range(n):
+                            w1, w2 = struct.unpack("<qq", xxhash.xxh3_128_digest(text.span(start + o, length)))
+                            yield (*head, o, w1, w2, None)
                     else:
-                        yield (*head, 0, 0, 0, text.span(q["start"], q["n"] + length - 1))
+                        yield (*head, 0, 0, 0, span)
 
     return lambda batches: rebatched(rows(batches), schema)
 
 
 def ranges_by_text(ranges: DataFrame) -> DataFrame:
-    """One row per text: (doc, rk, ranges); a text's list is no longer than the text."""
-    return ranges.groupBy("doc", "rk").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
-
+    """One row per text: doc, rk, starts, ends of its maximal runs of windows, merged."""
+    lists = ranges.groupBy("doc", "rk").agg(F.collect_list(F.struct("start", "n")).alias("r"))
 
-def covered(units: int, length: int, ranges: Iterable) -> np.ndarray:
-    """True for each unit that a window of the ranges covers."""
-    delta = np.zeros(units + 1, np.int32)
-    for r in ranges or ():
-        delta[r["start"]] += 1
-        delta[r["start"] + r["n"] - 1 + length] -= 1
-    return np.cumsum(delta[:-1]) > 0
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [], []
+            for r in batch.column(2):
+                r = r.values
+                start, n = r.field("start").to_numpy(), r.field("n").to_numpy()
+                by = np.argsort(start, kind="stable")
+                start, end = start[by], np.maximum.accumulate((start + n)[by])
+                new = np.concatenate([[True], start[1:] > end[:-1]])
+                out[0].append(start[new])
+                out[1].append(end[np.concatenate([new[1:], [True]])])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *(pa.array(x, pa.list_(pa.int64())) for x in out)],
+                names=["doc", "rk", "starts", "ends"])
+
+    return lists.mapInArrow(run, "doc bigint, rk bigint, starts array<bigint>, ends array<bigint>")
+
+
+def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:
+    """Rows of (doc, rk, ...) with the starts and ends of their text, or NULL."""
+    return join_small(docs, stored(ranges_by_text(ranges), "ranges"), ["doc", "rk"], "left", F.size("starts") * 16 + 96)
+
+
+def covered(starts: pa.Scalar, ends: pa.Scalar, length: int) -> list[tuple[int, int]]:
+    """Maximal [begin, end) runs of units that the window runs cover."""
+    if not starts.is_valid:
+        return []
+    out: list[tuple[int, int]] = []
+    for b, e in zip(starts.as_py(), ends.as_py()):
+        e += length - 1
+        if out and b <= out[-1][1]:
+            out[-1] = (out[-1][0], e)
+        else:
+            out.append((b, e))
+    return out
 
 
 def runs(marked: np.ndarray) -> list[tuple[int, int]]:
@@ -256,5 +292,3 @@ def runs(marked: np.ndarray) -> list[tuple[int, int]]:
     edge = np.flatnonzero(np.diff(np.concatenate([[False], marked, [False]]).astype(np.int8)))
     return list(zip(edge[::2].tolist(), edge[1::2].tolist()))
 
-
-ASCII_SPACE = re.compile(rb"[\x20\x09-\x0D]")

@@ -16,7 +16,6 @@ repeated rows are repeats of each other; matches never cross documents.
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
@@ -25,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import rebatched, row_key, stored, utf8
-from courtside.llm.repeats import ByteText, covered, join_small, ranges_by_text, repeated_windows, runs, span_hashes
+from courtside.llm.common import row_key, utf8
+from courtside.llm.repeats import ByteText, covered, repeated_windows, runs, span_hashes, with_ranges
 
 LAST = (1 << 63) - 1
 SHARD_BYTES = 1 << 20
@@ -150,10 +149,10 @@ def judge(length: int):
     """Repeated windows of the open segments, a shard of whole anchor groups at a time."""
 
     def settle(shard: list[tuple]) -> Iterator[tuple]:
-        for row, hit in zip(shard, repeated_starts([r[6] for r in shard], [r[5] for r in shard], length)):
-            if row[4]:
+        for row, hit in zip(shard, repeated_starts([r[5] for r in shard], [r[4] for r in shard], length)):
+            if row[3]:
                 for b, e in runs(hit):
-                    yield row[0], row[1], row[2], b, e - b
+                    yield row[0], row[1], b, e - b
 
     def run(rows: Iterable[tuple]) -> Iterator[tuple]:
         shard, size = [], 0
@@ -162,7 +161,7 @@ def judge(length: int):
                 yield from settle(shard)
                 shard, size = [], 0
             shard.append(row)
-            size += len(row[6])
+            size += len(row[5])
         if shard:
             yield from settle(shard)
 
@@ -170,35 +169,49 @@ def judge(length: int):
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                          carry: tuple[str, ...] = (), max_group: int = 400) -> DataFrame:
-    """Per row: id_col, the ``carry`` columns, n_bytes, n_removed, n_spans (maximal removed runs), kept (bytes)."""
+                          max_units: int = 6_000_000) -> DataFrame:
+    """Per row: id_col, n_bytes, n_removed, n_spans (maximal removed runs), kept (bytes)."""
+    out = _marked(docs, length, id_col, text_col, (id_col,), max_units)
+    return out.select(F.col("row")[id_col].alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
+
+
+def without_repeated_bytes(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text",
+                           size_col: str | None = "n_chars", max_units: int = 6_000_000) -> DataFrame:
+    """The rows with the rest of each text, columns unchanged but for the text and its size in characters.
+
+    A character that the removal cuts through goes whole; a NULL text becomes empty.
+    """
+    carry = tuple(c for c in docs.columns if c not in (text_col, size_col))
+    out = _marked(docs, length, id_col, text_col, carry, max_units, as_text=True)
+    new = {text_col: F.col("kept"), size_col: F.length("kept").cast("bigint")}
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def _marked(docs: DataFrame, length: int, id_col: str, text_col: str, carry: tuple[str, ...], max_units: int,
+            as_text: bool = False) -> DataFrame:
     keyed = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"),
                         row_key(docs, id_col, text_col).alias("rk"), F.col(text_col).alias("text"),
-                        F.struct(F.col(id_col).alias("id"), *carry).alias("row"))
-    found = repeated_windows(keyed, ByteText, length, judge(length), False, max_group)
-    found = stored(ranges_by_text(found), "ranges")
-    marked = join_small(keyed, found, ["doc", "rk"], "left", "ranges").select("row", "text", "ranges")
+                        F.struct(*carry).alias("row"))
+    found = repeated_windows(keyed, ByteText, length, judge(length), False, max_units)
+    marked = with_ranges(keyed, found).select("row", "text", "starts", "ends")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [], [], [], []
-            for raw, found in zip(utf8(batch, 1), batch.column(2)):
-                gone = runs(covered(len(raw), length, found.as_py())) if found.is_valid else []
+            for raw, starts, ends in zip(utf8(batch, 1), *batch.columns[2:]):
+                gone = covered(starts, ends, length)
                 kept = raw
                 if gone:
                     edges = [0, *(x for r in gone for x in r), len(raw)]
                     kept = b"".join(raw[b:e] for b, e in zip(edges[::2], edges[1::2]))
                 for column, value in zip(out, (len(raw), len(raw) - len(kept), len(gone), kept)):
                     column.append(value)
+            kept = pa.array([k.decode("utf-8", "ignore") for k in out[3]], pa.string()) if as_text \
+                else pa.array(out[3], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, type=pa.int64()) for c in out[:3]), pa.array(out[3], type=pa.binary())],
+                [batch.column(0), *(pa.array(c, type=pa.int64()) for c in out[:3]), kept],
                 names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
     row = keyed.schema["row"].dataType.simpleString()
-    done = marked.mapInArrow(run, f"row {row}, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
-    return done.select(F.col("row.id").alias(id_col), *[F.col("row")[c].alias(c) for c in carry],
-                       "n_bytes", "n_removed", "n_spans", "kept")
-
-
-def sha256_hex(data: bytes) -> str:
-    return hashlib.sha256(data).hexdigest()
+    return marked.mapInArrow(run, f"row {row}, n_bytes bigint, n_removed bigint, n_spans bigint, "
+                             f"kept {'string' if as_text else 'binary'}")

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 
 from courtside.llm.automaton_dedup import SuffixAutomaton, remove_repeated_words
+from courtside.llm.automaton_dedup import judge as automaton_judge
 from courtside.llm.suffix_dedup import remove_repeated_bytes, repeated_starts, suffix_array
 
 
@@ -48,6 +49,18 @@ def test_repeated_starts_with_and_without_spaces():
             assert [g.tolist() for g in got] == [[seen[t[i:i + 8]] > 1 for i in range(len(t) - 7)] for t in texts]
 
 
+@pytest.mark.parametrize("shard_words", [1, 30, 10**6])
+def test_shards_in_any_cut(shard_words):
+    rng = random.Random(shard_words)
+    for _ in range(60):
+        rows = sorted((rng.randrange(4), " ".join(rng.choice("ab") for _ in range(rng.randrange(5, 12)))) for _ in range(7))
+        group = [(1, k, doc, True, 0, piece.encode()) for k, (doc, piece) in enumerate(rows)]
+        got = sorted((s, b + i) for _, s, b, n in automaton_judge(5, shard_words)(group) for i in range(n))
+        want = sorted((k, i) for k, (d, t) in enumerate(rows) for i in range(len(t.split()) - 4)
+                      if any(" ".join(t.split()[i:i + 5]) in u for e, u in rows if e < d))
+        assert got == want
+
+
 def corpus(rng, words, n_docs, vocabulary=4000):
     """Texts with copies, near copies, shared passages, periodic and long texts, NULL and empty ones."""
     word = lambda: f"w{rng.randrange(vocabulary)}"
@@ -103,27 +116,27 @@ def brute_bytes(rows, length):
     return sorted(out)
 
 
-@pytest.mark.parametrize("max_group", [400, 2])
-def test_words_against_brute_force(spark, max_group):
+@pytest.mark.parametrize("max_units", [1_000_000, 300])
+def test_words_against_brute_force(spark, max_units):
     rng = random.Random(7)
     rows = [(i, t) for i, t in enumerate(corpus(rng, 50, 60))]
     rng.shuffle(rows)
     rows += [rows[3], (rows[5][0], rows[6][1])]
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id bigint, text string, n bigint")
-    got = remove_repeated_words(docs, 50, max_group=max_group)
+    got = remove_repeated_words(docs, 50, max_units=max_units)
     assert sorted(tuple(r) for r in got.select("doc_id", "n_words", "n_removed", "kept").collect()) == brute_words(rows, 50)
     for r in got.collect():
         assert sum(s["end"] - s["begin"] for s in r["spans"]) == r["n_removed"]
 
 
-@pytest.mark.parametrize("max_group", [400, 2])
-def test_bytes_against_brute_force(spark, max_group):
+@pytest.mark.parametrize("max_units", [1_000_000, 300])
+def test_bytes_against_brute_force(spark, max_units):
     rng = random.Random(8)
     rows = [(i, t) for i, t in enumerate(corpus(rng, 60, 40))]
     rng.shuffle(rows)
     rows += [rows[3], (rows[5][0], rows[6][1])]
     docs = spark.createDataFrame([(d, t, 1) for d, t in rows], "doc_id bigint, text string, rk bigint")
-    got = remove_repeated_bytes(docs, 400, max_group=max_group)
+    got = remove_repeated_bytes(docs, 400, max_units=max_units)
     assert sorted((r[0], r[1], r[2], r[3], bytes(r[4])) for r in got.collect()) == brute_bytes(rows, 400)
 
 
