@@ -188,8 +188,26 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lang, pa.string()), pa.array(p, pa.float64()),
                                               pa.array(ok, pa.bool_())], names=["row", "lang_pred", "score", "accepted"])
 
-    frame = docs.select(F.struct(F.col(id_col).alias("id"), *carry).alias("row"), F.col(text_col).alias("text"))
+    frame = docs.select(F.struct(id_col, *carry).alias("row"), F.col(text_col).alias("text"))
     row = frame.schema["row"].dataType.simpleString()
     out = frame.mapInArrow(run, f"row {row}, lang_pred string, score double, accepted boolean")
-    return out.select(F.col("row.id").alias(id_col), *[F.col("row")[c].alias(c) for c in carry],
-                      "lang_pred", "score", "accepted")
+    return out.select(*[F.col("row")[c].alias(c) for c in (id_col, *carry)], "lang_pred", "score", "accepted")
+
+
+def accepted_rows(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows whose text is accepted as one of the model's languages, columns unchanged.
+
+    A model without languages has learnt nothing and rejects nothing.
+    """
+    if not model.langs:
+        return docs
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in batches:
+            got = (own.predict(t) for t in texts(batch, at))
+            yield batch.filter(pa.array([name != "und" and p >= own.reject_below for name, p in got], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

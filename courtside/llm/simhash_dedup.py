@@ -23,8 +23,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import stored, utf8
+from courtside.llm.common import row_key, stored, utf8
 from courtside.llm.components import connected_components
+from courtside.llm.repeats import BROADCAST_BYTES
 
 BITS = 64
 
@@ -171,16 +172,48 @@ def fingerprint_links(fps: DataFrame, max_bits: int, max_bucket: int = 4000) ->
     return found.where("NOT open").unionByName(more).select("a", "b").distinct()
 
 
-def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
-                       text_col: str = "text", carry: tuple[str, ...] = (), max_bucket: int = 4000) -> DataFrame:
-    """Per row: id_col, ``carry``, fingerprint (16 hex digits), component_id (smallest id reachable)."""
-    rows = stored(fingerprints(docs, id_col, text_col, shingle, carry), "fingerprints")
+def _rooted(rows: DataFrame, max_bits: int, max_bucket: int) -> DataFrame:
+    """(fp, least, root): the least id of each fingerprint and the root of its component."""
     least = stored(rows.groupBy("fp").agg(F.min("id").alias("least")), "least")
     roots = connected_components(fingerprint_links(least.select("fp"), max_bits, max_bucket))
-    rooted = least.join(roots, least["fp"] == roots["node"], "left").select(
+    return least.join(roots, least["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+def simhash_components(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
+                       text_col: str = "text", max_bucket: int = 4000) -> DataFrame:
+    """Per row: id_col, fingerprint (16 hex digits), component_id (smallest id reachable)."""
+    rows = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    rooted = _rooted(rows, max_bits, max_bucket)
     component = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(component, "root").select(F.col("fp").alias("named_fp"), "component_id")
-    named = stored(named, "named")
+    named = stored(rooted.join(component, "root").select(F.col("fp").alias("named_fp"), "component_id"), "named")
     return rows.join(named, rows["fp"] == named["named_fp"]).select(
-        F.col("id").alias(id_col), *carry, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id", text_col: str = "text",
+             max_bucket: int = 4000) -> DataFrame:
+    """One row of each component, the one with the smallest id (NULL last, equal ids by a hash of the text).
+
+    Which rows stay is settled on (id, hash) pairs; the texts are joined to the pairs once.
+    """
+    pair = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"),
+                       row_key(docs, id_col, text_col).alias("rk"))
+    rows = stored(fingerprints(pair, "doc", "text", shingle, ("rk",)), "fingerprints")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "rk")).alias("w")
+    rooted = stored(_rooted(rows, max_bits, max_bucket).select(F.col("fp").alias("named_fp"), "root"), "rooted")
+    winners = rows.join(rooted, rows["fp"] == rooted["named_fp"]).groupBy("root").agg(first)
+    winners = stored(winners.select(F.col("w.id").alias("win_id"), F.col("w.rk").alias("win_rk")), "winners")
+    again = rows.groupBy("id", "rk").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    again = stored(again.select(F.col("id").alias("win_id"), F.col("rk").alias("win_rk")), "repeated-rows")
+    key = row_key(docs, id_col, text_col)
+
+    def joined(small: DataFrame, how: str) -> DataFrame:
+        on = docs[id_col].eqNullSafe(small["win_id"]) & (key == small["win_rk"])
+        return docs.join(F.broadcast(small) if small.count() * 32 <= BROADCAST_BYTES else small, on, how)
+
+    once = stored(winners.exceptAll(winners.intersect(again)), "single-winners")
+    twice = stored(winners.intersect(again), "repeated-winners")
+    # Rows that agree in id and text: one of them stays.
+    return joined(once, "left_semi").unionByName(
+        joined(twice, "left_semi").dropDuplicates([id_col, text_col]))
