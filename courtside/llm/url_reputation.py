@@ -56,20 +56,18 @@ def registered_domain(host: Column, two_label: Sequence[str] = TWO_LABEL_SUFFIXE
             F.when(two, last2).otherwise(F.substring_index(name, ".", -1)))
 
 
-def _strength(children: DataFrame, parent: list[str], parent_counts: DataFrame) -> DataFrame:
-    """One row: prior strength M of a level, from the children's overdispersion."""
+def _strength(children: DataFrame, parents: DataFrame, parent: list[str]) -> Column:
+    """Prior strength of a level, a scalar, from how far the children's rates spread inside their parents."""
     pooled = (F.col("pb") + 0.5) / (F.col("pn") + 1.0)
     spread = F.col("n") * F.pow(F.col("b") / F.col("n") - pooled, 2) / (pooled * (1 - pooled))
-    c = children.where("n > 0")
-    p = parent_counts.select(*parent, F.col("n").alias("pn"), F.col("b").alias("pb"))
-    c = c.join(p, parent) if parent else c.crossJoin(F.broadcast(p))  # p is one row there
-    per = c.groupBy(*parent, "pn").agg(F.sum(spread).alias("s"), F.count(F.lit(1)).alias("k"),
-                                       F.sum(F.col("n") * F.col("n")).alias("n2"))
+    p = parents.select(*parent, F.col("n").alias("pn"), F.col("b").alias("pb"))
+    per = children.where("n > 0").join(p, parent).groupBy(*parent, "pn").agg(
+        F.sum(spread).alias("s"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n") * F.col("n")).alias("n2"))
     tot = per.agg(F.sum("s").alias("s"), F.sum(F.col("k") - 1).alias("df"),
                   F.sum(F.col("pn") - F.col("n2") / F.col("pn")).alias("room"))
     rho = (F.col("s") - F.col("df")) / (F.col("room") - F.col("df"))
     rho = F.when((F.col("df") > 0) & (F.col("room") > F.col("df")), rho).otherwise(F.lit(0.0))
-    return tot.select((1 / F.greatest(F.lit(0.005), F.least(F.lit(0.5), F.coalesce(rho, F.lit(0.0)))) - 1).alias("m"))
+    return tot.select(1 / F.greatest(F.lit(0.005), F.least(F.lit(0.5), F.coalesce(rho, F.lit(0.0)))) - 1).scalar()
 
 
 def host_reputation(hosts: DataFrame, z: float = 1.645) -> DataFrame:
@@ -78,24 +76,21 @@ def host_reputation(hosts: DataFrame, z: float = 1.645) -> DataFrame:
     h = hosts.withColumns({"domain": domain, "suffix": suffix})
     sums = [F.sum("n").alias("n"), F.sum("b").alias("b")]
     d = h.groupBy("suffix", "domain").agg(*sums)
-    s = d.groupBy("suffix").agg(*sums)
-    g = s.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"))
-    # Single-row frames: a broadcast of one row each.
-    consts = (F.broadcast(g.select(((F.col("b") + 0.5) / (F.col("n") + 1.0)).alias("p0")))
-              .crossJoin(F.broadcast(_strength(s, [], g).withColumnRenamed("m", "ms")))
-              .crossJoin(F.broadcast(_strength(d, ["suffix"], s).withColumnRenamed("m", "md")))
-              .crossJoin(F.broadcast(_strength(h, ["suffix", "domain"], d).withColumnRenamed("m", "mh"))))
-
-    def post(m: str, prior: str) -> Column:
-        return (F.col(m) * F.col(prior) + F.col("b")) / (F.col(m) + F.col("n"))
-
-    s = s.crossJoin(F.broadcast(consts)).select("suffix", "md", "mh", post("ms", "p0").alias("ps"))
-    d = d.join(s, "suffix").select("suffix", "domain", "mh", post("md", "ps").alias("pd"))
-    mean, weight = post("mh", "pd"), F.col("mh") + F.col("n")
+    s = d.groupBy("suffix").agg(*sums).withColumn("all", F.lit(1))
+    g = s.groupBy("all").agg(*sums)
+
+    def post(strength: Column, prior: Column) -> Column:
+        return (strength * prior + F.col("b")) / (strength + F.col("n"))
+
+    overall = g.select((F.col("b") + 0.5) / (F.col("n") + 1.0)).scalar()
+    s = s.select("suffix", "n", "b", post(_strength(s, g, ["all"]), overall).alias("ps"))
+    d2 = d.join(s.select("suffix", "ps"), "suffix").select(
+        "suffix", "domain", post(_strength(d, s, ["suffix"]), F.col("ps")).alias("pd"))
+    own = h.join(d2, ["suffix", "domain"]).withColumn("m", _strength(h, d, ["suffix", "domain"]))
+    mean, weight = post(F.col("m"), F.col("pd")), F.col("m") + F.col("n")
     # Credible bound on the variance-stabilised (arcsine) scale of Beta(mean * weight, (1 - mean) * weight).
     low = F.pow(F.sin(F.greatest(F.lit(0.0), F.asin(F.sqrt(mean)) - z / (2 * F.sqrt(weight + 1)))), 2)
-    return h.join(d, ["suffix", "domain"]).select("host", "n", "b", F.round(mean, 6).alias("bad_rate"),
-                                                  F.round(low, 6).alias("bad_lower"))
+    return own.select("host", "n", "b", F.round(mean, 6).alias("bad_rate"), F.round(low, 6).alias("bad_lower"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], max_bad_rate: float = 0.5,
