@@ -210,12 +210,12 @@ def repeated_windows(docs: DataFrame, kind: type, length: int, judge: Callable,
     hit = single.join(again.where("wc > 1") if not earlier else again, ["w1", "w2"])
     hit = hit.where("wd < doc") if earlier else hit
     found = found.unionByName(hit.select(*key, "off", F.lit(1).cast("bigint").alias("m")))
+    # Both joins take the segments straight from their table, so adaptive execution can split a hot segment.
     first = kinds.select(*key, F.col("at.doc").alias("first_doc"), "c")
-    known = segs.join(first, key)
-    whole = known.where("doc > first_doc" if earlier else "c > 1").select("doc", "rk", "start", "n")
-    open_ = known.where("doc = first_doc" if earlier else "c = 1").select(*key, "doc", "rk", "start")
-    part = open_.join(found, key).select("doc", "rk", (F.col("start") + F.col("off")).alias("start"),
-                                         F.col("m").alias("n"))
+    whole = segs.join(first, key).where("doc > first_doc" if earlier else "c > 1").select("doc", "rk", "start", "n")
+    found = stored(found.join(first, key).where("true" if earlier else "c = 1").drop("c"), "found-windows")
+    part = segs.drop("n").join(found, key).where("doc = first_doc").select(
+        "doc", "rk", (F.col("start") + F.col("off")).alias("start"), F.col("m").alias("n"))
     return whole.unionByName(part)
 
 

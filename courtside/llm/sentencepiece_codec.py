@@ -360,6 +360,7 @@ def codec_digests(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_co
                            _sha(spans.astype("<i8").tobytes()), int((spans[:, 1] - spans[:, 0]).sum()))
 
             yield from rebatched(rows(), schema)
+        codec.cache.clear()  # the worker process serves other tasks next
 
     out = f"id {id_type}, n bigint, i string, d string, s string, b bigint"
     return docs.select(id_col, text_col).mapInArrow(run, out).toDF(

@@ -28,7 +28,7 @@ from courtside.llm.common import row_key, utf8
 from courtside.llm.repeats import ByteText, covered, repeated_windows, runs, span_hashes, with_ranges
 
 LAST = (1 << 63) - 1
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 
 
 def suffix_array(text: list[int]) -> list[int]:
@@ -169,14 +169,14 @@ def judge(length: int):
 
 
 def remove_repeated_bytes(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                          max_units: int = 6_000_000) -> DataFrame:
+                          max_units: int = 3_000_000) -> DataFrame:
     """Per row: id_col, n_bytes, n_removed, n_spans (maximal removed runs), kept (bytes)."""
     out = _marked(docs, length, id_col, text_col, (id_col,), max_units)
     return out.select(F.col("row")[id_col].alias(id_col), "n_bytes", "n_removed", "n_spans", "kept")
 
 
 def without_repeated_bytes(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text",
-                           size_col: str | None = "n_chars", max_units: int = 6_000_000) -> DataFrame:
+                           size_col: str | None = "n_chars", max_units: int = 3_000_000) -> DataFrame:
     """The rows with the rest of each text, columns unchanged but for the text and its size in characters.
 
     A character that the removal cuts through goes whole; a NULL text becomes empty.
