@@ -6,13 +6,11 @@ from courtside.functions.scalars import (
     guarded_ratio,
     nullif_ratio,
     placeholder_label,
-    ratio,
     status_bucket,
-    timestamp_floor,
 )
 from courtside.functions.semistruct import extract, flatten, parse_raw
 
 __all__ = [
     "surrogate_key", "blank_default", "guarded_ratio", "nullif_ratio", "placeholder_label",
-    "ratio", "status_bucket", "timestamp_floor", "extract", "flatten", "parse_raw",
+    "status_bucket", "extract", "flatten", "parse_raw",
 ]

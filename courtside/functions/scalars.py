@@ -1,4 +1,4 @@
-"""Scalar expressions of the silver and gold models."""
+"""Scalar expressions of the silver and gold models."""
 
 from __future__ import annotations
 
@@ -28,11 +28,6 @@ def nullif_ratio(num, den) -> Column:
     return num.cast("double") / F.nullif(den, F.lit(0)).cast("double")
 
 
-def ratio(num, den) -> Column:
-    """Unguarded num / den as double (ANSI mode raises on a zero den)."""
-    return _col(num).cast("double") / _col(den).cast("double")
-
-
 def status_bucket(year_text, threshold: int = 2024, below: str = "Retired",
                   otherwise: str = "Active", strict: bool = False) -> Column:
     """Year given as text; ``< threshold`` -> ``below``, else (NULL too) ``otherwise``.
@@ -49,7 +44,3 @@ def placeholder_label(prefix: str, key, suffix: str = ")") -> Column:
     """E.g. 'Unknown Player (' || key || ')' with the key cast to text."""
     return F.concat(F.lit(prefix), _col(key).cast("string"), F.lit(suffix))
 
-
-def timestamp_floor(c, floor: str = "1900-01-01") -> Column:
-    """COALESCE(c, floor) as timestamp_ntz."""
-    return F.coalesce(_col(c), F.lit(floor).cast("timestamp_ntz"))

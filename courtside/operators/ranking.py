@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 def value_rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str] = (),
                      descending: bool = True, nulls_first: bool = True, out: str = "rank",
-                     buckets: int = 64, accuracy: int = 10000) -> DataFrame:
+                     buckets: int = 256, accuracy: int = 10000) -> DataFrame:
     """One row per distinct (partition, value): ``__v`` and its rank ``out``."""
     parts = list(partition_cols)
     v = F.col(value_col)
@@ -54,12 +54,12 @@ def value_rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str
     on = [hist["__b"] == t["__t_b"]] + [hist[p].eqNullSafe(t[f"__t_{p}"]) for p in parts]
     return (hist.join(t, on=on, how="inner")
                 .select(*[hist[p] for p in parts], v.alias("__v"),
-                        (F.lit(1) + F.col("__off") + F.col("__before")).cast("int").alias(out)))
+                        (F.lit(1) + F.col("__off") + F.col("__before")).cast("bigint").alias(out)))
 
 
 def scalable_rank(df: DataFrame, value_col: str, partition_cols: Sequence[str] = (),
                   descending: bool = True, nulls_first: bool = True, out: str = "rank",
-                  buckets: int = 64, accuracy: int = 10000, source: DataFrame | None = None) -> DataFrame:
+                  buckets: int = 256, accuracy: int = 10000, source: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = rank() over (partition by partition_cols order by value_col).
 
     ``source`` (default ``df``) is where the value histogram is computed; pass a
@@ -67,21 +67,26 @@ def scalable_rank(df: DataFrame, value_col: str, partition_cols: Sequence[str] =
     rank does not re-derive the previous ones.
     """
     parts = list(partition_cols)
-    ranked = value_rank_table(source if source is not None else df, value_col, parts, descending,
-                              nulls_first, out, buckets, accuracy)
-    cond = [df[value_col].eqNullSafe(ranked["__v"])]
-    cond += [df[p].eqNullSafe(ranked[p]) for p in parts]
-    return df.join(ranked, on=cond, how="inner").select(df["*"], ranked[out])
+    src = source if source is not None else df
+    ranked = value_rank_table(src, value_col, parts, descending, nulls_first, out, buckets, accuracy)
+    if parts:
+        cond = [df[value_col].eqNullSafe(ranked["__v"])] + [df[p].eqNullSafe(ranked[p]) for p in parts]
+        return df.join(ranked, on=cond, how="inner").select(df["*"], ranked[out])
+    # NULL measures share one rank, a scalar: they need no partner in the join.
+    nulls = F.lit(1).cast("bigint") if nulls_first else src.select(F.count(value_col) + 1).scalar()
+    known = ranked.where("__v IS NOT NULL")
+    return df.join(known, on=df[value_col] == known["__v"], how="left").select(
+        df["*"], F.coalesce(known[out], nulls).alias(out))
 
 
 def global_rank(df: DataFrame, value_col: str, descending: bool = True, nulls_first: bool = True,
-                out: str = "rank", buckets: int = 64, source: DataFrame | None = None) -> DataFrame:
+                out: str = "rank", buckets: int = 256, source: DataFrame | None = None) -> DataFrame:
     """Rank over the whole table without a single-partition sort."""
     return scalable_rank(df, value_col, (), descending, nulls_first, out, buckets, source=source)
 
 
 def rank_within(df: DataFrame, partition_cols: Sequence[str], value_col: str, descending: bool = True,
-                nulls_first: bool = True, out: str = "rank", buckets: int = 64) -> DataFrame:
+                nulls_first: bool = True, out: str = "rank", buckets: int = 256) -> DataFrame:
     """Rank inside each partition, safe when one partition holds most rows."""
     return scalable_rank(df, value_col, partition_cols, descending, nulls_first, out, buckets)
 

@@ -17,15 +17,11 @@ from courtside.operators.dedup import latest_per_key
 VERSION_COLS = ("valid_from", "valid_to", "version_id", "version_updated_at")
 
 
-def _changed(left: DataFrame | None, right: DataFrame | None, check_cols: Sequence[str],
-             lcol=None, rcol=None) -> Column:
-    """True when any check column differs, NULL-safely."""
-    lcol = lcol or (lambda c: left[c])
-    rcol = rcol or (lambda c: right[c])
-    conds = [~lcol(c).eqNullSafe(rcol(c)) for c in check_cols]
-    out = conds[0]
-    for c in conds[1:]:
-        out = out | c
+def _any_differs(pairs: Sequence[tuple[Column, Column]]) -> Column:
+    """True when any pair differs, NULL-safely."""
+    out = F.lit(False)
+    for left, right in pairs:
+        out = out | ~left.eqNullSafe(right)
     return out
 
 
@@ -55,34 +51,33 @@ def snapshot_check(snapshot: DataFrame | None, batch: DataFrame, key: str, check
     New key -> open version. Changed check column (NULL-safe) -> the open
     version is closed at the new time and a new one opened. Unchanged -> the
     open version stays untouched (other columns may go stale, by design).
-    Missing key -> stays open unless ``close_missing``.
+    Missing key -> stays open unless ``close_missing`` (which needs ``now``).
+    A row older than the open version is passed over: an interval never ends
+    before it begins. NULL is a key like any other.
 
-    One full outer join of the open versions with the batch on the key; the
-    closed history is passed through without a shuffle.
+    One full outer join of the open versions with the batch; each joined pair
+    gives its zero to two rows in place, and the closed history is passed
+    through without a shuffle.
     """
+    if close_missing and now is None:
+        raise ValueError("close_missing needs the run time `now`")
     fresh = initial_snapshot(batch, key, updated_at_col, now)
     if snapshot is None:
         return fresh
     cols = snapshot.columns
     history = snapshot.filter(F.col("valid_to").isNotNull())
-    open_ = snapshot.filter(F.col("valid_to").isNull())
-
-    o = open_.select(*[F.col(c).alias(f"o__{c}") for c in cols])
-    b = fresh.select(*[F.col(c).alias(f"b__{c}") for c in cols])
-    j = o.join(b, o[f"o__{key}"] == b[f"b__{key}"], "full")
-    has_o = F.col(f"o__{key}").isNotNull()
-    has_b = F.col(f"b__{key}").isNotNull()
-    changed = has_o & has_b & _changed(None, None, check_cols,
-                                       lambda c: F.col(f"o__{c}"), lambda c: F.col(f"b__{c}"))
-
+    o = snapshot.filter(F.col("valid_to").isNull()).select(F.struct(*cols).alias("o"))
+    b = fresh.select(F.struct(*[F.col(c).cast(snapshot.schema[c].dataType).alias(c) for c in cols]).alias("b"))
+    j = o.join(b, F.col(f"o.{key}").eqNullSafe(F.col(f"b.{key}")), "full")
+    has_o, has_b = F.col("o").isNotNull(), F.col("b").isNotNull()
+    differs = _any_differs([(F.col(f"o.{c}"), F.col(f"b.{c}")) for c in check_cols])
+    changed = has_o & has_b & differs & (F.col("b.valid_from") >= F.col("o.valid_from"))
+    close_at = F.when(changed, F.col("b.valid_from"))
     if close_missing:
-        close_at = F.when(changed, F.col("b__valid_from")).when(~has_b, now)
-    else:
-        close_at = F.when(changed, F.col("b__valid_from"))
-    old = j.filter(has_o).select(*[
-        (close_at.alias("valid_to") if c == "valid_to" else F.col(f"o__{c}").alias(c)) for c in cols])
-    new = j.filter(has_b & (~has_o | changed)).select(*[F.col(f"b__{c}").alias(c) for c in cols])
-    return history.unionByName(old).unionByName(new)
+        close_at = close_at.when(~has_b, now.cast("timestamp_ntz"))
+    old = F.when(has_o, F.col("o").withField("valid_to", close_at))
+    new = F.when(has_b & (~has_o | changed), F.col("b"))
+    return history.unionByName(j.select(F.inline(F.array_compact(F.array(old, new)))))
 
 
 def history_bulk(rows: DataFrame, key: str, check_cols: Sequence[str], updated_at_col: str,
@@ -97,11 +92,7 @@ def history_bulk(rows: DataFrame, key: str, check_cols: Sequence[str], updated_a
     """
     per_time = latest_per_key(rows, [key, updated_at_col], list(tie_breakers) or [F.lit(1)])
     w = Window.partitionBy(key).orderBy(F.col(updated_at_col).asc())
-    prev = {c: F.lag(F.col(c)).over(w) for c in check_cols}
-    first = F.row_number().over(w) == 1
-    change = first
-    for c in check_cols:
-        change = change | ~F.col(c).eqNullSafe(prev[c])
+    change = (F.row_number().over(w) == 1) | _any_differs([(F.col(c), F.lag(c).over(w)) for c in check_cols])
     flagged = per_time.withColumn("__keep", change).filter("__keep").drop("__keep")
     ts = F.col(updated_at_col).cast("timestamp_ntz")
     return (flagged.withColumn("version_updated_at", ts)

@@ -10,80 +10,59 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtside.functions.scalars import placeholder_label
-from courtside.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, has_at_most
 
 
-def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left equi join to a dimension, broadcast only when proven small."""
-    side = F.broadcast(dim) if has_at_most(dim, max_broadcast_rows) else dim
-    return df.join(side, on=on, how=how)
+def enrich(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
+    """Left equi join to a dimension; the planner broadcasts it when its bytes allow."""
+    return df.join(dim, on=on, how=how)
 
 
 def resolve_counterpart(facts: DataFrame, dim: DataFrame, text_col: str, own_code_col: str,
-                        dim_code_col: str, dim_cols: Mapping[str, str], n: int = 3,
-                        row_key: Sequence[str] | None = None,
-                        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                        dim_code_col: str, dim_cols: Mapping[str, str], n: int = 3) -> DataFrame:
     """Left join facts to the dimension rows whose code is the first or the
     last ``n`` characters of ``text_col`` and differs from the fact's own code.
 
-    Semantics of ``LEFT JOIN dim ON (LEFT(t,n)=code AND code!=own) OR
-    (RIGHT(t,n)=code AND code!=own)``: a NULL own code matches nothing; an own
-    code in neither position matches both (fan-out); no match keeps the fact
-    row with NULL dimension columns. ``dim_cols`` maps output name -> dim column.
+    A NULL own code matches nothing; an own code in neither position matches both
+    (fan-out); no match keeps the fact row with NULL dimension columns, and
+    repeated facts stay apart. ``dim_cols`` maps output name -> dim column.
 
-    Small dimension (proven by a bounded count): codes are grouped into arrays
-    and broadcast, each fact row looks up both candidates and explodes the
-    matches; no shuffle of the facts. Large dimension: candidates are exploded
-    and equi-joined, then joined back on ``row_key`` (must be unique).
+    One form for every size: the dimension rows of a code become one array, each
+    fact looks up both candidate codes by equality (the planner broadcasts the
+    lookup when its bytes allow, and adaptive execution splits a hot code when
+    not) and explodes the matches. The facts are never joined back to themselves.
     """
-    left_c = F.left(F.col(text_col), F.lit(n))
-    right_c = F.right(F.col(text_col), F.lit(n))
     own = F.col(own_code_col)
     fields = [F.col(c).alias(o) for o, c in dim_cols.items()] + [F.col(dim_code_col).alias("__code")]
     payload = dim.filter(F.col(dim_code_col).isNotNull()).select(
         F.col(dim_code_col).alias("__key"), F.struct(*fields).alias("__m"))
-
-    if has_at_most(dim, max_broadcast_rows):
-        lookup = payload.groupBy("__key").agg(F.collect_list("__m").alias("__ms"))
-        l1 = F.broadcast(lookup.select(F.col("__key").alias("__k1"), F.col("__ms").alias("__ms1")))
-        l2 = F.broadcast(lookup.select(F.col("__key").alias("__k2"), F.col("__ms").alias("__ms2")))
-        f = facts.withColumn("__c1", left_c).withColumn("__c2", right_c)
-        j = (f.join(l1, f["__c1"] == l1["__k1"], "left")
-              .join(l2, (f["__c2"] == l2["__k2"]) & ~f["__c2"].eqNullSafe(f["__c1"]), "left"))
-        empty = F.array().cast(T.ArrayType(payload.schema["__m"].dataType))
-        both = F.concat(F.coalesce(F.col("__ms1"), empty), F.coalesce(F.col("__ms2"), empty))
-        matches = F.filter(both, lambda m: m["__code"] != own)
-        out = j.select(*[F.col(c) for c in facts.columns], F.explode_outer(matches).alias("__hit"))
-        return out.select(*[F.col(c) for c in facts.columns],
-                          *[F.col("__hit")[o].alias(o) for o in dim_cols])
-
-    if not row_key:
-        raise ValueError("a large dimension needs row_key (a unique key of the facts)")
-    keys = list(row_key)
-    cand = facts.select(*keys, own.alias("__own"),
-                        F.explode(F.array_distinct(F.array(left_c, right_c))).alias("__cand"))
-    hits = (cand.join(payload, cand["__cand"] == payload["__key"], "inner")
-                .filter(F.col("__m.__code") != F.col("__own"))
-                .select(*keys, *[F.col("__m")[o].alias(o) for o in dim_cols]))
-    return facts.join(hits, on=keys, how="left")
+    lookup = payload.groupBy("__key").agg(F.collect_list("__m").alias("__ms"))
+    l1 = lookup.select(F.col("__key").alias("__k1"), F.col("__ms").alias("__ms1"))
+    l2 = lookup.select(F.col("__key").alias("__k2"), F.col("__ms").alias("__ms2"))
+    f = facts.withColumns({"__c1": F.left(F.col(text_col), F.lit(n)), "__c2": F.right(F.col(text_col), F.lit(n))})
+    j = (f.join(l1, f["__c1"] == l1["__k1"], "left")
+          .join(l2, (f["__c2"] == l2["__k2"]) & ~f["__c2"].eqNullSafe(f["__c1"]), "left"))
+    empty = F.array().cast(T.ArrayType(payload.schema["__m"].dataType))
+    both = F.concat(F.coalesce(F.col("__ms1"), empty), F.coalesce(F.col("__ms2"), empty))
+    matches = F.filter(both, lambda m: m["__code"] != own)
+    out = j.select(*[F.col(c) for c in facts.columns], F.explode_outer(matches).alias("__hit"))
+    return out.select(*[F.col(c) for c in facts.columns], *[F.col("__hit")[o].alias(o) for o in dim_cols])
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str | None = None,
                 out: str | None = None) -> DataFrame:
-    """DISTINCT fact keys ``NOT IN`` the dimension's keys.
+    """DISTINCT fact keys ``NOT IN`` the dimension's keys, with SQL's NULL rules.
 
-    Null-aware like SQL: a NULL fact key is never an orphan, and one NULL key in
-    the dimension makes the result empty. Written as distinct + left anti join
-    (partial aggregation first, shuffle or AQE broadcast for the anti join) plus
-    a scalar NULL probe, instead of the broadcast-only null-aware anti join.
+    One NULL key in the dimension makes the result empty; an empty dimension gives
+    every key, NULL too; otherwise a NULL fact key is no orphan. Written as
+    distinct + left anti join (partial aggregation first) and one scalar probe of
+    the dimension, instead of the broadcast-only null-aware anti join.
     """
     dim_key = dim_key or fact_key
     out = out or fact_key
-    dim_has_null = dim.select(F.bool_or(F.col(dim_key).isNull())).scalar()
-    keys = fact.select(F.col(fact_key).alias(out)).filter(F.col(out).isNotNull()).distinct()
+    has_null = dim.select(F.bool_or(F.col(dim_key).isNull())).scalar()  # NULL for an empty dimension
+    keys = fact.select(F.col(fact_key).alias(out)).distinct()
     anti = keys.join(dim.select(F.col(dim_key).alias(out)).filter(F.col(out).isNotNull()), on=out, how="left_anti")
-    return anti.filter(~F.coalesce(dim_has_null, F.lit(False)))
+    return anti.filter(F.when(has_null.isNull(), True).otherwise(~has_null & F.col(out).isNotNull()))
 
 
 def fill_orphans(dim: DataFrame, orphans: DataFrame, key: str, defaults: Mapping[str, Column]) -> DataFrame:

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.operators.sizing import broadcast_if_small
 from courtside.sources.tables import read_table
 
 CURRENT_SEASON = "2000"
@@ -113,8 +112,7 @@ def team_game_rows(spark: SparkSession, root: str) -> DataFrame:
         F.col("l_quantity").cast("bigint").alias("team_total_point"))
     rows = rows.join(o.select(F.col("o_orderkey").alias("game_id"), F.col("o_orderdate").alias("game_date"),
                               F.year("o_orderdate").cast("string").alias("season")), on="game_id", how="left")
-    own = broadcast_if_small(codes.select(F.col("code_team_id").alias("own_team_id"),
-                                          F.col("abbreviation").alias("own_abbreviation")))
+    own = codes.select(F.col("code_team_id").alias("own_team_id"), F.col("abbreviation").alias("own_abbreviation"))
     return rows.join(own, on="own_team_id", how="left")
 
 
@@ -136,7 +134,7 @@ def conference_lookup(spark: SparkSession, root: str) -> DataFrame:
     n = read_table(spark, root, "nation")
     r = read_table(spark, root, "region")
     nr = n.join(r, n["n_regionkey"] == r["r_regionkey"], "left").select("n_nationkey", "r_name")
-    return s.join(broadcast_if_small(nr), s["s_nationkey"] == nr["n_nationkey"], "left").select(
+    return s.join(nr, s["s_nationkey"] == nr["n_nationkey"], "left").select(
         F.col("s_suppkey").alias("team_id"), F.col("r_name").alias("conference"))
 
 

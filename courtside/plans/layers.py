@@ -1,4 +1,4 @@
-"""Run the layers in dependency order: landing -> bronze -> snapshots ->
+"""Run the layers in dependency order: landing -> RAW -> bronze -> snapshots ->
 silver -> facts/dims -> gold, then the declared quality checks.
 
 Every table is written as a new parquet version (``VersionedTable``) and read
@@ -9,6 +9,7 @@ lost executor only recomputes the current layer).
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 from courtside.operators.quality import Check, count_failures, freshness, run_checks
 from courtside.plans import models as M
 from courtside.plans.feeds import FEEDS, SNAPSHOTS
-from courtside.sources.landing import feed_path, read_landing, read_seed
-from courtside.sources.tables import BucketedTable, VersionedTable
+from courtside.sources.landing import append_raw, feed_path, logical_date, read_landing, read_seed, rejects
+from courtside.sources.tables import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -26,13 +27,13 @@ class RunConfig:
     warehouse_root: str
     run_ts: str                       # load time stamped on this run's RAW rows
     seed_path: str                    # team -> conference CSV
-    date: str | None = None           # yyyymmdd partition to load; None = all (backfill)
+    date: str | None = None           # yyyymmdd partition to load; None = the day before run_ts
+    backfill: bool = False            # load every landed date instead
     current_season: str = "2025-26"
     since: str = "2025-10-21"
     id_prefix: str | None = "002"
-    shape: str = "jsonl"
+    shape: str = "auto"
     tolerant: bool = False
-    bronze_buckets: int = 0           # > 0: bronze upserts rewrite only the touched hash buckets
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -45,30 +46,44 @@ def table(spark: SparkSession, cfg: RunConfig, layer: str, name: str) -> Version
     return VersionedTable(spark, f"{cfg.warehouse_root.rstrip('/')}/{layer}", name)
 
 
+def raw_path(cfg: RunConfig, feed: str) -> str:
+    return f"{cfg.warehouse_root.rstrip('/')}/raw/{feed}"
+
+
+def load_raw(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
+    """Append this run's landed files of every feed to its RAW table, with the run's load time.
+
+    A feed, or a date of it, that has not landed adds nothing. Returns every RAW table there is.
+    """
+    out = {}
+    date = None if cfg.backfill else cfg.date or logical_date(cfg.run_ts)
+    for name in FEEDS:
+        folder = feed_path(cfg.landing_root, name)
+        if _exists(spark, folder if date is None else f"{folder}/date={date}"):
+            append_raw(read_landing(spark, cfg.landing_root, name, date, cfg.run_ts, cfg.shape), raw_path(cfg, name))
+        if _exists(spark, raw_path(cfg, name)):
+            out[name] = spark.read.parquet(raw_path(cfg, name))
+    return out
+
+
 def load_bronze(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
-    """S7 + M1-M6: every feed with landed files is loaded and upserted."""
+    """M1-M6: every bronze table from the RAW rows loaded after its newest load time."""
     out = {}
-    for name, spec in FEEDS.items():
-        landed = _exists(spark, feed_path(cfg.landing_root, name))
-        if cfg.bronze_buckets:
-            bt = BucketedTable(spark, f"{cfg.warehouse_root.rstrip('/')}/bronze", f"bronze_{name}",
-                               [spec.key_name], cfg.bronze_buckets)
-            if landed:
-                raw = read_landing(spark, cfg.landing_root, name, cfg.date, cfg.run_ts, cfg.shape)
-                bt.upsert(M.bronze_batch(raw, bt.read(), spec, cfg.tolerant))
-            df = bt.read()
-            df = df.drop("_bucket") if df is not None else None
-        else:
-            t = table(spark, cfg, "bronze", f"bronze_{name}")
-            if landed:
-                raw = read_landing(spark, cfg.landing_root, name, cfg.date, cfg.run_ts, cfg.shape)
-                t.write(M.bronze(raw, t.read(), spec, cfg.tolerant))
-            df = t.read()
-        if df is not None:
-            out[name] = df
+    for name, raw in load_raw(spark, cfg).items():
+        t = table(spark, cfg, "bronze", f"bronze_{name}")
+        t.write(M.bronze(raw.where("raw_json IS NOT NULL"), t.read(), FEEDS[name], cfg.tolerant))
+        out[name] = t.read()
     return out
 
 
+def raw_rejects(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
+    """The texts that did not parse, of all feeds: feed, file_name, inserted_at, bad_text."""
+    parts = [rejects(spark.read.parquet(raw_path(cfg, name))).select(F.lit(name).alias("feed"), "file_name", "inserted_at",
+                                                                      "bad_text")
+             for name in FEEDS if _exists(spark, raw_path(cfg, name))]
+    return reduce(DataFrame.unionByName, parts) if parts else None
+
+
 def run_snapshots(spark: SparkSession, cfg: RunConfig, bronze: dict[str, DataFrame]) -> dict[str, DataFrame]:
     out = {}
     now = F.lit(cfg.run_ts).cast("timestamp_ntz")
@@ -89,28 +104,37 @@ def _write(spark: SparkSession, cfg: RunConfig, layer: str, name: str, df: DataF
 
 
 def run_all_layers(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
-    """One scheduled run. Returns every table of the run (read back from storage)."""
+    """One scheduled run. Returns every table of the run (read back from storage).
+
+    Daily and weekly feeds land apart: a table is built as soon as all its inputs exist.
+    """
     bronze = load_bronze(spark, cfg)
-    snaps = run_snapshots(spark, cfg, bronze)
     now = F.lit(cfg.run_ts).cast("timestamp_ntz")
     t: dict[str, DataFrame] = {f"bronze_{k}": v for k, v in bronze.items()}
-    t.update(snaps)
-    w = lambda layer, name, df: t.__setitem__(name, _write(spark, cfg, layer, name, df))
-    w("silver", "silver_box_scores", M.silver_box_scores(bronze["box_scores"]))
-    w("silver", "silver_games", M.silver_games(bronze["games"]))
-    w("silver", "silver_teams", M.silver_teams(bronze["teams"]))
-    w("silver", "silver_player_details", M.silver_player_details(snaps["player_details_snapshot"]))
-    w("silver", "silver_standings", M.silver_standings(snaps["standings_snapshot"]))
-    w("silver", "silver_team_details", M.silver_team_details(snaps["team_details_snapshot"]))
-    w("silver", "fact_player_performances", M.fact_player_performances(t["silver_box_scores"], t["silver_games"]))
-    w("silver", "fact_team_games", M.fact_team_games(t["silver_games"], t["silver_teams"], cfg.since, cfg.id_prefix))
-    w("silver", "dim_players", M.dim_players(t["silver_player_details"], t["fact_player_performances"], now))
-    w("silver", "dim_teams", M.dim_teams(t["silver_teams"], t["silver_team_details"]))
-    seed = read_seed(spark, cfg.seed_path)
-    w("gold", "mart_team_analytics", M.mart_team_analytics(t["dim_teams"], seed, t["fact_team_games"],
-                                                            cfg.current_season))
-    w("gold", "mart_player_analytics", M.mart_player_analytics(t["dim_players"], t["fact_player_performances"],
-                                                                cfg.current_season))
+    t.update(run_snapshots(spark, cfg, bronze))
+    t["conference_seed"] = read_seed(spark, cfg.seed_path)
+    steps = [
+        ("silver", "silver_box_scores", ("bronze_box_scores",), M.silver_box_scores),
+        ("silver", "silver_games", ("bronze_games",), M.silver_games),
+        ("silver", "silver_teams", ("bronze_teams",), M.silver_teams),
+        ("silver", "silver_player_details", ("player_details_snapshot",), M.silver_player_details),
+        ("silver", "silver_standings", ("standings_snapshot",), M.silver_standings),
+        ("silver", "silver_team_details", ("team_details_snapshot",), M.silver_team_details),
+        ("silver", "fact_player_performances", ("silver_box_scores", "silver_games"), M.fact_player_performances),
+        ("silver", "fact_team_games", ("silver_games", "silver_teams"),
+         lambda g, s: M.fact_team_games(g, s, cfg.since, cfg.id_prefix)),
+        ("silver", "dim_players", ("silver_player_details", "fact_player_performances"),
+         lambda p, f: M.dim_players(p, f, now)),
+        ("silver", "dim_teams", ("silver_teams", "silver_team_details"), M.dim_teams),
+        ("gold", "mart_team_analytics", ("dim_teams", "conference_seed", "fact_team_games"),
+         lambda d, c, f: M.mart_team_analytics(d, c, f, cfg.current_season)),
+        ("gold", "mart_player_analytics", ("dim_players", "fact_player_performances"),
+         lambda d, f: M.mart_player_analytics(d, f, cfg.current_season)),
+    ]
+    for layer, name, needs, job in steps:
+        if all(n in t for n in needs):
+            t[name] = _write(spark, cfg, layer, name, job(*(t[n] for n in needs)))
+    del t["conference_seed"]
     return t
 
 
@@ -177,7 +201,8 @@ def declared_checks(t: dict[str, DataFrame]) -> DataFrame:
     }
     parts = []
     for name, checks in specs.items():
-        if name in t:
+        checks = [c for c in checks if c.kind != "relationships" or c.parent is not None]  # its parent is not built yet
+        if name in t and checks:
             parts.append(run_checks(t[name], checks).select(F.lit(name).alias("table"), "*"))
     if "mart_team_analytics" in t:
         m = t["mart_team_analytics"]
@@ -191,11 +216,9 @@ def declared_checks(t: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def source_freshness(spark: SparkSession, raw: dict[str, DataFrame], now: str) -> DataFrame:
-    """Q9 on RAW tables (box scores, games, standings): warn 25 h, error 49 h."""
+def source_freshness(spark: SparkSession, cfg: RunConfig, now: str) -> DataFrame:
+    """Q9 on the RAW tables that exist (box scores, games, standings): warn 25 h, error 49 h."""
     clock = F.lit(now).cast("timestamp_ntz")
-    parts = [freshness(df, "inserted_at", clock, 25, 49, source=name) for name, df in raw.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts = [freshness(spark.read.parquet(raw_path(cfg, n)), "inserted_at", clock, 25, 49, source=n)
+             for n in ("box_scores", "games", "standings") if _exists(spark, raw_path(cfg, n))]
+    return reduce(DataFrame.unionByName, parts)

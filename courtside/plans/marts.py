@@ -52,14 +52,16 @@ def player_mart(dim_players: DataFrame, fact: DataFrame, season: str, recent_ord
 
     base = dim_players.select(*basic_cols)
     # One row per player: materialised once in the shared checkpoint folder, so
-    # the three ranks read it instead of re-deriving the statistics.
-    mart = materialize(base.join(stats, on=key, how="left"))
-    src = mart
-    mart = global_rank(mart, "current_season_avg_points", out="season_pts_rank", source=src)
-    mart = global_rank(mart, "current_season_avg_assists", out="season_ast_rank", source=src)
-    mart = global_rank(mart, "current_season_avg_reb", out="season_reb_rank", source=src)
+    # the three ranks read it instead of re-deriving the statistics. Each rank is
+    # taken on a narrow (row, value) frame; the wide mart is joined once, by row.
+    mart = materialize(base.join(stats, on=key, how="left").withColumn("__row", F.monotonically_increasing_id()))
+    values = ("current_season_avg_points", "current_season_avg_assists", "current_season_avg_reb")
+    ranks = mart.select("__row", *values)
+    for value, name in zip(values, ("season_pts_rank", "season_ast_rank", "season_reb_rank")):
+        ranks = global_rank(ranks, value, out=name, source=mart.select(value))
     stat_cols = [c for c in stats.columns if c != key]
-    return mart.select(*basic_cols, "season_pts_rank", "season_ast_rank", "season_reb_rank", *stat_cols)
+    return mart.join(ranks.drop(*values), on="__row").select(
+        *basic_cols, "season_pts_rank", "season_ast_rank", "season_reb_rank", *stat_cols)
 
 
 TEAM_BASIC = ("team_id", "team_name", "abbreviation", "nickname", "city", "state", "year_founded", "arena_name",

@@ -30,8 +30,9 @@ META = ("source_file", "loaded_at_utc", "api_fetched_at")
 # ---- bronze (M1-M6) ------------------------------------------------------------
 
 def _key_part(v: Column, path: str, kind: str) -> Column:
-    if kind == "date":
-        return F.to_date(F.try_variant_get(v, path, "timestamp_ntz"))
+    if kind == "date":  # a time that does not parse stays in the key as its text
+        text = F.try_variant_get(v, path, "string")
+        return F.coalesce(F.to_date(F.try_variant_get(v, path, "timestamp_ntz")).cast("string"), text)
     return F.try_variant_get(v, path, "string")
 
 
@@ -159,8 +160,7 @@ def fact_team_games(games: DataFrame, teams: DataFrame, since: str, id_prefix: s
     own = teams.select("team_id", F.col("abbreviation").alias("__own"))
     g = enrich(g, own, on="team_id")
     out = resolve_counterpart(g, teams, "matchup", "__own", "abbreviation",
-                              {"opponent_team_id": "team_id", "opponent_abbreviation": "abbreviation"},
-                              row_key=["game_team_id"])
+                              {"opponent_team_id": "team_id", "opponent_abbreviation": "abbreviation"})
     return out.select(surrogate_key("game_id", "team_id").alias("team_game_pk"), "game_id", "team_id",
                       "game_date", "matchup", "plus_minus", "wl", "season", F.col("pts").alias("team_total_point"),
                       "opponent_team_id", "opponent_abbreviation")

@@ -52,8 +52,17 @@ PLAYER_DETAILS_RENAME = {"DISPLAY_FIRST_LAST": "full_name", "TEAM_ID": "team_id"
 BACKFILL_MARKER = "2026-04-12T00:00:00"
 
 
-def _rename(df: DataFrame, mapping: dict[str, str]) -> list[Column]:
-    return [F.col(src).alias(dst) for src, dst in mapping.items() if src in df.columns]
+def _rename(df: DataFrame, mapping: dict[str, str], strict: bool = False) -> list[Column]:
+    """The mapped columns. One that the frame lacks is NULL, or fails the job where the producer does."""
+    missing = sorted(set(mapping) - set(df.columns))
+    if strict and missing:
+        raise ValueError(f"fetched columns are missing: {', '.join(missing)}")
+
+    def empty(name: str) -> Column:
+        kind = "string" if name not in INACTIVE_ZERO_STATS else "double" if name.endswith("_pct") else "bigint"
+        return F.lit(None).cast(kind)
+
+    return [(F.col(src) if src in df.columns else empty(dst)).alias(dst) for src, dst in mapping.items()]
 
 
 def _ts(value: str | Column) -> Column:
@@ -62,7 +71,7 @@ def _ts(value: str | Column) -> Column:
 
 def normalise_games(frame: DataFrame, season: str, fetched_at: str | Column) -> DataFrame:
     """L1: rename, constant season, fetch time."""
-    return frame.select(*_rename(frame, GAMES_RENAME), F.lit(season).alias("season"),
+    return frame.select(*_rename(frame, GAMES_RENAME, strict=True), F.lit(season).alias("season"),
                         _ts(fetched_at).alias("fetched_at"))
 
 
@@ -92,7 +101,7 @@ def normalise_standings(frame: DataFrame, fetched_at: str | Column) -> DataFrame
 def normalise_teams(frame: DataFrame, fetched_at: str | Column) -> DataFrame:
     """Rename the static team list."""
     ts = _ts(fetched_at)
-    return frame.select(*_rename(frame, TEAMS_RENAME), ts.alias("fetched_at"), ts.alias("updated_at"))
+    return frame.select(*_rename(frame, TEAMS_RENAME, strict=True), ts.alias("fetched_at"), ts.alias("updated_at"))
 
 
 def _first_per(frame: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
@@ -121,5 +130,5 @@ def backfill_games(season_frame: DataFrame, season: str, root: str, marker: str
     """A whole season split by game date into one landing partition per date,
     stamped with the constant backfill fetch marker."""
     games = normalise_games(season_frame, season, marker)
-    write_landing(games.withColumn("date", F.regexp_replace(F.col("game_date").cast("string"), "-", "")),
-                  root, "games")
+    day = F.date_format(F.col("game_date").cast("timestamp_ntz"), "yyyyMMdd")
+    write_landing(games.withColumn("date", day).repartition("date"), root, "games")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,17 +63,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):  # local-cluster has executors of its own
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="courtside-ckpt-", dir=os.environ.get("COURTSIDE_SCRATCH")))
     return sc.getCheckpointDir()
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """Folder for intermediate tables: next to the shared checkpoint folder."""
-    return ensure_checkpoint_dir(spark).rstrip("/") + "/tables"
-
-
 def materialize(df):
     """Reliable checkpoint (cuts lineage) into the shared checkpoint folder."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -1,11 +1,14 @@
 """Landing zone: feed files by date.
 
-Layout ``{root}/source/{feed}/date={yyyymmdd}/...``. Two file shapes are read:
+Layout ``{root}/source/{feed}/date={yyyymmdd}/...``. A file is
 
-* ``array``: each file is one JSON array of objects (the reference's shape);
-  read whole (``wholetext``), one row per file, then flattened;
-* ``jsonl``: one object per line, as Spark's JSON writer produces; every line
-  is wrapped into a one-element array so the same flatten applies.
+* one JSON array of objects, as the feeds' producer writes them, or
+* lines of one object or array each, as Spark's JSON writer produces.
+
+The default shape ``auto`` reads a file whole and, where it is not one value, line
+by line; ``array`` and ``jsonl`` say which it is (``jsonl`` splits large files
+over tasks). A single object counts as an array of one, and a text that does not
+parse is kept as a reject.
 
 Writers never gather a whole date into one task: ``write_landing`` lets every
 task write its own file, and ``pack_json_arrays`` cuts a date into arrays of
@@ -14,7 +17,7 @@ about ``max_records`` objects.
 
 from __future__ import annotations
 
-import math
+import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,24 +25,26 @@ from pyspark.sql import types as T
 
 from courtside.functions.semistruct import flatten
 
-RAW_COLUMNS = ("raw_json", "file_name", "inserted_at")
-
-
 def feed_path(root: str, feed: str) -> str:
     return f"{root.rstrip('/')}/source/{feed}"
 
 
+def logical_date(run_ts: str) -> str:
+    """The folder a run loads, the day before its own date, as yyyymmdd."""
+    return (dt.datetime.fromisoformat(run_ts).date() - dt.timedelta(days=1)).strftime("%Y%m%d")
+
+
 def pack_json_arrays(df: DataFrame, date_col: str, feed: str, max_records: int = 10_000) -> DataFrame:
     """S8 in memory: one JSON array text per (date, chunk) of ~max_records objects.
 
-    The chunk count comes from a row count, and rows are spread over chunks by
-    a hash, so no group grows with the data even when one date is hot.
+    Each date gets as many chunks as its own row count asks for (a grouped count,
+    joined back), and rows are spread over them by a hash, so small dates stay
+    one array and no group grows with the data when one date is hot.
     """
-    n = df.count()
-    chunks = max(1, math.ceil(n / max_records))
     payload = [c for c in df.columns if c != date_col]
-    chunk = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in payload]), F.lit(chunks))
-    grouped = (df.withColumn("__chunk", chunk)
+    chunks = df.groupBy(date_col).agg(F.ceil(F.count(F.lit(1)) / max_records).alias("__chunks"))
+    chunk = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in payload]), F.col("__chunks"))
+    grouped = (df.join(chunks, on=date_col).withColumn("__chunk", chunk)
                  .groupBy(date_col, "__chunk")
                  .agg(F.to_json(F.collect_list(F.struct(*payload))).alias("raw_text")))
     name = F.concat(F.lit(f"source/{feed}/date="), F.col(date_col), F.lit(f"/{feed}-"),
@@ -57,30 +62,41 @@ def write_landing(df: DataFrame, root: str, feed: str, date_col: str = "date") -
        .partitionBy(date_col).json(feed_path(root, feed)))
 
 
+def parse_array(text: Column) -> Column:
+    """VARIANT array of a JSON array's elements, or of one object; NULL for anything else.
+
+    The text is parsed inside brackets, so that anything after the first value shows.
+    """
+    start = F.substring(F.regexp_replace(text, "^\\s+", ""), 1, 1)
+    outer = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    alone = F.try_variant_get(outer, "$[1]", "variant").isNull()
+    return F.when((start == "{") & alone, outer).when((start == "[") & alone, F.try_variant_get(outer, "$[0]", "variant"))
+
+
 def read_landing(spark: SparkSession, root: str, feed: str, date: str | None = None,
-                 batch_ts: Column | str | None = None, shape: str = "jsonl") -> DataFrame:
-    """RAW rows (raw_json VARIANT, file_name, inserted_at, date).
+                 batch_ts: Column | str | None = None, shape: str = "auto") -> DataFrame:
+    """RAW rows (raw_json VARIANT, file_name, inserted_at, date, bad_text).
 
-    ``date`` selects one partition (pruned at listing time); ``batch_ts`` is the
-    load time stamped on every row; malformed text gives a NULL ``raw_json``
-    (see ``rejects``).
+    ``date`` opens one date folder (the others are not even listed); ``batch_ts``
+    is the load time stamped on every row; a text that does not parse has a NULL
+    ``raw_json`` and is kept in ``bad_text`` (see ``rejects``). Blank lines are skipped.
     """
-    reader = spark.read.option("recursiveFileLookup", "false")
-    path = feed_path(root, feed)
-    if shape == "array":
-        raw = reader.text(path, wholetext=True)
-        text = F.col("value")
-    else:
-        raw = reader.text(path)
-        text = F.concat(F.lit("["), F.col("value"), F.lit("]"))
-    raw = raw.withColumn("date", F.col("date").cast("string"))
-    if date is not None:
-        raw = raw.filter(F.col("date") == F.lit(date))
+    if shape not in ("auto", "array", "jsonl"):
+        raise ValueError(f"unknown landing shape {shape}")
+    base = feed_path(root, feed)
+    path = f"{base}/date={date}" if date is not None else base
+    raw = spark.read.option("basePath", base).text(path, wholetext=shape != "jsonl")
+    raw = raw.select("value", F.col("date").cast("string").alias("date"), F.col("_metadata.file_path").alias("file_name"))
+    if shape == "auto":
+        whole = parse_array(F.col("value")).isNotNull()
+        texts = F.when(whole, F.array("value")).otherwise(F.split("value", "\\r?\\n"))
+        raw = raw.select(F.explode(texts).alias("value"), "date", "file_name")
+    raw = raw.where(F.trim("value") != "")
     ts = batch_ts if isinstance(batch_ts, Column) else (
         F.lit(batch_ts).cast("timestamp_ntz") if batch_ts else F.localtimestamp())
-    return raw.select(F.try_parse_json(text).alias("raw_json"),
-                      F.col("_metadata.file_path").alias("file_name"),
-                      ts.alias("inserted_at"), F.col("date"))
+    parsed = parse_array(F.col("value"))
+    return raw.select(parsed.alias("raw_json"), "file_name", ts.alias("inserted_at"), "date",
+                      F.when(parsed.isNull(), F.col("value")).alias("bad_text"))
 
 
 def rejects(raw: DataFrame) -> DataFrame:
@@ -88,16 +104,16 @@ def rejects(raw: DataFrame) -> DataFrame:
     return raw.filter(F.col("raw_json").isNull())
 
 
+def append_raw(raw: DataFrame, path: str) -> None:
+    """A (forced) load appends its rows to the RAW table; duplicates are removed downstream."""
+    raw.write.mode("append").parquet(path)
+
+
 def records(raw: DataFrame, value: str = "value") -> DataFrame:
     """V1 over RAW rows: one row per landed object with the file columns kept."""
     return flatten(raw, "raw_json", keep=["file_name", "inserted_at"], value=value)
 
 
-def append_raw(raw: DataFrame, path: str) -> None:
-    """Forced re-load appends again; duplicates are removed downstream."""
-    raw.write.mode("append").parquet(path)
-
-
 SEED_CONFERENCE_SCHEMA = T.StructType([
     T.StructField("team_id", T.LongType()),
     T.StructField("team_name", T.StringType()),

@@ -13,75 +13,30 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return line.strip() if line else None
-    finally:
-        stream.close()
-
-
-def _read_lines(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    stream = fs.open(p)
-    try:
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        lines = []
-        line = reader.readLine()
-        while line is not None:
-            lines.append(line)
-            line = reader.readLine()
-        return lines
-    finally:
-        stream.close()
-
-
-def _write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    tmp = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
-
-
 class VersionedTable:
-    """A table stored as immutable version folders plus a pointer file.
-
-    ``write`` puts a complete new version next to the old ones and then flips
-    ``_CURRENT``; readers of the previous version are never disturbed, a failed
-    job leaves the pointer unchanged, and a version can be read while the next
-    one is built from it (the upsert case).
+    """A table stored as immutable version folders plus numbered marker files.
+
+    ``write`` puts a complete new version next to the old ones, then creates the
+    marker ``_versions/{number}.{version}`` with the next number; the highest
+    number is current. A marker is an empty file made by create-if-absent: nothing
+    is ever deleted or renamed, so a stop at any moment leaves the previous
+    version current and readers undisturbed, and of two writers that take the
+    same number the higher name wins for every reader alike.
     """
 
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark = spark
         self.base = f"{root.rstrip('/')}/{name}"
 
-    @property
-    def pointer(self) -> str:
-        return f"{self.base}/_CURRENT"
+    def _markers(self) -> list[tuple[int, str]]:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/_versions")
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+        return sorted((int(n), v) for n, _, v in (x.partition(".") for x in names) if n.isdigit() and v)
 
     def current_path(self) -> str | None:
-        v = _read_text(self.spark, self.pointer)
-        return f"{self.base}/{v}" if v else None
+        markers = self._markers()
+        return f"{self.base}/{markers[-1][1]}" if markers else None
 
     def exists(self) -> bool:
         return self.current_path() is not None
@@ -97,79 +52,8 @@ class VersionedTable:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        _write_text_atomic(self.spark, self.pointer, version)
+        markers = self._markers()
+        number = markers[-1][0] + 1 if markers else 1
+        marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/_versions/{number:09d}.{version}")
+        marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(marker, False).close()
         return path
-
-
-class BucketedTable:
-    """A keyed table hashed into ``buckets`` folders, upserted bucket by bucket.
-
-    ``bucket = pmod(xxhash64(key...), buckets)``. An upsert reads only the
-    buckets its batch touches (partition pruning), merges them, writes them to
-    a new version folder and then flips the manifest (one line per bucket:
-    ``bucket<TAB>version``), so untouched buckets are never rewritten. The
-    manifest has at most ``buckets`` lines; the touched-bucket list sent to the
-    driver is bounded the same way. Old versions stay readable until removed.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, name: str, key_cols: list[str], buckets: int = 64):
-        self.spark = spark
-        self.base = f"{root.rstrip('/')}/{name}"
-        self.key_cols = list(key_cols)
-        self.buckets = buckets
-
-    @property
-    def manifest_path(self) -> str:
-        return f"{self.base}/_MANIFEST"
-
-    def _manifest(self) -> dict[int, str]:
-        out = {}
-        for line in _read_lines(self.spark, self.manifest_path):
-            if line.strip():
-                b, v = line.split("\t")
-                out[int(b)] = v
-        return out
-
-    def bucket_col(self):
-        from pyspark.sql import functions as F
-        return F.pmod(F.xxhash64(*[F.col(c) for c in self.key_cols]), F.lit(self.buckets)).cast("int")
-
-    def read(self, only: list[int] | None = None) -> DataFrame | None:
-        manifest = self._manifest()
-        if only is not None:
-            manifest = {b: v for b, v in manifest.items() if b in set(only)}
-        if not manifest:
-            return None
-        by_version: dict[str, list[int]] = {}
-        for b, v in manifest.items():
-            by_version.setdefault(v, []).append(b)
-        out = None
-        for v, bs in sorted(by_version.items()):
-            vdir = f"{self.base}/{v}"
-            part = (self.spark.read.option("basePath", vdir)
-                    .parquet(*[f"{vdir}/_bucket={b}" for b in sorted(bs)]))
-            out = part if out is None else out.unionByName(part)
-        return out
-
-    def upsert(self, batch: DataFrame) -> str:
-        from pyspark.sql import functions as F
-
-        from courtside.operators.incremental import upsert as merge
-
-        staged = batch.withColumn("_bucket", self.bucket_col())
-        touched = sorted(r[0] for r in staged.select("_bucket").distinct().collect())
-        if not touched:
-            return ""
-        current = self.read(only=touched)
-        if current is not None:
-            current = current.select(*staged.columns)
-        merged = merge(current, staged, self.key_cols)
-        version = f"v={int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
-        merged.repartition(F.col("_bucket")).write.mode("errorifexists").partitionBy("_bucket") \
-              .parquet(f"{self.base}/{version}")
-        manifest = self._manifest()
-        for b in touched:
-            manifest[b] = version
-        _write_text_atomic(self.spark, self.manifest_path,
-                           "\n".join(f"{b}\t{v}" for b, v in sorted(manifest.items())))
-        return version

@@ -18,19 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from courtside.operators.incremental import upsert
 from courtside.plans.feeds import FeedSpec
-from courtside.plans.models import bronze
-from courtside.sources.landing import feed_path
+from courtside.plans.models import bronze_batch
+from courtside.sources.landing import feed_path, parse_array
 from courtside.sources.tables import VersionedTable
 
 
 def landing_stream(spark: SparkSession, landing_root: str, feed: str, max_files_per_trigger: int = 1000) -> DataFrame:
-    """RAW rows of newly landed JSON-lines files (one object per line)."""
+    """RAW rows of newly landed JSON-lines files (one object or array per line)."""
     src = (spark.readStream.format("text")
                 .option("maxFilesPerTrigger", max_files_per_trigger)
                 .option("recursiveFileLookup", "true")
                 .load(feed_path(landing_root, feed)))
-    return src.select(F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]"))).alias("raw_json"),
+    return src.select(parse_array(F.col("value")).alias("raw_json"),
                       F.col("_metadata.file_path").alias("file_name"))
 
 
@@ -40,24 +41,15 @@ def start_bronze_stream(spark: SparkSession, landing_root: str, warehouse_root:
     table = VersionedTable(spark, f"{warehouse_root.rstrip('/')}/bronze", f"bronze_{spec.name}")
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn("inserted_at", F.localtimestamp())
-        # The stream already hands over only new files: no watermark filter here.
-        table.write(bronze(stamped, None, spec) if not table.exists()
-                    else _merge(table.read(), stamped, spec))
+        stamped = batch.withColumn("inserted_at", F.localtimestamp()).where("raw_json IS NOT NULL").persist()
+        try:  # the stream hands over only new files: no watermark filter here
+            rows = bronze_batch(stamped, None, spec)
+            table.write(upsert(table.read(), rows, [spec.key_name]))
+        finally:
+            stamped.unpersist()
 
     writer = (landing_stream(spark, landing_root, spec.name).writeStream
               .foreachBatch(each_batch).option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time)
     return writer.start()
 
-
-def _merge(target: DataFrame, raw: DataFrame, spec: FeedSpec) -> DataFrame:
-    from courtside.operators.dedup import latest_per_key
-    from courtside.operators.incremental import upsert
-    from courtside.plans.models import bronze_rows, newest_first
-
-    batch = bronze_rows(raw, spec)
-    if spec.entity:
-        batch = latest_per_key(batch, [spec.entity], newest_first(spec.key_name))
-    batch = latest_per_key(batch, [spec.key_name], newest_first())
-    return upsert(target, batch, [spec.key_name])

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from courtside.operators.incremental import dedup_batch, new_rows, upsert
@@ -85,3 +86,19 @@ def test_asof_lookup(spark):
     assert rows(out, "at", "c") == sorted([(T(2023, 12, 31), None), (T(2024, 1, 2, 12), "x"),
                                            (T(2024, 1, 3), "w"), (T(2024, 2, 1), "x")],
                                           key=lambda t: (str(t[0]),))
+
+
+def test_snapshot_null_keys_old_rows_and_missing(spark):
+    first = snapshot_check(None, _batch(spark, [(None, "x", "o", T(2024, 1, 1)), (1, "x", "o", T(2024, 1, 1)),
+                                               (2, "x", "o", T(2024, 1, 1))]), "k", ["c"], updated_at_col="ts")
+    # an older row and a row without change leave the open versions alone; the NULL key is a key
+    late = _batch(spark, [(1, "w", "o", T(2023, 12, 1)), (2, "x", "o9", T(2024, 2, 1))])
+    assert rows(snapshot_check(first, late, "k", ["c"], updated_at_col="ts")) == rows(first)
+    nulls = snapshot_check(first, _batch(spark, [(None, "y", "o", T(2024, 3, 1))]), "k", ["c"], updated_at_col="ts")
+    assert rows(nulls.where("k IS NULL"), "c", "valid_to") == [("x", T(2024, 3, 1)), ("y", None)]
+    assert nulls.count() == 4
+    with pytest.raises(ValueError):
+        snapshot_check(first, late, "k", ["c"], updated_at_col="ts", close_missing=True)
+    now = F.lit("2024-04-01 00:00:00")
+    closed = snapshot_check(first, late, "k", ["c"], updated_at_col="ts", now=now, close_missing=True)
+    assert rows(closed.where("valid_to IS NOT NULL"), "k", "valid_to") == [(None, T(2024, 4, 1))]

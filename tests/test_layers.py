@@ -93,26 +93,53 @@ def test_array_shaped_landing_roundtrip(spark, tmp_path):
     assert records(one_day).count() == 5
 
 
-def test_bucketed_bronze_equals_full_rewrite(spark, tmp_path):
-    from courtside.plans.layers import load_bronze
-
-    landing = str(tmp_path / "landing")
-    _day(spark, landing, "20251101", "2025-11-02T08:00:00", [(101, 102, 110, 100)], [(1, 0), (0, 1), (0, 0), (0, 0)])
-    seed = str(tmp_path / "seed.csv")
-    results = []
-    for buckets in (0, 4):
-        wh = str(tmp_path / f"wh{buckets}")
-        load_bronze(spark, RunConfig(landing, wh, "2025-11-02 09:00:00", seed, date="20251101",
-                                     bronze_buckets=buckets))
-        results.append(load_bronze(spark, RunConfig(landing, wh, "2025-11-02 09:00:00", seed, date="20251101",
-                                                    bronze_buckets=buckets)))
-    _day(spark, landing, "20251102", "2025-11-03T08:00:00", [(102, 101, 99, 101)], [(2, 0), (0, 2), (0, 0), (0, 0)],
-         jersey="8", updated="2026-01-02T00:00:00")
-    final = []
-    for buckets in (0, 4):
-        wh = str(tmp_path / f"wh{buckets}")
-        final.append(load_bronze(spark, RunConfig(landing, wh, "2025-11-03 09:00:00", seed, date="20251102",
-                                                  bronze_buckets=buckets)))
-    for feed in final[0]:
-        a, b = final[0][feed], final[1][feed]
-        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect())), feed
+def test_reference_shape_is_the_default(spark, tmp_path):
+    """A one-line array file of five games gives five bronze rows, a bad file is a reject, the date is the day before."""
+    from courtside.plans.layers import load_bronze, raw_rejects, source_freshness
+
+    folder = tmp_path / "landing/source/games/date=20251101"
+    folder.mkdir(parents=True)
+    games = fx.games("20251101", "2025-11-02T08:00:00", [(101, 102, 110, 100), (103, 104, 90, 95)])
+    (folder / "games.json").write_text(json.dumps([*games, {**games[0], "game_id": "0029999999"}]))
+    (folder / "bad.json").write_text("{broken")
+    cfg = RunConfig(str(tmp_path / "landing"), str(tmp_path / "wh"), "2025-11-02 09:00:00", "")
+    bronze = load_bronze(spark, cfg)
+    assert list(bronze) == ["games"] and bronze["games"].count() == 5
+    assert bronze["games"].where("game_id IS NULL").count() == 0
+    assert [(r.feed, r.bad_text) for r in raw_rejects(spark, cfg).collect()] == [("games", "{broken")]
+    # two days later: nothing landed for the day before, the table stays, and the source is late
+    later = RunConfig(cfg.landing_root, cfg.warehouse_root, "2025-11-04 09:00:00", "")
+    assert load_bronze(spark, later)["games"].count() == 5
+    assert [(r.source, r.status) for r in source_freshness(spark, later, "2025-11-03 12:00:00").collect()] == [("games", "warn")]
+    # a backfill reads every date
+    everything = RunConfig(cfg.landing_root, str(tmp_path / "wh2"), "2025-12-04 09:00:00", "", backfill=True)
+    assert load_bronze(spark, everything)["games"].count() == 5
+
+
+def test_daily_run_before_the_weekly_feeds(spark, tmp_path):
+    landing, seed = str(tmp_path / "landing"), tmp_path / "seed.csv"
+    seed.write_text(fx.CONFERENCE_SEED)
+    g = fx.games("20251101", "2025-11-02T08:00:00", [(101, 102, 110, 100)])
+    _land(spark, landing, "games", "20251101", g)
+    _land(spark, landing, "box_scores", "20251101", fx.box_scores(g, "2025-11-02T08:00:00"))
+    t = run_all_layers(spark, RunConfig(landing, str(tmp_path / "wh"), "2025-11-02 09:00:00", str(seed)))
+    assert "fact_player_performances" in t and "dim_teams" not in t and "mart_team_analytics" not in t
+    assert t["silver_games"].count() == 2
+    assert declared_checks(t).where("failures > 0").count() == 0
+
+
+def test_lines_of_arrays_and_objects(spark, tmp_path):
+    folder = tmp_path / "source/teams/date=20240101"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text('[{"id": 1}, {"id": 2}]\n{"id": 3}\n\n{bad\n')
+    from courtside.sources.landing import records, rejects
+    raw = read_landing(spark, str(tmp_path), "teams", shape="jsonl")
+    assert records(raw).count() == 3
+    assert [r.bad_text for r in rejects(raw).collect()] == ["{bad"]
+    whole = read_landing(spark, str(tmp_path), "teams", shape="array")
+    assert records(whole).count() == 0 and rejects(whole).count() == 1
+    auto = read_landing(spark, str(tmp_path), "teams")
+    assert records(auto).count() == 3 and [r.bad_text for r in rejects(auto).collect()] == ["{bad"]
+    (folder / "b.json").write_text('[\n  {\n    "id": 4\n  },\n  {\n    "id": 5\n  }\n]\n')
+    (folder / "c.json").write_text('[\n  {"id": 6},\n  7\n')
+    assert records(read_landing(spark, str(tmp_path), "teams")).count() == 5

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from courtside.plans import normalise as N
@@ -35,7 +36,11 @@ def test_standings_and_teams_rename(spark):
                                "TeamID long, TeamName string, Conference string, ConferenceRecord string, CurrentStreak long")
     r = N.normalise_standings(st, "2026-03-22T10:00:00").first()
     assert r.team_id == 1 and r.conference_rank == "37-9" and r.streak == 5 and r.updated_at == r.fetched_at
-    tm = spark.createDataFrame([(1, "Ashford Aces", "AAA")], "id long, full_name string, abbreviation string")
+    assert r.division is None  # a column that was not fetched is NULL, where the producer reads it so
+    few = spark.createDataFrame([(1, "Ashford Aces", "AAA")], "id long, full_name string, abbreviation string")
+    with pytest.raises(ValueError):  # and fails where the producer fails
+        N.normalise_teams(few, "x")
+    tm = few.selectExpr("*", "'Aces' nickname", "'Ashford' city", "null state", "1950 year_founded")
     assert N.normalise_teams(tm, "x").first().team_name == "Ashford Aces"
 
 

@@ -1,27 +1,36 @@
-from courtside.operators.incremental import upsert
-from courtside.sources.tables import BucketedTable, VersionedTable
+import os
+
+import pytest
+
+from courtside.sources.tables import VersionedTable
 from tests.conftest import rows
 
 
-def test_versioned_table_pointer(spark, tmp_path):
+def test_versioned_table_marker(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path), "t")
-    assert t.read() is None
+    assert t.read() is None and not t.exists()
     t.write(spark.createDataFrame([(1,)], "a long"))
     first = t.current_path()
     t.write(t.read().unionByName(spark.createDataFrame([(2,)], "a long")))  # built from the current version
     assert rows(t.read()) == [(1,), (2,)] and t.current_path() != first
+    assert len(os.listdir(tmp_path / "t" / "_versions")) >= 2  # older markers stay
+
+
+def test_stop_before_the_marker_changes_nothing(spark, tmp_path):
+    """A version folder without its marker, as a stop leaves it, is never read."""
+    t = VersionedTable(spark, str(tmp_path), "t")
+    t.write(spark.createDataFrame([(1,)], "a long"))
+    spark.createDataFrame([(9,)], "a long").write.parquet(f"{t.base}/v=999999999999999-stopped")
+    assert rows(t.read()) == [(1,)]
 
+    broken = spark.createDataFrame([(2,)], "a long").selectExpr("assert_true(a < 0)", "a")
+    with pytest.raises(Exception):
+        t.write(broken)
+    assert rows(t.read()) == [(1,)]
 
-def test_bucketed_upsert_matches_plain_upsert(spark, tmp_path):
-    t = BucketedTable(spark, str(tmp_path), "b", ["k"], buckets=8)
-    b1 = spark.createDataFrame([(i, f"v{i}") for i in range(40)], "k long, v string")
-    b2 = spark.createDataFrame([(3, "x3"), (50, "x50"), (7, "x7")], "k long, v string")
-    t.upsert(b1)
-    t.upsert(b2)
-    got = t.read().select("k", "v")
-    assert rows(got) == rows(upsert(b1, b2, ["k"]))
-    # untouched buckets still point at the first version
-    versions = set(t._manifest().values())
-    assert len(versions) == 2
-    t.upsert(b2)  # same batch again: unchanged
-    assert rows(t.read().select("k", "v")) == rows(got)
+
+def test_highest_number_wins(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path), "t")
+    for i in range(12):
+        t.write(spark.createDataFrame([(i,)], "a long"))
+    assert rows(t.read()) == [(11,)]
