@@ -80,6 +80,18 @@ def snapshot_check(snapshot: DataFrame | None, batch: DataFrame, key: str, check
     return history.unionByName(j.select(F.inline(F.array_compact(F.array(old, new)))))
 
 
+SLICES = 256
+
+
+def _slice(t: Column, bounds: DataFrame, col: str) -> Column:
+    """The number of the time slice of ``t``: SLICES equal slices of ``bounds``' time range, open at both ends."""
+    micros = F.unix_micros(F.col(col).cast("timestamp"))
+    lo = F.coalesce(bounds.select(F.min(micros)).scalar(), F.lit(0))
+    hi = F.coalesce(bounds.select(F.max(micros)).scalar(), F.lit(0))
+    part = F.floor((F.unix_micros(t.cast("timestamp")) - lo) / (hi - lo + 1) * SLICES)
+    return F.greatest(F.lit(-1), F.least(F.lit(SLICES), part)).cast("int")
+
+
 def history_bulk(rows: DataFrame, key: str, check_cols: Sequence[str], updated_at_col: str,
                  tie_breakers: Sequence[Column] = ()) -> DataFrame:
     """All versions from the full history of rows in one pass.
@@ -87,18 +99,31 @@ def history_bulk(rows: DataFrame, key: str, check_cols: Sequence[str], updated_a
     Same result as applying the batches one by one in ``updated_at`` order,
     with one row per key and time: a row opens a version when it is the
     first of its key or any check column differs from the previous row.
-    Rows are first reduced to one per (key, time) with a map-side top-1, so a
-    key's window holds at most one row per distinct time.
+    Rows are first reduced to one per (key, time) with a map-side top-1. A key's
+    rows are ordered in time slices, and only the last row (then the first
+    version) of each slice is passed to its neighbour, so a hot key spreads over
+    many tasks.
     """
     per_time = latest_per_key(rows, [key, updated_at_col], list(tie_breakers) or [F.lit(1)])
-    w = Window.partitionBy(key).orderBy(F.col(updated_at_col).asc())
-    change = (F.row_number().over(w) == 1) | _any_differs([(F.col(c), F.lag(c).over(w)) for c in check_cols])
-    flagged = per_time.withColumn("__keep", change).filter("__keep").drop("__keep")
-    ts = F.col(updated_at_col).cast("timestamp_ntz")
-    return (flagged.withColumn("version_updated_at", ts)
-                   .withColumn("valid_from", ts)
-                   .withColumn("valid_to", F.lead(ts).over(w))
-                   .withColumn("version_id", surrogate_key(F.col(key), ts)))
+    per_time = per_time.withColumn("__s", _slice(F.col(updated_at_col), rows, updated_at_col))
+    t, k, in_slice = F.col(updated_at_col), F.col(key), Window.partitionBy(key, "__s")
+    over_slices = Window.partitionBy("__k").orderBy("__p")
+
+    def carried(df: DataFrame, value: Column, step: Column) -> DataFrame:
+        """One row per (key, slice) with ``step`` over the values of its slices, joined back."""
+        per = df.groupBy(k.alias("__k"), F.col("__s").alias("__p")).agg(value.alias("__x"))
+        per = per.select("__k", "__p", step.over(over_slices).alias("__carry"))
+        return df.join(per, k.eqNullSafe(per["__k"]) & (df["__s"] == per["__p"]), "left").drop("__k", "__p")
+
+    checks = F.struct(*check_cols)
+    j = carried(per_time, F.max_by(checks, t), F.lag("__x"))
+    prev = F.coalesce(F.lag(checks).over(in_slice.orderBy(t)), F.col("__carry"))
+    flagged = j.withColumn("__keep", prev.isNull() | _any_differs([(F.col(c), prev[c]) for c in check_cols]))
+    flagged = carried(flagged.filter("__keep").drop("__keep", "__carry"), F.min(t), F.lead("__x"))
+    ts = t.cast("timestamp_ntz")
+    end = F.coalesce(F.lead(t).over(in_slice.orderBy(t)), F.col("__carry")).cast("timestamp_ntz")
+    return (flagged.withColumn("version_updated_at", ts).withColumn("valid_from", ts).withColumn("valid_to", end)
+                   .withColumn("version_id", surrogate_key(k, ts)).drop("__s", "__carry"))
 
 
 def current_versions(snapshot: DataFrame, loaded_col: str | None = "loaded_at_utc") -> DataFrame:
@@ -113,11 +138,26 @@ def current_versions(snapshot: DataFrame, loaded_col: str | None = "loaded_at_ut
 
 def asof_lookup(facts: DataFrame, snapshot: DataFrame, fact_key: str, ts_col: str,
                 snap_key: str | None = None, cols: Sequence[str] = ("version_id",)) -> DataFrame:
-    """The version valid at each fact's time: valid_from <= ts < valid_to
-    (open end when NULL). The key is the equi part of the join (hash or
-    sort-merge), the interval a residual condition."""
+    """The version valid at each fact's time: valid_from <= ts < valid_to (open end when NULL).
+
+    Facts and versions are ordered together by time and each fact takes the last
+    version before it, so no fact meets more than one version. The order is per key
+    and time slice, with the version open at the start of each slice carried in:
+    a hot key spreads over many tasks. Versions of a key must not overlap.
+    A fact without key, time or version gets NULLs.
+    """
     snap_key = snap_key or fact_key
-    s = snapshot.select(F.col(snap_key).alias("__sk"), "valid_from", "valid_to", *cols)
-    cond = ((facts[fact_key] == s["__sk"]) & (s["valid_from"] <= facts[ts_col])
-            & (s["valid_to"].isNull() | (facts[ts_col] < s["valid_to"])))
-    return facts.join(s, cond, "left").select(facts["*"], *[s[c] for c in cols])
+    v = snapshot.select(F.col(snap_key).alias("__k"), F.col("valid_from").alias("__t"),
+                        F.struct(F.col("valid_to").alias("__end"), *cols).alias("__v"))
+    f = facts.select(F.col(fact_key).alias("__k"), F.col(ts_col).alias("__t"), F.struct(*facts.columns).alias("__f"))
+    events = v.unionByName(f, allowMissingColumns=True).withColumn("__s", _slice(F.col("__t"), snapshot, "valid_from"))
+    last = events.groupBy("__k", "__s").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__t"))).alias("__last"))
+    before = Window.partitionBy("__k").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select("__k", "__s", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+    here = Window.partitionBy("__k", "__s").orderBy("__t", F.col("__f").isNotNull()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    hit = F.coalesce(F.last("__v", ignorenulls=True).over(here), F.col("__carry"))
+    out = events.join(carry, ["__k", "__s"], "left").withColumn("__hit", hit).where("__f IS NOT NULL")
+    valid = F.col("__k").isNotNull() & F.col("__t").isNotNull() & (
+        F.col("__hit.__end").isNull() | (F.col("__t") < F.col("__hit.__end")))
+    return out.select("__f.*", *[F.when(valid, F.col("__hit")[c]).alias(c) for c in cols])

@@ -102,3 +102,30 @@ def test_snapshot_null_keys_old_rows_and_missing(spark):
     now = F.lit("2024-04-01 00:00:00")
     closed = snapshot_check(first, late, "k", ["c"], updated_at_col="ts", now=now, close_missing=True)
     assert rows(closed.where("valid_to IS NOT NULL"), "k", "valid_to") == [(None, T(2024, 4, 1))]
+
+
+def test_history_and_asof_of_a_hot_key(spark):
+    """One key holds half the rows: the same versions as step by step, spread over slices."""
+    import random
+
+    rng = random.Random(1)
+    data = [((1 if i % 2 else rng.randrange(2, 30)), rng.choice(["x", "y", None]), f"o{i}",
+             T(2020, 1, 1) + dt.timedelta(hours=i)) for i in range(900)] + [(None, "n", "o", T(2020, 1, 5))]
+    history = history_bulk(_batch(spark, data), "k", ["c"], "ts")
+    want, open_at = [], {}
+    for k, c, o, t in sorted(data, key=lambda r: r[3]):
+        if k not in open_at or open_at[k][1] != c:
+            if k in open_at:
+                want.append((*open_at[k], t))
+            open_at[k] = (k, c, o, t)
+    want += [(*v, None) for v in open_at.values()]
+    want = [(k, c, o, f, e) for k, c, o, f, e in want]
+    got = rows(history, "k", "c", "other", "valid_from", "valid_to")
+    assert got == sorted(want, key=lambda t: tuple((x is None, str(x)) for x in t))
+    facts = [(rng.choice([1, 1, 5, 99, None]), T(2019, 12, 30) + dt.timedelta(minutes=rng.randrange(60 * 24 * 50))) for _ in range(400)]
+    facts += [(1, None), (1, data[1][3]), (1, data[1][3])]
+    f = spark.createDataFrame(facts, "k long, at timestamp_ntz")
+    snap = history.withColumnRenamed("c", "val")
+    plain = f.join(snap.withColumnRenamed("k", "sk"), (F.col("k") == F.col("sk")) & (F.col("valid_from") <= F.col("at"))
+                   & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to"))), "left")
+    assert rows(asof_lookup(f, snap, "k", "at", cols=["val", "version_id"])) == rows(plain, "k", "at", "val", "version_id")
