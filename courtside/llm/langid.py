@@ -26,6 +26,7 @@ from courtside.llm.common import texts
 BUCKETS = 1 << 16
 SIZES = (2, 3, 4)
 BLOCK = 1 << 20
+LIMIT = np.float32(8)  # of any weight
 _LETTERS: list[np.ndarray] = []
 
 
@@ -135,9 +136,10 @@ def fit(rows: list[tuple[str, str]], dim: int = 16, epochs: int = 4, rate: float
             g = _softmax(x @ weights + bias)
             g[y] -= 1
             back = weights @ g
-            weights -= step * np.outer(x, g)
+            # Clipped, so that texts of a few n-grams or contradicting labels cannot run away.
+            weights = np.clip(weights - step * np.outer(x, g), -LIMIT, LIMIT)
             bias -= step * g
-            table[buckets] -= np.outer(share * (step * 10), back)
+            table[buckets] = np.clip(table[buckets] - np.outer(share * (step * 10), back), -LIMIT, LIMIT)
     logits = (table @ weights).astype(np.float32)
     model = Model(langs, logits, bias.astype(np.float64), 1.0, 0.5)
     check = [(e, y) for es, y in held for e in es]
