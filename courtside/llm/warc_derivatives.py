@@ -32,7 +32,7 @@ NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivatives")
 CRLF = "\r\n"
 
 # Elements that hold no readable text, and elements that end a line.
-SILENT = "script|style|noscript|template|iframe|svg|head"
+SILENT = "script|style|noscript|template|iframe|svg|title|head"
 LINES = ("address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|"
          "main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul")
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)

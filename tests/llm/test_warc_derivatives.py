@@ -20,11 +20,11 @@ class Text(HTMLParser):
         self.out, self.depth = [], 0
 
     def handle_starttag(self, tag, attrs):
-        self.depth += tag in ("script", "style", "head", "noscript", "template")
+        self.depth += tag in ("script", "style", "title", "head", "noscript", "template")
         self.out.append("\n" if tag in LINES else "")
 
     def handle_endtag(self, tag):
-        self.depth -= tag in ("script", "style", "head", "noscript", "template")
+        self.depth -= tag in ("script", "style", "title", "head", "noscript", "template")
         self.out.append("\n" if tag in LINES else "")
 
     def handle_data(self, data):
