@@ -41,7 +41,8 @@ def texts(batch: pa.RecordBatch, i: int) -> Iterator[str]:
 
 def utf8(batch: pa.RecordBatch, i: int) -> Iterator[bytes]:
     """The column's texts as UTF-8 bytes (NULL: empty), sliced from the Arrow buffer."""
-    col = batch.column(i).cast(pa.large_binary()) if batch.column(i).type != pa.large_binary() else batch.column(i)
+    col = batch.column(i)
+    col = col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary())  # shares the buffer
     return (x.as_py() or b"" for x in col)
 
 
