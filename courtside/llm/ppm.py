@@ -137,9 +137,9 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
                     keys, n = np.unique(key, return_counts=True)
                     parts.append((keys, n.astype(np.int64)))
                     held += len(keys)
-                if held > 4_000_000:
+                if held > 2_000_000:
                     merged = _merge(*(np.concatenate(c) for c in zip(*parts)))
-                    if len(merged[0]) > 2_000_000:
+                    if len(merged[0]) > 1_000_000:
                         yield give(*merged)
                         merged = (merged[0][:0], merged[1][:0])
                     parts, held = [merged], len(merged[0])
@@ -271,7 +271,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for raw in utf8(batch, 0):
                 counts.update(raw.lower().split())
-                if len(counts) > 500_000:
+                if len(counts) > 250_000:
                     yield give()
         if counts:
             yield give()
@@ -281,22 +281,16 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
     """The words of the highest counts, whole count classes only, at most ``most`` words."""
-    top = 1 << 20
-    classes = counts.groupBy(F.least("n", F.lit(top)).alias("n")).agg(F.count(F.lit(1)).alias("k")) \
-        .where(F.col("k") <= most).orderBy(F.desc("n")).collect()
-    large = counts.groupBy((F.col("n") >= top).alias("x")).count().where("x").collect()
-    if large and large[0][1] > most:
-        return {}
+    classes = counts.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count(F.lit(1)).alias("k"))
     least, held = None, 0
-    for r in classes:
+    for r in classes.orderBy(F.desc("n")).collect():  # one row per different count, 2**20 at most
         held += r["k"]
         if held > most:
             break
         least = r["n"]
     if least is None:
         return {}
-    rows = counts.where(F.col("n") >= least).limit(most + 1).collect()
-    return {bytes(r["word"]): r["n"] for r in rows} if len(rows) <= most else {}
+    return {bytes(r["word"]): r["n"] for r in counts.where(F.col("n") >= least).collect()}
 
 
 def train(texts: DataFrame, order: int = 4, max_grams: int = 1 << 23) -> tuple[int, np.ndarray, np.ndarray]:
