@@ -17,6 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+BATCH_ROWS = 2000
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of at most BATCH_ROWS.
+
+    Rows here carry whole texts: Spark's default of 10,000 rows would hold a whole
+    partition of long texts several times over, in the JVM and in the worker.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 
@@ -24,6 +38,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     recomputing what came before, and reads only the columns it needs.
     """
     spark = df.sparkSession
+    text_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import texts
+from courtside.llm.common import text_batches, texts
 
 BUCKETS = 1 << 16
 SIZES = (2, 3, 4)
@@ -179,6 +179,7 @@ def train(docs: DataFrame, training: Column, max_rows: int = 3000, max_chars: in
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
             carry: tuple[str, ...] = ()) -> DataFrame:
     """Per row: id_col, ``carry``, lang_pred, score, accepted (a language, and its score not below the bound)."""
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,6 +204,7 @@ def accepted_rows(docs: DataFrame, model: Model, text_col: str = "text") -> Data
     """
     if not model.langs:
         return docs
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

@@ -112,7 +112,7 @@ def _blocks(at: np.ndarray, t: np.ndarray, row: np.ndarray, stride: int, weight:
     return key[first], vectors, np.repeat(np.arange(len(first)), np.diff(first, append=len(key)))
 
 
-def _chunks(batch: pa.RecordBatch, most: int = 60_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _chunks(batch: pa.RecordBatch, most: int = 12_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(places, terms, row of the batch) in chunks of whole rows, about ``most`` places each."""
     lists = batch.column(batch.schema.get_field_index("at"))
     edges = lists.offsets.to_numpy()

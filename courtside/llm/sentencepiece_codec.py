@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import rebatched, texts
+from courtside.llm.common import rebatched, text_batches, texts
 
 SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
@@ -67,7 +67,7 @@ class CharMap:
 class Codec:
     """Encoder and decoder of one model, given as the bytes of its file."""
 
-    def __init__(self, model: bytes, cache_size: int = 300_000):
+    def __init__(self, model: bytes, cache_size: int = 200_000):
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         proto = pb.ModelProto()
@@ -344,6 +344,7 @@ def codec_digests(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_co
     Columns: id_col, n_tokens, ids_sha256, decoded_sha256, spans_sha256 (little-endian
     64-bit begin and end of each piece), span_bytes (source bytes inside a piece).
     """
+    text_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = docs.schema[id_col].dataType.simpleString()
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import rebatched, utf8
+from courtside.llm.common import rebatched, text_batches, utf8
 
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivatives")
 CRLF = "\r\n"
@@ -113,6 +113,7 @@ def derivatives(responses: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """
     frame = responses.select(F.struct("record_id", "target_uri", "date", *carry).alias("row"), "record_id", "block")
     row = frame.schema["row"].dataType.simpleString()
+    text_batches(responses.sparkSession)
     names = ["record_type", "own_id", "content_type", "source_digest", "block", "block_digest", "content_length"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
