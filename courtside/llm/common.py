@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError, Py4JNetworkError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,9 +43,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     text_batches(spark)
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    atexit.register(_discard, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table when the application ends."""
+    try:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    except (Py4JError, Py4JNetworkError, AttributeError):  # the session is gone; the folder's retention takes it
+        pass
+
+
 def row_key(df: DataFrame, id_col: str, text_col: str) -> Column:
     """64-bit key of (id, text): with the id it tells apart rows that share an id."""
     return F.xxhash64(df[id_col], df[text_col])
