@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import rebatched, row_key, utf8
+from courtside.llm.common import rebatched, row_key, tidied, utf8
 from courtside.llm.repeats import WordText, covered, repeated_windows, runs, with_ranges
 
 LAST = (1 << 63) - 1
@@ -161,5 +161,5 @@ def remove_repeated_words(docs: DataFrame, length: int = 50, id_col: str = "doc_
             yield from rebatched(rows(), schema)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return marked.mapInArrow(run, f"id {kind}, n bigint, m bigint, s array<struct<begin:bigint,end:bigint>>, k string") \
+    return marked.mapInArrow(tidied(run), f"id {kind}, n bigint, m bigint, s array<struct<begin:bigint,end:bigint>>, k string") \
         .toDF(id_col, "n_words", "n_removed", "spans", "kept")

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 
 
 def text_batches(spark: SparkSession) -> None:
@@ -33,6 +36,24 @@ def text_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+def tidied(run: Callable) -> Callable:
+    """``run`` over Arrow batches, with freed memory given back to the system at the end.
+
+    Worker processes outlive their tasks, and what their allocators keep adds to the executor's memory.
+    """
+
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared checkpoint folder and read it back.
 

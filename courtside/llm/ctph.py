@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from courtside.llm.common import rebatched, stored, texts
+from courtside.llm.common import rebatched, stored, texts, tidied
 
 SMALLEST = 3
 LENGTH = 64
@@ -153,7 +153,7 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
 
     fields = (f"place bigint, head string, tail string, id {kind.simpleString()}, n bigint, sha string, fp string, "
               "edited string, next string")
-    done = stored(rows.select("id", "text").mapInArrow(run, fields), "neighbours")
+    done = stored(rows.select("id", "text").mapInArrow(tidied(run), fields), "neighbours")
     result = ["id", "n", "sha", "fp", "edited", "next"]
     inner = done.where("head IS NULL AND tail IS NULL").select(*result)
     # One row per range from here on: the last text of each meets the first of the next non-empty one.
@@ -171,7 +171,7 @@ def fingerprint_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: st
             yield from rebatched((_finished((key, tail, fp), head, head_fp) for key, tail, fp, head, head_fp in cols), schema)
 
     last = ends.select("id", "tail", "fp", "head", "head_fp").mapInArrow(
-        finish, f"id {kind.simpleString()}, n bigint, sha string, fp string, edited string, next string")
+        tidied(finish), f"id {kind.simpleString()}, n bigint, sha string, fp string, edited string, next string")
     both = inner.unionByName(last)
     return both.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), F.col("sha").alias("edited_sha256"),
                        F.col("fp").alias("fingerprint"), F.col("edited").alias("edited_fingerprint"),

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import text_batches, texts
+from courtside.llm.common import text_batches, texts, tidied
 
 BUCKETS = 1 << 16
 SIZES = (2, 3, 4)
@@ -193,7 +193,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     frame = docs.select(F.struct(id_col, *carry).alias("row"), F.col(text_col).alias("text"))
     row = frame.schema["row"].dataType.simpleString()
-    out = frame.mapInArrow(run, f"row {row}, lang_pred string, score double, accepted boolean")
+    out = frame.mapInArrow(tidied(run), f"row {row}, lang_pred string, score double, accepted boolean")
     return out.select(*[F.col("row")[c].alias(c) for c in (id_col, *carry)], "lang_pred", "score", "accepted")
 
 
@@ -214,4 +214,4 @@ def accepted_rows(docs: DataFrame, model: Model, text_col: str = "text") -> Data
             got = (own.predict(t) for t in texts(batch, at))
             yield batch.filter(pa.array([name != "und" and p >= own.reject_below for name, p in got], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidied(run), docs.schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import rebatched, row_key, stored, texts
+from courtside.llm.common import rebatched, row_key, stored, texts, tidied
 from courtside.llm.repeats import join_small
 
 #: ASCII letters and digits in lower case and all bytes above ASCII stay, the rest parts words.
@@ -76,7 +76,7 @@ def document_frequency(docs: DataFrame, terms: dict[bytes, int]) -> np.ndarray:
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(df[at])], names=["t", "n"])
 
-    sums = docs.select("text").mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
+    sums = docs.select("text").mapInArrow(tidied(run), "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(len(terms), np.int64)
     out[sums.column("t").to_numpy()] = sums.column("n").to_numpy()
     return out
@@ -101,7 +101,7 @@ def term_places(docs: DataFrame, terms: dict[bytes, int]) -> DataFrame:
                                               batch.column(1).take(pa.array(keep, pa.int64())),
                                               pa.array(at, lists), pa.array(t, lists)], names=["doc", "rk", "at", "t"])
 
-    return docs.select("doc", "rk", "text").mapInArrow(run, "doc bigint, rk bigint, at array<int>, t array<int>")
+    return docs.select("doc", "rk", "text").mapInArrow(tidied(run), "doc bigint, rk bigint, at array<int>, t array<int>")
 
 
 def _blocks(at: np.ndarray, t: np.ndarray, row: np.ndarray, stride: int, weight: np.ndarray, basis: np.ndarray):
@@ -162,8 +162,8 @@ def gram_product(places: DataFrame, weight: np.ndarray, basis: np.ndarray, strid
         for lo, part in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([part.tobytes()], pa.binary())], names=["lo", "v"])
 
-    summed = places.select("at", "t").mapInArrow(multiply, "lo bigint, v binary").repartition("lo") \
-        .mapInArrow(add, "lo bigint, v binary").collect()
+    summed = places.select("at", "t").mapInArrow(tidied(multiply), "lo bigint, v binary").repartition("lo") \
+        .mapInArrow(tidied(add), "lo bigint, v binary").collect()
     out = np.zeros((rows, width))
     for r in summed:
         part = np.frombuffer(r["v"]).reshape(-1, width)
@@ -207,7 +207,7 @@ def candidates(places: DataFrame, weight: np.ndarray, space: np.ndarray, queries
                      pa.array((dot[p, j] / power[j]).astype(np.float64))],
                     names=["doc", "rk", "passage", "item", "cosine", "energy"])
 
-    return places.mapInArrow(run, "doc bigint, rk bigint, passage bigint, item bigint, cosine double, energy double")
+    return places.mapInArrow(tidied(run), "doc bigint, rk bigint, passage bigint, item bigint, cosine double, energy double")
 
 
 def _verify(found: DataFrame, docs: DataFrame, items: list[list[bytes]], stride: int, min_lcs: float, min_paraphrase: float,
@@ -243,7 +243,7 @@ def _verify(found: DataFrame, docs: DataFrame, items: list[list[bytes]], stride:
                 for j, (share, cosine, kind) in best.items():
                     yield doc, rk, j, cosine, share, kind
 
-    return cut.mapInArrow(lambda b: rebatched(rows(b), pa.schema(names)),
+    return cut.mapInArrow(tidied(lambda b: rebatched(rows(b), pa.schema(names))),
                           "doc bigint, rk bigint, item bigint, cosine double, lcs double, kind string")
 
 

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import stored, utf8
+from courtside.llm.common import stored, tidied, utf8
 
 END, START, BASE = 256, 257, 258
 SYMBOLS = 257  # bytes and the end
@@ -146,7 +146,7 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
         if parts:
             yield give(*_merge(*(np.concatenate(c) for c in zip(*parts))))
 
-    return texts.mapInArrow(run, "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidied(run), "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
 
 
 def shorten(grams: DataFrame) -> DataFrame:
@@ -276,7 +276,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         if counts:
             yield give()
 
-    return texts.mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(tidied(run), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
@@ -353,7 +353,7 @@ def score(docs: DataFrame, training: Column, order: int = 4, id_col: str = "doc_
                 rid += len(raws)
 
     kind = rows.schema["id"].dataType.simpleString()
-    scored = stored(rows.mapInArrow(run, f"rid bigint, id {kind}, held_out boolean, n_tokens bigint, known bigint, "
+    scored = stored(rows.mapInArrow(tidied(run), f"rid bigint, id {kind}, held_out boolean, n_tokens bigint, known bigint, "
                                     "base double, score double, rare array<binary>, rare_n array<bigint>"), "scored")
     tail = scored.select("rid", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")) \
         .select("rid", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("k"))

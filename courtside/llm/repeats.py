@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import mix64, rebatched, stored, utf8
+from courtside.llm.common import mix64, rebatched, stored, tidied, utf8
 
 BLOCK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -153,7 +153,7 @@ def all_segments(docs: DataFrame, kind: type, length: int) -> DataFrame:
                 yield _columns(parts, ["doc", "rk", "start", "n", "a", "s"])
 
     return docs.select("doc", "rk", "text").mapInArrow(
-        run, "doc bigint, rk bigint, start bigint, n bigint, a bigint, s bigint")
+        tidied(run), "doc bigint, rk bigint, start bigint, n bigint, a bigint, s bigint")
 
 
 def _columns(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
@@ -194,7 +194,7 @@ def repeated_windows(docs: DataFrame, kind: type, length: int, judge: Callable,
     asked = unsettled.groupBy(F.col("at.doc").alias("doc"), F.col("at.rk").alias("rk")).agg(F.collect_list(ask).alias("q"))
     asked = stored(asked.select("doc", "rk", *[F.col(f"q.{c}").alias(c) for c in ("start", "n", "a", "c", "hot")]), "asked")
     cut = join_small(docs.select("doc", "rk", "text"), asked, ["doc", "rk"], "inner", F.size("a") * 24 + 96)
-    pieces = stored(cut.mapInArrow(_cutter(kind, length), _PIECE), "pieces")
+    pieces = stored(cut.mapInArrow(tidied(_cutter(kind, length)), _PIECE), "pieces")
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = ((a, s, d, earlier or c == 1, w, p) for b in batches
@@ -203,7 +203,7 @@ def repeated_windows(docs: DataFrame, kind: type, length: int, judge: Callable,
 
     ordered = (pieces.where("NOT hot").select(*key, "doc", "c", "w", "piece").repartition("a")
                .sortWithinPartitions("a", "doc", "s"))
-    found = ordered.mapInArrow(judged, "a bigint, s bigint, off bigint, m bigint")
+    found = ordered.mapInArrow(tidied(judged), "a bigint, s bigint, off bigint, m bigint")
     # Hot anchors: a row per window; pre-aggregated counts, no group is gathered.
     single = pieces.where("hot").select(*key, "doc", "c", "off", "w1", "w2")
     again = single.groupBy("w1", "w2").agg(F.sum("c").alias("wc"), F.min("doc").alias("wd"))
@@ -265,7 +265,7 @@ def ranges_by_text(ranges: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), *(pa.array(x, pa.list_(pa.int64())) for x in out)],
                 names=["doc", "rk", "starts", "ends"])
 
-    return lists.mapInArrow(run, "doc bigint, rk bigint, starts array<bigint>, ends array<bigint>")
+    return lists.mapInArrow(tidied(run), "doc bigint, rk bigint, starts array<bigint>, ends array<bigint>")
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:

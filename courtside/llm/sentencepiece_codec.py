@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import rebatched, text_batches, texts
+from courtside.llm.common import rebatched, text_batches, texts, tidied
 
 SPACE = "▁"
 SPACE_BYTES = SPACE.encode()
@@ -67,7 +67,7 @@ class CharMap:
 class Codec:
     """Encoder and decoder of one model, given as the bytes of its file."""
 
-    def __init__(self, model: bytes, cache_size: int = 200_000):
+    def __init__(self, model: bytes, cache_size: int = 90_000):
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         proto = pb.ModelProto()
@@ -94,6 +94,7 @@ class Codec:
         self.plain = not spec.precompiled_charsmap and not self.squeeze
         self.words = re.compile(self._word_pattern())
         self.cache: dict[str, tuple] = {}
+        self.older: dict[str, tuple] = {}  # the generation before: what is asked for again moves over
         self.cache_size = cache_size
 
     def _word_pattern(self) -> str:
@@ -190,13 +191,14 @@ class Codec:
     def _entry(self, word: str) -> tuple[str, bytes]:
         """(ids as text, rows of uint32: id, bytes of the piece, bytes of it in a text with plain spaces)."""
         known, rows = self.known, []
-        for p in self.merge(word):
+        entry = self.cache.get(word) or self.older.get(word)
+        for p in self.merge(word) if entry is None else ():
             row = known.get(p)
             rows += [row] if row else [self.known_bytes[b] for b in p.encode()]
-        entry = (",".join([r[0] for r in rows]), b"".join([r[1] for r in rows]))
+        entry = entry or (",".join([r[0] for r in rows]), b"".join([r[1] for r in rows]))
         if len(word) <= 48:
             if len(self.cache) >= self.cache_size:
-                self.cache.clear()
+                self.older, self.cache = self.cache, {}
             self.cache[word] = entry
         return entry
 
@@ -361,10 +363,10 @@ def codec_digests(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_co
                            _sha(spans.astype("<i8").tobytes()), int((spans[:, 1] - spans[:, 0]).sum()))
 
             yield from rebatched(rows(), schema)
-        codec.cache.clear()  # the worker process serves other tasks next
+        codec.cache, codec.older = {}, {}  # the worker process serves other tasks next
 
     out = f"id {id_type}, n bigint, i string, d string, s string, b bigint"
-    return docs.select(id_col, text_col).mapInArrow(run, out).toDF(
+    return docs.select(id_col, text_col).mapInArrow(tidied(run), out).toDF(
         id_col, "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256", "span_bytes")
 
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import row_key, stored, utf8
+from courtside.llm.common import row_key, stored, tidied, utf8
 from courtside.llm.components import connected_components
 from courtside.llm.repeats import BROADCAST_BYTES
 
@@ -60,7 +60,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, carr
 
     frame = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *carry)
     kinds = {f.name: f.dataType.simpleString() for f in frame.schema}
-    return frame.mapInArrow(run, ", ".join([f"id {kinds['id']}", "fp bigint", *(f"{c} {kinds[c]}" for c in carry)]))
+    return frame.mapInArrow(tidied(run), ", ".join([f"id {kinds['id']}", "fp bigint", *(f"{c} {kinds[c]}" for c in carry)]))
 
 
 def _bits(lo: int, hi: int) -> int:
@@ -163,12 +163,12 @@ def fingerprint_links(fps: DataFrame, max_bits: int, max_bucket: int = 4000) ->
     """Different fingerprints (fp) -> links (a, b) that connect all within ``max_bits`` of each other."""
     schema = "a bigint, b bigint, open boolean"
     keyed = fps.select(F.explode(variant_keys(F.col("fp"), max_bits)).alias("key"), "fp")
-    found = keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_scan(max_bits, max_bucket), schema)
+    found = keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(tidied(_scan(max_bits, max_bucket)), schema)
     found = stored(found, "fingerprint-links")
     blocks = F.array(*[F.xxhash64("a", F.lit(i), F.col("b").bitwiseAND(F.lit(_bits(lo, hi))))
                        for i, (lo, hi) in enumerate(_cuts(max_bits + 1))])
     split = found.where("open").select(F.explode(blocks).alias("key"), F.col("b").alias("fp"))
-    more = split.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_scan(max_bits, None), schema)
+    more = split.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(tidied(_scan(max_bits, None)), schema)
     return found.where("NOT open").unionByName(more).select("a", "b").distinct()
 
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import row_key, utf8
+from courtside.llm.common import row_key, tidied, utf8
 from courtside.llm.repeats import ByteText, covered, repeated_windows, runs, span_hashes, with_ranges
 
 LAST = (1 << 63) - 1
@@ -213,5 +213,5 @@ def _marked(docs: DataFrame, length: int, id_col: str, text_col: str, carry: tup
                 names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
     row = keyed.schema["row"].dataType.simpleString()
-    return marked.mapInArrow(run, f"row {row}, n_bytes bigint, n_removed bigint, n_spans bigint, "
+    return marked.mapInArrow(tidied(run), f"row {row}, n_bytes bigint, n_removed bigint, n_spans bigint, "
                              f"kept {'string' if as_text else 'binary'}")

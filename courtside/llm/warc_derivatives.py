@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.llm.common import rebatched, text_batches, utf8
+from courtside.llm.common import rebatched, text_batches, tidied, utf8
 
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc-derivatives")
 CRLF = "\r\n"
@@ -130,7 +130,7 @@ def derivatives(responses: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(part.column(0)), *part.columns[1:]],
                                                  names=["row", *names])
 
-    out = frame.mapInArrow(run, f"row {row}, {', '.join(f'{n} string' for n in names[:-1])}, content_length bigint")
+    out = frame.mapInArrow(tidied(run), f"row {row}, {', '.join(f'{n} string' for n in names[:-1])}, content_length bigint")
     return out.select(*[F.col("row")[c].alias(c) for c in carry], "record_type", F.col("own_id").alias("record_id"),
                       F.col("row.record_id").alias("refers_to"), F.col("row.target_uri").alias("target_uri"),
                       F.col("row.date").alias("date"), "content_type", "source_digest", "block_digest", "content_length",
