@@ -225,7 +225,7 @@ def q_fact_left_join(spark: SparkSession, root: str) -> DataFrame:
     games of other years than 1998 carry another key, so they miss."""
     li = read_table(spark, root, "lineitem")
     o = read_table(spark, root, "orders")
-    other = F.when(F.year("o_orderdate") == 1998, F.col("game_id")).otherwise(-F.col("game_id"))
+    other = F.when(F.year("o_orderdate") == 1998, F.col("game_id")).otherwise(-1 - F.col("game_id"))
     team_games = (li.groupBy(F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("team_id"))
                     .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("team_pts"))
                     .join(o.select(F.col("o_orderkey").alias("game_id"), F.col("o_orderdate").alias("game_date"),
@@ -262,7 +262,7 @@ def q_counterpart_join(spark: SparkSession, root: str) -> DataFrame:
 
 def _customers_by_balance(spark: SparkSession, root: str) -> DataFrame:
     """All customers; those in debt carry the negative key, so orders of theirs are orphans."""
-    key = F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).otherwise(-F.col("c_custkey"))
+    key = F.when(F.col("c_acctbal") >= 0, F.col("c_custkey")).otherwise(-1 - F.col("c_custkey"))
     return read_table(spark, root, "customer").withColumn("c_custkey", key)
 
 
