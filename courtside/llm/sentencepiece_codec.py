@@ -18,7 +18,6 @@ import hashlib
 import heapq
 import re
 import struct
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -67,7 +66,7 @@ class CharMap:
 class Codec:
     """Encoder and decoder of one model, given as the bytes of its file."""
 
-    def __init__(self, model: bytes, cache_size: int = 90_000):
+    def __init__(self, model: bytes, cache_size: int = 110_000):
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         proto = pb.ModelProto()
@@ -82,9 +81,12 @@ class Codec:
         self.score = {p.piece: p.score for p in proto.pieces if p.type == kinds.NORMAL}
         self.ids = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == kinds.NORMAL}
         self.byte_ids = {int(p.piece[3:5], 16): i for i, p in enumerate(proto.pieces) if p.type == kinds.BYTE}
-        row = lambda i, size, spaces: (str(i), array("I", (i, size, size - 2 * spaces)).tobytes())
-        self.known = {p: row(i, len(p.encode()), p.count(SPACE)) for p, i in self.ids.items()}
-        self.known_bytes = {b: row(i, 1, 0) for b, i in self.byte_ids.items()}
+        self.names = {p: str(i) for p, i in self.ids.items()}
+        self.byte_names = {b: str(i) for b, i in self.byte_ids.items()}
+        # Bytes of each piece: with space marks, and in a text with plain spaces.
+        self.sizes = np.ones((2, len(self.pieces)), np.int64)
+        for p, i in self.ids.items():
+            self.sizes[:, i] = len(p.encode()), len(p.encode()) - 2 * p.count(SPACE)
         self.id_bytes = {i: b for b, i in self.byte_ids.items()}
         self.silent = {i for i, p in enumerate(proto.pieces) if p.type == kinds.CONTROL}
         self.unk = next((i for i, p in enumerate(proto.pieces) if p.type == kinds.UNKNOWN), -1)
@@ -93,8 +95,8 @@ class Codec:
         self.charmap = CharMap(spec.precompiled_charsmap)
         self.plain = not spec.precompiled_charsmap and not self.squeeze
         self.words = re.compile(self._word_pattern())
-        self.cache: dict[str, tuple] = {}
-        self.older: dict[str, tuple] = {}  # the generation before: what is asked for again moves over
+        self.cache: dict[str, str] = {}
+        self.older: dict[str, str] = {}  # the generation before: what is asked for again moves over
         self.cache_size = cache_size
 
     def _word_pattern(self) -> str:
@@ -188,23 +190,33 @@ class Codec:
             offer(i)
         return [p for p in parts if p]
 
-    def _entry(self, word: str) -> tuple[str, bytes]:
-        """(ids as text, rows of uint32: id, bytes of the piece, bytes of it in a text with plain spaces)."""
-        known, rows = self.known, []
+    def _entry(self, word: str) -> str:
+        """The ids of a word's pieces, joined by commas."""
         entry = self.cache.get(word) or self.older.get(word)
-        for p in self.merge(word) if entry is None else ():
-            row = known.get(p)
-            rows += [row] if row else [self.known_bytes[b] for b in p.encode()]
-        entry = entry or (",".join([r[0] for r in rows]), b"".join([r[1] for r in rows]))
+        if entry is None:
+            names, out = self.names, []
+            for p in self.merge(word):
+                if (name := names.get(p)) is not None:
+                    out.append(name)
+                else:
+                    out.extend([self.byte_names[b] for b in p.encode()])
+            entry = ",".join(out)
         if len(word) <= 48:
             if len(self.cache) >= self.cache_size:
                 self.older, self.cache = self.cache, {}
             self.cache[word] = entry
         return entry
 
-    def entries(self, norm: str) -> list[tuple]:
+    def rest(self) -> None:
+        """Keep one generation of words: the worker process serves other tasks next."""
+        if len(self.cache) > len(self.older) // 2:
+            self.older = self.cache
+        self.cache = {}
+
+    def joined(self, norm: str) -> str:
+        """The ids of a normalised text, joined by commas."""
         get, make = self.cache.get, self._entry
-        return [get(w) or make(w) for w in self.words.findall(norm)]
+        return ",".join([get(w) or make(w) for w in self.words.findall(norm)])
 
     def encode(self, text: str) -> tuple[str, np.ndarray, np.ndarray]:
         """(ids joined by commas, ids, spans): row i of spans is the [begin, end) of piece i in source bytes."""
@@ -215,11 +227,10 @@ class Codec:
             norm, origin = (SPACE if self.dummy_prefix else "") + text.replace(" ", SPACE), None
         else:
             norm, origin = self.normalise(text)
-        found = self.entries(norm)
-        rows = np.frombuffer(b"".join([e[1] for e in found]), np.uint32).reshape(-1, 3)
-        ids = rows[:, 0]
-        ends = np.zeros(len(rows) + 1, np.int64)
-        np.cumsum(rows[:, 2 if direct else 1], out=ends[1:])
+        joined = self.joined(norm)
+        ids = np.fromstring(joined, np.uint32, sep=",")
+        ends = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(self.sizes[int(direct)][ids], out=ends[1:])
         if direct:
             ends[1:] -= self.dummy_prefix
             if len(ids):
@@ -228,7 +239,7 @@ class Codec:
                     ends = _char_starts(chars, ends)
         else:
             ends = origin[ends]
-        return ",".join([e[0] for e in found]), ids, np.stack([ends[:-1], ends[1:]], axis=1)
+        return joined, ids, np.stack([ends[:-1], ends[1:]], axis=1)
 
     # -- decoding --------------------------------------------------------------
 
@@ -363,7 +374,7 @@ def codec_digests(docs: DataFrame, model: bytes, id_col: str = "doc_id", text_co
                            _sha(spans.astype("<i8").tobytes()), int((spans[:, 1] - spans[:, 0]).sum()))
 
             yield from rebatched(rows(), schema)
-        codec.cache, codec.older = {}, {}  # the worker process serves other tasks next
+        codec.rest()
 
     out = f"id {id_type}, n bigint, i string, d string, s string, b bigint"
     return docs.select(id_col, text_col).mapInArrow(tidied(run), out).toDF(
