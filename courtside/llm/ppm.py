@@ -9,10 +9,13 @@ training the trie of each document adapts as it reads.
 
 Training counts are gathered by distributed sums over all training documents:
 (order + 1)-grams for the trie, from which all shorter contexts follow, and
-words for the unigram base. The trie is broadcast, after its grams have been
-counted: the order is the highest for which they stay under ``max_grams``.
-Words with high counts are looked up in a broadcast table of bounded size, all
-others by a join.
+words for the unigram base. The order is the same at every size. A trie of up to
+``max_grams`` grams is broadcast whole, after its grams have been counted. Of a
+larger one the grams of the highest counts are broadcast with their costs, whole
+count classes only; each text's other grams are counted, and their costs come
+from stored tables of grams and contexts by joins, one level of escapes at a
+time. Words with high counts are looked up in a broadcast table of bounded size,
+all others by a join.
 
 Defined results: NULL text is the empty text, which still has its end to
 predict; a NULL id counts as the empty text when the fold is taken; repeated
@@ -158,6 +161,65 @@ def shorten(grams: DataFrame) -> DataFrame:
     return grams.groupBy((F.col("g") % F.lit(BASE ** (digits - 1))).alias("g")).agg(F.sum("n").alias("n"))
 
 
+class CostTable:
+    """Costs of gram keys by open addressing; NaN for a key that it does not hold."""
+
+    def __init__(self, keys: np.ndarray, costs: np.ndarray):
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slot_key = np.full(1 << bits, np.uint64(2 ** 64 - 1))
+        self.slot_cost = np.zeros(1 << bits)
+        left = np.arange(len(keys))
+        at = self._slot(keys)
+        while len(left):
+            free = self.slot_key[at] == np.uint64(2 ** 64 - 1)
+            self.slot_key[at[free]] = keys[left[free]]
+            placed = self.slot_key[at] == keys[left]
+            self.slot_cost[at[placed]] = costs[left[placed]]
+            left, at = left[~placed], (at[~placed] + 1) & self.mask
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def look(self, keys: np.ndarray) -> np.ndarray:
+        at = self._slot(keys)
+        held = self.slot_key[at]
+        out = self.slot_cost[at]
+        miss = np.flatnonzero(held != keys)
+        while len(miss):  # step on while another key holds the slot
+            more = self.slot_key[at[miss]] != np.uint64(2 ** 64 - 1)
+            out[miss[~more]] = np.nan
+            miss = miss[more]
+            at[miss] = (at[miss] + 1) & self.mask
+            hit = self.slot_key[at[miss]] == keys[miss]
+            out[miss[hit]] = self.slot_cost[at[miss[hit]]]
+            miss = miss[~hit]
+        return out
+
+
+def text_costs(raws: list[bytes], order: int, look) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Sum of the known costs of each text, and (text, gram, count) of the grams for which ``look`` gives NaN, by text."""
+    seq, begins = _sequence(raws, order)
+    out = np.zeros(len(raws))
+    of, grams, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for place, key in _gram_blocks(seq, order):
+        doc = np.searchsorted(begins, place, side="right") - 1
+        first = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1])
+        cost = look(key)
+        left = np.flatnonzero(np.isnan(cost))
+        if len(left):
+            cost[left] = 0
+            d, g = doc[left], key[left]
+            by = np.lexsort((g, d))
+            d, g = d[by], g[by]
+            new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (g[1:] != g[:-1])]))
+            of.append(d[new])
+            grams.append(g[new])
+            counts.append(np.diff(new, append=len(d)))
+        out[doc[first]] += np.add.reduceat(cost, first)
+    return out, np.concatenate(of), np.concatenate(grams), np.concatenate(counts)
+
+
 class FixedTrie:
     """A trained trie as sorted tables, scoring many symbols at once."""
 
@@ -180,43 +242,13 @@ class FixedTrie:
                 above["below"] = np.add.reduceat(weight, above["first"]) if len(weight) else weight
             self.levels.append(level)
         self.levels[-1]["below"] = np.zeros(len(self.levels[-1]["context"]))
-        self._index(self.levels[0])
-
-    def _index(self, level: dict) -> None:
-        """Open addressing over the longest grams, which nearly every symbol hits."""
-        n = len(level["gram"])
-        bits = max(4, int(2 * n).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.slot_key = np.full(1 << bits, np.uint64(2 ** 64 - 1))
-        self.slot_cost = np.zeros(1 << bits)
-        per = np.repeat(level["total"] + level["kinds"], level["kinds"].astype(np.int64))
-        cost = np.log10(level["n"] / per) if n else np.zeros(0)
-        left = np.arange(n)
-        at = self._slot(level["gram"])
-        while len(left):
-            free = self.slot_key[at] == np.uint64(2 ** 64 - 1)
-            self.slot_key[at[free]] = level["gram"][left[free]]
-            placed = self.slot_key[at] == level["gram"][left]
-            self.slot_cost[at[placed]] = cost[left[placed]]
-            left, at = left[~placed], (at[~placed] + 1) & self.mask
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        top = self.levels[0]  # the longest grams, which nearly every symbol hits
+        per = np.repeat(top["total"] + top["kinds"], top["kinds"].astype(np.int64))
+        self.table = CostTable(top["gram"], np.log10(top["n"] / per) if len(per) else np.zeros(0))
 
     def costs(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of the last symbol of each gram given the others."""
-        at = self._slot(keys)
-        held = self.slot_key[at]
-        out = self.slot_cost[at]
-        miss = np.flatnonzero(held != keys)
-        while len(miss):  # step on while another key holds the slot
-            more = self.slot_key[at[miss]] != np.uint64(2 ** 64 - 1)
-            out[miss[~more]] = np.nan
-            miss = miss[more]
-            at[miss] = (at[miss] + 1) & self.mask
-            hit = self.slot_key[at[miss]] == keys[miss]
-            out[miss[hit]] = self.slot_cost[at[miss[hit]]]
-            miss = miss[~hit]
+        out = self.table.look(keys)
         unseen = np.flatnonzero(np.isnan(out))
         if len(unseen):
             out[unseen] = self._escaped(keys[unseen])
@@ -247,13 +279,62 @@ class FixedTrie:
 
     def scores(self, raws: list[bytes]) -> np.ndarray:
         """log10 probability of each text and its end."""
-        seq, begins = _sequence(raws, self.order)
-        out = np.zeros(len(raws))
-        for place, key in _gram_blocks(seq, self.order):
-            doc = np.searchsorted(begins, place, side="right") - 1
-            first = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1])
-            out[doc[first]] += np.add.reduceat(self.costs(key), first)
-        return out
+        return text_costs(raws, self.order, self.costs)[0]
+
+
+class TrieTables:
+    """A trained trie of any size as stored tables, one of grams and one of contexts for each order."""
+
+    def __init__(self, grams: DataFrame, order: int):
+        self.order = order
+        self.grams, self.contexts = [grams], []
+        for o in range(order, -1, -1):
+            above = self.grams[-1]
+            rows = above.select("g", "n", (F.col("g") % F.lit(BASE ** o)).alias("lower"))
+            if o:  # what the symbols of each context weigh one level below
+                lower = above.groupBy((F.col("g") % F.lit(BASE ** o)).alias("g")).agg(F.sum("n").alias("n"))
+                self.grams.append(stored(lower, "grams"))
+                rows = rows.join(self.grams[-1].select(F.col("g").alias("lower"), F.col("n").alias("w")), "lower")
+            else:
+                rows = rows.withColumn("w", F.lit(0).cast("bigint"))
+            self.contexts.append(stored(rows.groupBy(F.expr(f"g div {BASE}").alias("c")).agg(
+                F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"), F.sum("w").alias("below")), "contexts"))
+
+    def frequent(self, most: int) -> tuple[np.ndarray, np.ndarray]:
+        """(grams, costs) of the grams of the highest counts, whole count classes only, at most ``most`` grams."""
+        least = least_count(self.grams[0], most)
+        if least is None:
+            return np.zeros(0, np.uint64), np.zeros(0)
+        top = self.grams[0].where(F.col("n") >= least).withColumn("c", F.expr(f"g div {BASE}"))
+        held = top.join(self.contexts[0], "c").select(
+            "g", F.log10(F.col("n") / (F.col("total") + F.col("kinds"))).alias("cost")).toArrow()
+        return held.column("g").to_numpy().astype(np.uint64), held.column("cost").to_numpy()
+
+    def costs(self, asked: DataFrame) -> DataFrame:
+        """(g, cost) of the different grams ``g`` in ``asked``: seen ones at once, the others level by level."""
+        zero = F.lit(0).cast("bigint")
+        rows = asked.select("g", F.lit(0.0).alias("cost"), zero.alias("weight"), zero.alias("out"), F.lit(False).alias("done"))
+        rows = stored(self._level(rows, 0), "gram-costs")
+        settled, rows = rows.where("done").select("g", "cost"), rows.where("NOT done")
+        for k in range(1, self.order + 1):
+            rows = self._level(rows, k)
+        uniform = F.when(F.col("done"), F.lit(0.0)).otherwise(F.log10(F.lit(SYMBOLS) - F.col("out")))
+        return settled.unionByName(rows.select("g", F.coalesce(F.col("cost") - uniform, "cost").alias("cost")))
+
+    def _level(self, rows: DataFrame, k: int) -> DataFrame:
+        """One level of escapes: ``weight`` and ``out`` are the count and number of symbols excluded at it."""
+        o = self.order - k
+        grams = self.grams[k].select(F.col("g").alias("short"), "n")
+        rows = rows.withColumn("short", F.col("g") % F.lit(BASE ** (o + 1))).withColumn("c", F.expr(f"short div {BASE}"))
+        rows = rows.join(grams, "short", "left").join(self.contexts[k], "c", "left")
+        own = F.col("kinds") - F.col("out")
+        mass = F.greatest(F.col("total") - F.col("weight") + own, F.lit(1))
+        hit, known = ~F.col("done") & F.col("n").isNotNull(), ~F.col("done") & F.col("n").isNull() & F.col("kinds").isNotNull()
+        step = F.when(hit, F.log10(F.col("n") / mass)).when(known & (own > 0), F.log10(own / mass)).otherwise(F.lit(0.0))
+        return rows.select("g", (F.col("cost") + step).alias("cost"),
+                           F.when(known, F.col("below")).otherwise(F.col("weight")).alias("weight"),
+                           F.when(known, F.col("kinds")).otherwise(F.col("out")).alias("out"),
+                           (F.col("done") | F.col("n").isNotNull()).alias("done"))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -279,8 +360,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(tidied(run), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
-    """The words of the highest counts, whole count classes only, at most ``most`` words."""
+def least_count(counts: DataFrame, most: int) -> int | None:
+    """Lowest count whose class and all higher ones hold at most ``most`` rows together; None if no class fits."""
     classes = counts.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count(F.lit(1)).alias("k"))
     least, held = None, 0
     for r in classes.orderBy(F.desc("n")).collect():  # one row per different count, 2**20 at most
@@ -288,13 +369,22 @@ def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
         if held > most:
             break
         least = r["n"]
+    return least
+
+
+def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """The words of the highest counts, whole count classes only, at most ``most`` words."""
+    least = least_count(counts, most)
     if least is None:
         return {}
     return {bytes(r["word"]): r["n"] for r in counts.where(F.col("n") >= least).collect()}
 
 
 def train(texts: DataFrame, order: int = 4, max_grams: int = 1 << 23) -> tuple[int, np.ndarray, np.ndarray]:
-    """(order, grams, counts) of the one text column; a lower order if there are over ``max_grams`` grams."""
+    """(order, grams, counts) of the one text column for a FixedTrie; a lower order if there are over ``max_grams`` grams.
+
+    ``score`` does not lower its order: beyond its bound it reads the grams from TrieTables.
+    """
     grams = stored(gram_counts(texts, order), "grams")
     while order and grams.count() > max_grams:
         grams, order = stored(shorten(grams), "grams"), order - 1
@@ -303,29 +393,36 @@ def train(texts: DataFrame, order: int = 4, max_grams: int = 1 << 23) -> tuple[i
 
 
 def score(docs: DataFrame, training: Column, order: int = 4, id_col: str = "doc_id", text_col: str = "text",
-          max_words: int = 1 << 17) -> DataFrame:
+          max_words: int = 1 << 17, max_grams: int = 1 << 23) -> DataFrame:
     """Scores of all rows by the model of the rows where ``training`` holds.
 
     Columns: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score. Tokens are the
     words of the lower-cased text and one end; base_score is their add-one unigram log10 probability.
+    ``max_words`` and ``max_grams`` bound what is broadcast, not the result.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), (~training).alias("held_out"))
     learnt = rows.where("NOT held_out").select("text")
-    order, keys, counts = train(learnt, order)
+    grams, tables = stored(gram_counts(learnt, order), "grams"), None
+    if whole := grams.count() <= max_grams:
+        held = grams.toArrow()
+        trie = held.column("g").to_numpy(), held.column("n").to_numpy()
+    else:
+        tables = TrieTables(grams, order)
+        trie = tables.frequent(max_grams)
     words = stored(word_counts(learnt), "words")
     n_train = learnt.count()
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, kinds = total + n_train, kinds + (n_train > 0)
-    model = spark.sparkContext.broadcast((order, keys, counts, frequent_words(words, max_words), n_train))
+    model = spark.sparkContext.broadcast((trie, frequent_words(words, max_words), n_train))
     made: dict = {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "trie" not in made:
-            order, keys, counts, frequent, n_train = model.value
-            made["trie"] = FixedTrie(order, keys, counts)
+        if "costs" not in made:
+            trie, frequent, _ = model.value
+            made["costs"] = FixedTrie(order, *trie).costs if whole else CostTable(*trie).look
             made["logs"] = {w: math.log10(n + 1) for w, n in frequent.items()}
-        trie, look, ends = made["trie"], made["logs"].get, model.value[4]
+        costs, look, ends = made["costs"], made["logs"].get, model.value[2]
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             at = 0
@@ -342,29 +439,42 @@ def score(docs: DataFrame, training: Column, order: int = 4, id_col: str = "doc_
                     rare_n.extend(tail.values())
                     sizes.append(len(tail))
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+                scores, of, left, left_n = text_costs(raws, order, costs)
+                by = np.argsort(of, kind="stable")  # a text can go over several blocks
+                cuts = pa.array(np.searchsorted(of[by], np.arange(len(raws) + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.arange(rid, rid + len(raws))), batch.column(0).slice(at, len(raws)),
                      batch.column(2).slice(at, len(raws)), pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()),
-                     pa.array(base, pa.float64()), pa.array(trie.scores(raws)),
+                     pa.array(base, pa.float64()), pa.array(scores),
                      pa.ListArray.from_arrays(offsets, pa.array(rare, pa.binary())),
-                     pa.ListArray.from_arrays(offsets, pa.array(rare_n, pa.int64()))],
-                    names=["rid", "id", "held_out", "n_tokens", "known", "base", "score", "rare", "rare_n"])
+                     pa.ListArray.from_arrays(offsets, pa.array(rare_n, pa.int64())),
+                     pa.ListArray.from_arrays(cuts, pa.array(left[by].view(np.int64))),
+                     pa.ListArray.from_arrays(cuts, pa.array(left_n[by]))],
+                    names=["rid", "id", "held_out", "n_tokens", "known", "base", "score", "rare", "rare_n", "left",
+                           "left_n"])
                 at += len(raws)
                 rid += len(raws)
 
     kind = rows.schema["id"].dataType.simpleString()
     scored = stored(rows.mapInArrow(tidied(run), f"rid bigint, id {kind}, held_out boolean, n_tokens bigint, known bigint, "
-                                    "base double, score double, rare array<binary>, rare_n array<bigint>"), "scored")
+                                    "base double, score double, rare array<binary>, rare_n array<bigint>, left array<bigint>, "
+                                    "left_n array<bigint>"), "scored")
     tail = scored.select("rid", F.explode(F.arrays_zip("rare", "rare_n")).alias("x")) \
         .select("rid", F.col("x.rare").alias("word"), F.col("x.rare_n").alias("k"))
     tail = tail.join(words, "word").groupBy("rid").agg(F.sum("k").alias("more"),
                                                        F.sum(F.col("k") * F.log10(F.col("n") + 1)).alias("more_base"))
-    zero = F.lit(0)
-    return scored.join(tail, "rid", "left").select(
+    zero, joined, own = F.lit(0), scored.join(tail, "rid", "left"), F.col("score")
+    if tables is not None:
+        left = stored(scored.select("rid", F.explode(F.arrays_zip("left", "left_n")).alias("x"))
+                      .select("rid", F.col("x.left").alias("g"), F.col("x.left_n").alias("k")), "left-grams")
+        priced = left.join(tables.costs(left.select("g").distinct()), "g")
+        joined = joined.join(priced.groupBy("rid").agg(F.sum(F.col("k") * F.col("cost")).alias("more_score")), "rid", "left")
+        own = F.col("score") + F.coalesce("more_score", F.lit(0.0))
+    return joined.select(
         F.col("id").alias(id_col), "held_out", "n_tokens", (F.col("known") + F.coalesce("more", zero)).alias("n_known"),
         F.lit(int(total)).cast("bigint").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))
-         - F.col("n_tokens") * math.log10(total + kinds + 1)).alias("base_score"), "score")
+         - F.col("n_tokens") * math.log10(total + kinds + 1)).alias("base_score"), own.alias("score"))
 
 
 def adaptive_score(docs: DataFrame, order: int = 4, text_col: str = "text", out_col: str = "score") -> DataFrame:

@@ -55,6 +55,17 @@ def test_scores(spark, order, max_words):
     assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
 
 
+@pytest.mark.parametrize("max_grams", [0, 150])
+def test_order_stays_with_few_broadcast_grams(spark, max_grams):
+    """Grams beyond the broadcast bound are settled by joins: the same scores of order 4."""
+    rows = list(enumerate(texts(random.Random(8), 60)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = sorted(map(tuple, score(docs, crc_mod(F.col("doc_id"), 7) != 2, max_grams=max_grams).collect()))
+    want = sorted(brute(rows, 4))
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    assert np.allclose([r[5:] for r in got], [r[5:] for r in want], rtol=1e-9)
+
+
 def test_probabilities_sum_to_one():
     rng = random.Random(0)
     trie = ContextTrie(3)
