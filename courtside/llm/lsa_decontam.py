@@ -12,8 +12,11 @@ themselves: the longest common subsequence must cover ``min_lcs`` of the item,
 or, for paraphrases, ``min_paraphrase`` of it with its answer (the closing words)
 in place and twice the energy.
 
-The benchmark is the query set: it is read in blocks of ``block`` items, each
-with a latent space of its own, so what is broadcast is bounded by the block.
+The benchmark is the query set. Items of more than ``PART`` words are searched in
+parts of at most that many and verified whole, so passages have one length
+whatever items there are. It is read in blocks of ``block`` parts, each with a
+latent space of its own, so terms, products and query vectors are bounded by the
+block; only the verification holds an item's whole words.
 
 Defined results: NULL or empty texts and items of fewer than ``min_words`` words
 match nothing; an item given twice is reported once; documents with equal ids
@@ -33,6 +36,10 @@ from pyspark.sql import functions as F
 from courtside.llm.common import rebatched, row_key, stored, texts, tidied
 from courtside.llm.repeats import join_small
 
+#: Words of the longest part of an item, and of a passage; passages begin at every half of it.
+PART = 64
+STRIDE = PART // 2
+
 #: ASCII letters and digits in lower case and all bytes above ASCII stay, the rest parts words.
 _TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -210,36 +217,65 @@ def candidates(places: DataFrame, weight: np.ndarray, space: np.ndarray, queries
     return places.mapInArrow(tidied(run), "doc bigint, rk bigint, passage bigint, item bigint, cosine double, energy double")
 
 
-def _verify(found: DataFrame, docs: DataFrame, items: list[list[bytes]], stride: int, min_lcs: float, min_paraphrase: float,
-            min_energy: float, min_words: int) -> DataFrame:
+def _parts(rows: Iterator, min_words: int) -> Iterator[tuple]:
+    """(name, words, begin of the part, its words) of each part of the items, parts of an item about equally long."""
+    for name, text in rows:
+        words = words_of(text)
+        if len(words) >= max(1, min_words):
+            size = -(-len(words) // -(-len(words) // PART))
+            for lo in range(0, len(words), size):
+                yield name, words, lo, words[lo:lo + size]
+
+
+def _regions(near: list[tuple], n: int) -> Iterator[tuple]:
+    """(begin, end, cosine, energy) of the stretches to verify for an item of ``n`` words.
+
+    ``near`` has (where the item would begin, cosine, energy) of each passage found; passages
+    that put a long item at about the same place are verified once.
+    """
+    spans: list[list] = []
+    for begin, cosine, energy in sorted(near):
+        if spans and n > PART and begin - spans[-1][0] <= n // 2:
+            spans[-1][1:] = begin, max(spans[-1][2], cosine), max(spans[-1][3], energy)
+        else:
+            spans.append([begin, begin, cosine, energy])
+    for lo, hi, cosine, energy in spans:
+        yield max(0, lo - n // 2), max(0, hi + PART + n // 2 + (n if n > PART else 0)), cosine, energy
+
+
+def _verify(found: DataFrame, docs: DataFrame, items: list[list[bytes]], parts: list[tuple[int, int]], min_lcs: float,
+            min_paraphrase: float, min_energy: float) -> DataFrame:
     """Rows (doc, rk, item, cosine, lcs, kind) of the candidates whose words hold the item."""
     asked = found.groupBy("doc", "rk").agg(F.collect_list(F.struct("passage", "item", "cosine", "energy")).alias("q"))
     asked = stored(asked, "lsa-asked")
     cut = join_small(docs.select("doc", "rk", "text"), asked, ["doc", "rk"], "inner", F.size("q") * 48 + 96)
-    shared = docs.sparkSession.sparkContext.broadcast(items)
+    shared = docs.sparkSession.sparkContext.broadcast((items, parts))
     names = [("doc", pa.int64()), ("rk", pa.int64()), ("item", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64()),
              ("kind", pa.string())]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        masks = [masks_of(w) for w in shared.value]
+        items, parts = shared.value
+        masks = [masks_of(w) for w in items]
         for batch in batches:
             keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch, 2), batch.column(3))
             for doc, rk, text, asks in keys:
-                words, best = words_of(text), {}
+                words, best, near = words_of(text), {}, {}
                 for a in asks.as_py():
-                    item = shared.value[a["item"]]
+                    j, at = parts[a["item"]]
+                    near.setdefault(j, []).append((a["passage"] * STRIDE - at, a["cosine"], a["energy"]))
+                for j, places in near.items():
+                    item = items[j]
                     n = len(item)
-                    if n < min_words:
-                        continue
-                    region = words[max(0, a["passage"] * stride - n // 2):(a["passage"] + 2) * stride + n // 2]
-                    share = lcs_length(masks[a["item"]], region) / n
-                    kind = "copy" if share >= min_lcs else None
-                    if not kind and share >= min_paraphrase and a["energy"] >= 2 * min_energy:
-                        answer = item[-max(5, n // 4):]
-                        if holds_answer(answer, region):
-                            kind = "paraphrase"
-                    if kind and share > best.get(a["item"], (0.0,))[0]:
-                        best[a["item"]] = (share, a["cosine"], kind)
+                    for lo, hi, cosine, energy in _regions(places, n):
+                        region = words[lo:hi]
+                        share = lcs_length(masks[j], region) / n
+                        kind = "copy" if share >= min_lcs else None
+                        if not kind and share >= min_paraphrase and energy >= 2 * min_energy:
+                            answer = item[-max(5, n // 4):]
+                            if holds_answer(answer, region):
+                                kind = "paraphrase"
+                        if kind and share > best.get(j, (0.0,))[0]:
+                            best[j] = (share, cosine, kind)
                 for j, (share, cosine, kind) in best.items():
                     yield doc, rk, j, cosine, share, kind
 
@@ -263,32 +299,34 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                         F.col(text_col).alias("text")).where("text IS NOT NULL")
     item_type = benchmark.schema[item_col].dataType.simpleString()
     out = None
-    rows = benchmark.select(item_col, item_text_col).toLocalIterator()
+    rows = _parts(benchmark.select(item_col, item_text_col).toLocalIterator(), min_words)
     while part := list(islice(rows, block)):
-        part = [(r[0], w) for r in part if len(w := words_of(r[1])) >= min_words]
-        if not part:
-            continue
-        items = [w for _, w in part]
-        terms = {t: k for k, t in enumerate(sorted({t for w in items for t in w}))}
+        items, titles, parts = [], [], []
+        for name, words, lo, _ in part:
+            if not items or items[-1] is not words:
+                items.append(words)
+                titles.append(name)
+            parts.append((len(items) - 1, lo))
+        asked = [w for *_, w in part]
+        terms = {t: k for k, t in enumerate(sorted({t for w in asked for t in w}))}
         df, n_docs = document_frequency(keyed, terms), max(1, keyed.count())
         kept = {t for t, k in terms.items() if df[k] <= max_df * n_docs}
-        for w in items:
+        for w in asked:
             kept |= set(sorted(set(w), key=lambda t: (df[terms[t]], t))[:rarest])
         kept = {t: k for k, t in enumerate(sorted(t for t in kept if df[terms[t]]))}
         if not kept:
             continue
         weight = np.array([df[terms[t]] for t in kept], np.float32) ** np.float32(-0.5)
-        stride = max(32, -(-max(map(len, items)) // 2))
         places = stored(term_places(keyed, kept), "term-places")
-        space = latent_space(places, weight, len(items) + 16, stride)
-        vectors = np.zeros((len(items), len(kept)), np.float32)
-        for j, w in enumerate(items):
+        space = latent_space(places, weight, len(asked) + 16, STRIDE)
+        vectors = np.zeros((len(asked), len(kept)), np.float32)
+        for j, w in enumerate(asked):
             for t in w:
                 if t in kept:
                     vectors[j, kept[t]] += weight[kept[t]]
-        near = candidates(places, weight, space, vectors @ space, stride, min_cosine, min_energy)
-        hits = _verify(near, keyed, items, stride, min_lcs, min_paraphrase, min_energy, min_words)
-        names = spark.createDataFrame([(j, i) for j, (i, _) in enumerate(part)], f"item bigint, name {item_type}")
+        near = candidates(places, weight, space, vectors @ space, STRIDE, min_cosine, min_energy)
+        hits = _verify(near, keyed, items, parts, min_lcs, min_paraphrase, min_energy)
+        names = spark.createDataFrame(list(enumerate(titles)), f"item bigint, name {item_type}")
         hits = hits.join(F.broadcast(names), "item").select("doc", "rk", "name", "cosine", "lcs", "kind")
         out = hits if out is None else out.unionByName(hits)
     if out is None:

@@ -110,3 +110,20 @@ def test_empty_and_repeated(spark):
     assert [(r["doc_id"], r["item_id"], r["lcs"]) for r in contaminated(docs, bench).collect()] == [(1, 5, 1.0)]
     assert [r["text"] for r in without_leaks(docs, bench).collect()] == ["zz"]
     assert contaminated(docs.limit(0), bench).count() == contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_long_item_beside_short_ones(spark):
+    """A leaked list of short items, and a short copy in a long document, with one very long item in the block."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    sentence = lambda n: [word() for _ in range(n)]
+    items = [sentence(15) for _ in range(60)] + [sentence(3000)]
+    docs = [[w for j in range(60) for w in items[j]], sentence(2000) + items[7] + sentence(2000),
+            sentence(333) + items[60] + sentence(100), sentence(40) + items[60][:1000], *(sentence(50) for _ in range(60))]
+    truth = {(0, j) for j in range(60)} | {(1, 7), (2, 60)}
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id bigint, text string")
+    got = contaminated(frame, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == truth
+    assert all(r["lcs"] == 1 for r in got)
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(frame, bench, block=9).collect()} == truth
