@@ -7,7 +7,10 @@ unless they are among an item's rarest). A randomised SVD of the passage matrix
 (random range finder, one power step, Rayleigh-Ritz), whose products are summed
 over all passages by Spark, gives the latent space. A passage is a candidate for
 an item if their latent cosine reaches ``min_cosine`` and it holds at least
-``min_energy`` of the item's latent energy. Candidates are verified on the words
+``min_energy`` of the item's latent energy, or, whatever else it holds, if the
+item's own kept terms that occur in it have at least ``min_held`` of their summed
+idf. With one half an exact copy is always a candidate: it lies in two passages
+that follow each other, so one of them holds half of it. Candidates are verified on the words
 themselves: the longest common subsequence must cover ``min_lcs`` of the item,
 or, for paraphrases, ``min_paraphrase`` of it with its answer (the closing words)
 in place and twice the energy.
@@ -189,23 +192,52 @@ def latent_space(places: DataFrame, weight: np.ndarray, rank: int, stride: int,
     return (basis @ vectors[:, best]).astype(np.float32)
 
 
+def _held(of: np.ndarray, t: np.ndarray, halves: int, terms: int, items: int, start: np.ndarray, item: np.ndarray,
+          share: np.ndarray) -> np.ndarray:
+    """(halves x items) what part of each item the different terms of each half passage make up."""
+    both = np.unique(of.astype(np.int64) * terms + t)
+    half, t = both // terms, both % terms
+    n = start[t + 1] - start[t]
+    entry = np.arange(n.sum()) + np.repeat(start[t] - np.cumsum(n) + n, n)
+    return np.bincount(np.repeat(half, n) * items + item[entry], share[entry], halves * items).reshape(halves, items)
+
+
+def _own_terms(asked: list[set], idf: dict[int, float]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Items and shares by term number, for ``candidates``."""
+    entries = []
+    for j, w in enumerate(asked):
+        total = sum(idf[k] for k in w)
+        entries += [(k, j, idf[k] / total) for k in w]
+    entries.sort()
+    term, item, share = zip(*entries) if entries else ((), (), ())
+    return (np.searchsorted(np.array(term, np.int64), np.arange(len(idf) + 1)), np.array(item, np.int64),
+            np.array(share, np.float64))
+
+
 def candidates(places: DataFrame, weight: np.ndarray, space: np.ndarray, queries: np.ndarray, stride: int,
-               min_cosine: float, min_energy: float) -> DataFrame:
-    """Rows (doc, rk, passage, item, cosine, energy): passages near an item in the latent space."""
-    shared = places.sparkSession.sparkContext.broadcast((weight, space, queries))
+               min_cosine: float, min_energy: float, own: tuple | None = None, min_held: float = 0.5) -> DataFrame:
+    """Rows (doc, rk, passage, item, cosine, energy): passages near an item in the latent space, or that hold its terms.
+
+    ``own``: (first entry of each term and the end, items, shares of the item that the term makes up).
+    """
+    shared = places.sparkSession.sparkContext.broadcast((weight, space, queries, own))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w, v, q = shared.value
+        w, v, q, shares = shared.value
         power = np.maximum((q * q).sum(axis=1), 1e-30)
         for batch in batches:
             for at, t, row in _chunks(batch):
-                key, half, _ = _blocks(at, t, row, stride, w, v)
+                key, half, of = _blocks(at, t, row, stride, w, v)
                 follows = np.concatenate([key[1:] == key[:-1] + 1, [False]])
                 passage = half.copy()
                 passage[follows] += half[np.flatnonzero(follows) + 1]
                 norm = np.sqrt((passage * passage).sum(axis=1)) + 1e-30
                 dot = passage @ q.T
                 hit = (dot >= min_energy * power) & (dot >= min_cosine * norm[:, None] * np.sqrt(power))
+                if shares is not None:
+                    held = _held(of, t, len(key), len(w), len(q), *shares)
+                    held[:-1][follows[:-1]] += held[1:][follows[:-1]]  # a term in both halves counts twice
+                    hit |= held >= min_held - 1e-6
                 p, j = np.nonzero(hit)
                 own = pa.array(key[p] >> 32)
                 yield pa.RecordBatch.from_arrays(
@@ -292,7 +324,7 @@ def holds_answer(answer: list[bytes], words: list[bytes]) -> bool:
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", block: int = 256, max_df: float = 0.01,
                  rarest: int = 8, min_cosine: float = 0.3, min_energy: float = 0.25, min_lcs: float = 0.8,
-                 min_paraphrase: float = 0.6, min_words: int = 8) -> DataFrame:
+                 min_paraphrase: float = 0.6, min_words: int = 8, min_held: float = 0.5) -> DataFrame:
     """Rows (id_col, rk, item_col, cosine, lcs, kind): documents that hold a benchmark item. ``rk`` tells equal ids apart."""
     spark = docs.sparkSession
     keyed = docs.select(F.col(id_col).cast("bigint").alias("doc"), row_key(docs, id_col, text_col).alias("rk"),
@@ -310,10 +342,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         asked = [w for *_, w in part]
         terms = {t: k for k, t in enumerate(sorted({t for w in asked for t in w}))}
         df, n_docs = document_frequency(keyed, terms), max(1, keyed.count())
-        kept = {t for t, k in terms.items() if df[k] <= max_df * n_docs}
-        for w in asked:
-            kept |= set(sorted(set(w), key=lambda t: (df[terms[t]], t))[:rarest])
-        kept = {t: k for k, t in enumerate(sorted(t for t in kept if df[terms[t]]))}
+        own = [{t for t in w if df[terms[t]] <= max_df * n_docs}
+               | set(sorted(set(w), key=lambda t: (df[terms[t]], t))[:rarest]) for w in asked]
+        kept = {t: k for k, t in enumerate(sorted(t for t in set().union(*own) if df[terms[t]]))}
         if not kept:
             continue
         weight = np.array([df[terms[t]] for t in kept], np.float32) ** np.float32(-0.5)
@@ -324,7 +355,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
             for t in w:
                 if t in kept:
                     vectors[j, kept[t]] += weight[kept[t]]
-        near = candidates(places, weight, space, vectors @ space, STRIDE, min_cosine, min_energy)
+        held = _own_terms([{kept[t] for t in w if t in kept} for w in own], dict(enumerate(weight.tolist())))
+        near = candidates(places, weight, space, vectors @ space, STRIDE, min_cosine, min_energy, held, min_held)
         hits = _verify(near, keyed, items, parts, min_lcs, min_paraphrase, min_energy)
         names = spark.createDataFrame(list(enumerate(titles)), f"item bigint, name {item_type}")
         hits = hits.join(F.broadcast(names), "item").select("doc", "rk", "name", "cosine", "lcs", "kind")

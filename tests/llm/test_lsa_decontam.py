@@ -127,3 +127,17 @@ def test_long_item_beside_short_ones(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got} == truth
     assert all(r["lcs"] == 1 for r in got)
     assert {(r["doc_id"], r["item_id"]) for r in contaminated(frame, bench, block=9).collect()} == truth
+
+
+def test_hot_item_among_rare_ones(spark):
+    """An item copied in a third of the documents is found between two rare ones, too."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    sentence = lambda n: [word() for _ in range(n)]
+    hot, before, after = sentence(40), sentence(40), sentence(40)
+    docs = [sentence(20) + (hot if i % 3 == 0 else []) + sentence(20) for i in range(900)]
+    docs += [sentence(at) + before + hot + after + sentence(9) for at in range(0, 64, 7)]
+    truth = {(i, 0) for i in range(0, 900, 3)} | {(i, j) for i in range(900, len(docs)) for j in range(3)}
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate([hot, before, after])], "item_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in contaminated(frame, bench).collect()} == truth
