@@ -21,13 +21,18 @@ whatever items there are. It is read in blocks of ``block`` parts, each with a
 latent space of its own, so terms, products and query vectors are bounded by the
 block; only the verification holds an item's whole words.
 
-Defined results: NULL or empty texts and items of fewer than ``min_words`` words
-match nothing; an item given twice is reported once; documents with equal ids
+Each character of a script written without spaces is a word. Items of fewer than
+``min_words`` words are found where their words follow each other, by looking up
+the word n-grams of their lengths; they have no cosine.
+
+Defined results: NULL or empty texts match nothing, nor do items of one or two
+words that each occur in more than ``max_df`` of the documents; an item given twice is reported once; documents with equal ids
 are judged apart by their text; an empty benchmark or corpus gives no rows.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import islice, repeat
 
@@ -45,10 +50,21 @@ STRIDE = PART // 2
 
 #: ASCII letters and digits in lower case and all bytes above ASCII stay, the rest parts words.
 _TABLE = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+#: Scripts written without spaces (Thai, Lao, Myanmar, Khmer, kana, Han), their punctuation, and all UTF-8 lead bytes but theirs.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf"
+                       "\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+_STOPS = re.compile("[\u3000-\u3004\u3008-\u303f\u30fb\uff01-\uff0f\uff1a-\uff20\uff3b-\uff40\uff5b-\uff65]")
+_OTHER = bytes(set(range(256)) - {0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0})
+
+#: Short items looked up in one pass over the texts.
+SHORT_BLOCK = 1 << 16
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode().translate(_TABLE).split()
+    raw = (text or "").lower().encode()
+    if not raw.isascii() and raw.translate(None, _OTHER):
+        raw = _UNSPACED.sub(r" \g<0> ", _STOPS.sub(" ", raw.decode())).encode()
+    return raw.translate(_TABLE).split()
 
 
 def lcs_length(masks: dict[bytes, int], words: list[bytes]) -> int:
@@ -315,6 +331,41 @@ def _verify(found: DataFrame, docs: DataFrame, items: list[list[bytes]], parts:
                           "doc bigint, rk bigint, item bigint, cosine double, lcs double, kind string")
 
 
+def short_copies(docs: DataFrame, items: list[list[bytes]]) -> DataFrame:
+    """Rows (doc, rk, item, cosine, lcs, kind) of the texts in which an item's words follow each other."""
+    held: dict[tuple, list[int]] = {}
+    lengths: dict[bytes, set[int]] = {}
+    for j, w in enumerate(items):
+        held.setdefault(tuple(w), []).append(j)
+        lengths.setdefault(w[0], set()).add(len(w))
+    shared = docs.sparkSession.sparkContext.broadcast((held, lengths))
+    names = [("doc", pa.int64()), ("rk", pa.int64()), ("item", pa.int64())]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        held, lengths = shared.value
+        for batch in batches:
+            for doc, rk, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts(batch, 2)):
+                words, found = words_of(text), set()
+                for i, sizes in enumerate(map(lengths.get, words)):
+                    for n in sizes or ():
+                        found.update(held.get(tuple(words[i:i + n]), ()))
+                for j in found:
+                    yield doc, rk, j
+
+    out = docs.select("doc", "rk", "text").mapInArrow(tidied(lambda b: rebatched(rows(b), pa.schema(names))),
+                                                      "doc bigint, rk bigint, item bigint")
+    return out.select("*", F.lit(None).cast("double").alias("cosine"), F.lit(1.0).alias("lcs"), F.lit("copy").alias("kind"))
+
+
+def _telling(docs: DataFrame, part: list[tuple], max_df: float) -> list[tuple]:
+    """The (name, words) of three words or more, or with a word that few documents hold."""
+    terms = {t: k for k, t in enumerate(sorted({t for _, w in part if len(w) < 3 for t in w}))}
+    if not terms:
+        return part
+    df, most = document_frequency(docs, terms), max(1, max_df * docs.count())
+    return [(i, w) for i, w in part if len(w) > 2 or any(df[terms[t]] <= most for t in w)]
+
+
 def holds_answer(answer: list[bytes], words: list[bytes]) -> bool:
     """Whether the answer's words occur in order within a stretch of one and a half times its length."""
     masks, n = masks_of(answer), len(answer)
@@ -361,6 +412,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         names = spark.createDataFrame(list(enumerate(titles)), f"item bigint, name {item_type}")
         hits = hits.join(F.broadcast(names), "item").select("doc", "rk", "name", "cosine", "lcs", "kind")
         out = hits if out is None else out.unionByName(hits)
+    short = ((r[0], words_of(r[1])) for r in benchmark.select(item_col, item_text_col).toLocalIterator())
+    short = (r for r in short if 0 < len(r[1]) < min_words)
+    while part := list(islice(short, SHORT_BLOCK)):
+        part = _telling(keyed, part, max_df)
+        if not part:
+            continue
+        names = spark.createDataFrame([(j, i) for j, (i, _) in enumerate(part)], f"item bigint, name {item_type}")
+        hits = short_copies(keyed, [w for _, w in part]).join(F.broadcast(names), "item")
+        hits = hits.select("doc", "rk", "name", "cosine", "lcs", "kind")
+        out = hits if out is None else out.unionByName(hits)
     if out is None:
         out = spark.createDataFrame([], f"doc bigint, rk bigint, name {item_type}, cosine double, lcs double, kind string")
     best = F.max(F.struct("lcs", "cosine", "kind")).alias("b")

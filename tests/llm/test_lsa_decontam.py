@@ -141,3 +141,15 @@ def test_hot_item_among_rare_ones(spark):
     frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id bigint, text string")
     bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate([hot, before, after])], "item_id bigint, text string")
     assert {(r["doc_id"], r["item_id"]) for r in contaminated(frame, bench).collect()} == truth
+
+
+def test_short_and_unspaced_items(spark):
+    items = ["Who wrote the Iliad?", "法国的首都是哪座城市?它的人口是多少?", "日本で一番高い山は?", "ประเทศไทยมีกี่จังหวัด", "unheard", "is a",
+             "who, wrote the iliad", "三国"]
+    texts = ["So: who wrote\nthe ILIAD, then?", "who wrote or read the iliad", "问题:法国的首都是哪座城市?它的人口是多少?答案", "富士山。日本で一番高い山は富士山です",
+             "ถาม ประเทศไทยมีกี่จังหวัด ตอบ", "this is a word", "that is a word unheard of", "法国的山", *["this is a text"] * 200]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]): r["lcs"] for r in contaminated(frame, bench).collect()}
+    assert got == dict.fromkeys([(0, 0), (0, 6), (2, 1), (3, 2), (4, 3), (6, 4)], 1.0)
+    assert words_of("東京 Tokyo、é") == ["東".encode(), "京".encode(), b"tokyo", "é".encode()]
