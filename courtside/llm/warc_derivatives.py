@@ -9,7 +9,9 @@ records. Records are text and are written by Spark's text sink as WARC files.
 
 Defined results: a NULL block is an empty response (no status, no headers, empty
 text); a block without an HTTP head is taken as a body; bodies that are not text
-get no conversion record; bytes that do not decode become U+FFFD; a NULL URI
+get no conversion record; an unclosed script, style or title runs to the end of
+the page, an unclosed head to the first thing that no head holds, and of other
+unclosed elements only the tag goes, as of self-closed svg and iframe; bytes that do not decode become U+FFFD; a NULL URI
 leaves its header out; repeated responses give repeated records.
 """
 
@@ -36,7 +38,12 @@ SILENT = "script|style|noscript|template|iframe|svg|title|head"
 LINES = ("address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|"
          "main|nav|ol|option|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul")
 _COMMENT = re.compile(r"<!--.*?(?:-->|\Z)", re.S)
-_SILENT = re.compile(rf"<({SILENT})\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+TO_THE_END = ("script", "style", "title")
+IN_HEAD = {"base", "basefont", "bgsound", "head", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+_SILENT = re.compile(rf"<({SILENT})(?=[\s/>])[^>]*>", re.I)
+_CLOSE = {t: re.compile(rf"</{t}\s*>", re.I) for t in SILENT.split("|")}
+_EMPTY = re.compile(r"<(?:svg|iframe)(?:\s[^>]*[\s\"'])?/>", re.I)
+_ANY = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)[^>]*>")
 _LINE = re.compile(rf"</?(?:{LINES})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z!?](?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
 _LOOSE = re.compile(r"</?[a-zA-Z!?][^>]*>")
@@ -47,9 +54,49 @@ _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))
 _CHARSET = re.compile(r"charset\s*=\s*[\"']?([A-Za-z0-9_.:-]+)", re.I)
 
 
+def _after(page: str, name: str, at: int, missing: dict[str, int]) -> int:
+    """End of the element whose content begins at ``at``; ``missing``: from where on a closing tag is known to be missing."""
+    close = _CLOSE[name].search(page, at) if at < missing.get(name, len(page) + 1) else None
+    if close:
+        return close.end()
+    missing[name] = min(at, missing.get(name, at))
+    return len(page) if name in TO_THE_END else at
+
+
+def _head_end(page: str, at: int, missing: dict[str, int]) -> int:
+    """End of the head whose content begins at ``at``: after its closing tag, or before the first thing that no head holds."""
+    begin, text, end = at, None, len(page)  # text behind an element of the head is such a thing if no </head> follows it
+    while tag := _ANY.search(page, at):
+        if text is None and at > begin and page[at:tag.start()].strip():
+            text = at
+        name = tag[2].lower()
+        if tag[1] and name == "head":
+            return tag.end()
+        if name not in IN_HEAD:
+            end = tag.start()
+            break
+        at = tag.end() if tag[1] or name not in _CLOSE or name == "head" else _after(page, name, tag.end(), missing)
+    else:
+        if text is None and at > begin and page[at:].strip():
+            text = at
+    return end if text is None else text
+
+
+def _without_silent(page: str) -> str:
+    out, at, missing, head = [], 0, {}, False
+    while tag := _SILENT.search(page, at):
+        out += page[at:tag.start()], " "
+        name, at = tag[1].lower(), tag.end()
+        if name != "head":
+            at = at if _EMPTY.fullmatch(tag[0]) else _after(page, name, at, missing)
+        elif not head:  # a page has one head, later tags of that name say nothing
+            at, head = _head_end(page, at, missing), True
+    return "".join([*out, page[at:]])
+
+
 def plain_text(page: str) -> str:
     """Readable text of an HTML page, one line per block element."""
-    page = _SILENT.sub(" ", _COMMENT.sub("", page))
+    page = _without_silent(_COMMENT.sub("", page))
     page = _LOOSE.sub("", _TAG.sub("", _LINE.sub("\n", page)))
     if "&" in page:
         page = html.unescape(page)

@@ -98,6 +98,20 @@ def test_odd_html():
         ("HTTP/1.0 200", [("A", "b: c"), ("bad", "")], b"body\r\n\r\nmore")
 
 
+def test_missing_closing_tags():
+    assert plain_text("<html><head><title>T</title><meta charset=x><body><p>all of it</p>") == "all of it"
+    assert plain_text("<HEAD><script>a<b</script><link rel=x><h1>one</h1>two") == "one\ntwo"
+    assert plain_text("<head><title>T</title>plain text<script>no</script> and more") == "plain text and more"
+    assert plain_text("<head><style>p{}</style>stray</head><body>x</body>") == "x"
+    assert plain_text("<head><meta a><body>x<script>'</head>'</script>y") == "x y"
+    assert plain_text("<header>a</header><head>b</head>c") == "a\nc"
+    assert plain_text("a<svg width='1'/>b<iframe src='u' />c<svg><text>no</text></svg>d") == "a b c d"
+    assert plain_text("a<svg/>b<svg><text>no</text></svg>c") == "a b c"
+    assert plain_text("a<iframe src=u/>no</iframe>b<iframe src=u/>c<svg>d<noscript>e<template>f") == "a b c d e f"
+    assert plain_text("a<title>open<p>b") == plain_text("a<style>open<p>b") == "a"
+    assert plain_text("<head><meta>x" * 20_000 + "<svg>" * 50_000).split() == ["x"] * 20_000
+
+
 def test_edges(spark):
     rows = [("r1", "http://a", "d", b"HTTP/1.1 200 OK\r\nContent-Type: image/png\r\n\r\n\x89PNG"),
             ("r2", None, "d", b"HTTP/1.1 200 OK\r\nContent-Type: text/plain; charset=latin-1\r\n\r\n\xe9 <p>"),
