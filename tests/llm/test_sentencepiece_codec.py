@@ -88,3 +88,13 @@ def test_frames(spark):
         assert r["ids"] == lib.encode(r["text"] or "") and r["decoded"] == lib.decode(r["ids"])
         if r["ids"]:
             assert r["begins"][0] == 0 and r["ends"][-1] == len(r["text"].encode())
+
+
+def test_identity_path_is_the_normaliser():
+    """This model's character map is empty: replacing spaces gives what the normaliser gives."""
+    direct, own = Codec(MODEL), Codec(MODEL)
+    assert direct.plain
+    own.plain = False
+    for t in TEXTS + random_texts():
+        (a, i, s), (b, j, u) = direct.encode(t), own.encode(t)
+        assert a == b and i.tolist() == j.tolist() and s.tolist() == u.tolist(), repr(t)
