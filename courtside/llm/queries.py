@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.llm import langid
+from courtside.llm import langid, toxicity
 from courtside.llm.automaton_dedup import remove_repeated_words
+from courtside.llm.collocations import collocations
 from courtside.llm.common import crc_mod, table
 from courtside.llm.ctph import fingerprint_neighbours
 from courtside.llm.lsa_decontam import contaminated
@@ -14,6 +15,7 @@ from courtside.llm.ppm import score
 from courtside.llm.sentencepiece_codec import codec_digests
 from courtside.llm.simhash_dedup import simhash_components
 from courtside.llm.suffix_dedup import remove_repeated_bytes
+from courtside.llm.term_search import search
 from courtside.llm.url_reputation import TWO_LABEL_SUFFIXES, judge_urls
 from courtside.llm.warc_derivatives import derivatives, responses
 
@@ -87,6 +89,24 @@ def op10_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 7) != 2)
 
 
+def op11_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of two or three words of each language."""
+    return collocations(table(spark, sf_dir, "documents"), min_count=10, top=2000, cover=50)
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; learnt from the labelled rows whose crc32(doc_id) mod 4 is not 2."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs.withColumn("held_out", held_out), model, carry=("held_out",))
+
+
 REGISTRY = {
     "op1_url_reputation": op1_url_reputation,
     "op2_ctph_fingerprints": op2_ctph_fingerprints,
@@ -98,6 +118,9 @@ REGISTRY = {
     "op8_simhash_dedup": op8_simhash_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_ppm_scoring": op10_ppm_scoring,
+    "op11_term_search": op11_term_search,
+    "op12_collocations": op12_collocations,
+    "op13_toxicity": op13_toxicity,
 }
 
 _RULE_SQL = "\n".join(
@@ -160,3 +183,48 @@ kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS txt FROM u ANTI JOIN go
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(g.n, 0)::BIGINT AS n_removed,
   sha256(coalesce(kept.txt, '')) AS kept_sha256
 FROM d LEFT JOIN g USING (doc_id) LEFT JOIN kept USING (doc_id)"""}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+ORACLE["op11_term_search"] = f"""
+WITH w AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_LOWER},
+    '{_TERM}') AS t FROM documents),
+d AS (SELECT * FROM w WHERE len(t) > 0),
+c AS (SELECT count(*)::BIGINT AS nd, coalesce(sum(len(t)), 0)::BIGINT AS l FROM d),
+q AS (SELECT item_id, t, count(*) AS times FROM (SELECT item_id, unnest(regexp_extract_all(
+    {_LOWER},
+    '{_TERM}')) AS t FROM benchmark) GROUP BY item_id, t),
+p AS (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS t FROM d),
+tf AS (SELECT r, doc_id, n, t, count(*) AS tf FROM p SEMI JOIN q USING (t) GROUP BY r, doc_id, n, t),
+wt AS (SELECT t, floor(1000 * ln((2 * any_value(nd) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, c GROUP BY t),
+s AS (SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // l))))::BIGINT AS score
+  FROM tf JOIN wt USING (t) JOIN q USING (t), c GROUP BY item_id, r, doc_id),
+k AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT * FROM k WHERE rank <= 10"""
+
+ORACLE["op12_collocations"] = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS d, {_LOWER} AS t FROM documents),
+q AS (SELECT lang, d, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS s FROM p),
+q2 AS (SELECT lang, row_number() OVER () AS d, list_filter(regexp_split_to_array(s, '[\x20\x09]+'), lambda x: x <> '') AS w FROM q),
+q3 AS (SELECT lang, d, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM q2),
+tok AS (SELECT lang, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM q3 WINDOW o AS (PARTITION BY d ORDER BY i)),
+g1 AS (SELECT lang, w1, count(*)::HUGEINT AS f FROM tok GROUP BY ALL),
+g2 AS (SELECT lang, w1, w2, count(*)::HUGEINT AS f FROM tok WHERE w2 IS NOT NULL GROUP BY ALL HAVING f >= 10),
+g3 AS (SELECT lang, w1, w2, w3, count(*)::HUGEINT AS f FROM tok WHERE w3 IS NOT NULL GROUP BY ALL HAVING f >= 10),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM g1 GROUP BY lang),
+begins AS (SELECT lang, w1, w2, max(f) AS m, count(*) AS c FROM g3 GROUP BY ALL),
+ends AS (SELECT lang, w2 AS w1, w3 AS w2, max(f) AS m, count(*) AS c FROM g3 GROUP BY ALL),
+two AS (SELECT lang, w1 || ' ' || w2 AS phrase, g2.f AS a, x.f AS l, y.f AS r, 1000000 * a * a // (x.f * y.f) AS score,
+    coalesce(e.c, 0) AS left_words, coalesce(b.c, 0) AS right_words
+  FROM g2 JOIN g1 AS x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, f FROM g1) AS y USING (lang, w2)
+    LEFT JOIN begins AS b USING (lang, w1, w2) LEFT JOIN ends AS e USING (lang, w1, w2)
+  WHERE 100 * greatest(coalesce(b.m, 0), coalesce(e.m, 0)) < 50 * g2.f),
+cuts AS (SELECT lang, w1 || ' ' || w2 || ' ' || w3 AS phrase, g3.f AS a, x.f AS l1, y.f AS r1, z.f AS l2, v.f AS r2,
+    1000000 * a * a // (x.f * y.f) AS s1, 1000000 * a * a // (z.f * v.f) AS s2
+  FROM g3 JOIN g1 AS x USING (lang, w1) JOIN (SELECT lang, w1 AS w2, w2 AS w3, f FROM g2) AS y USING (lang, w2, w3)
+    JOIN g2 AS z USING (lang, w1, w2) JOIN (SELECT lang, w1 AS w3, f FROM g1) AS v USING (lang, w3)),
+c AS (SELECT * FROM two UNION ALL SELECT lang, phrase, a, if(s1 <= s2, l1, l2), if(s1 <= s2, r1, r2), least(s1, s2), 0, 0 FROM cuts),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM c)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score, left_words, right_words
+FROM o JOIN n USING (lang) WHERE rank <= 2000"""

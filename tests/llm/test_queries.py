@@ -10,10 +10,12 @@ import pytest
 import sentencepiece
 
 from courtside.llm.queries import ORACLE, REGISTRY
+from tests.llm.test_collocations import brute as brute_phrases
 from tests.llm.test_ctph import brute_likeness, brute_string
 from tests.llm.test_ppm import brute as brute_scores
 from tests.llm.test_repeats import brute_bytes, brute_words, corpus
 from tests.llm.test_simhash_dedup import brute_fingerprint, brute_roots
+from tests.llm.test_term_search import brute as brute_search
 from tests.llm.test_warc_derivatives import brute_text
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -53,7 +55,7 @@ def got(spark, sf, name, *cols):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in REGISTRY] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in REGISTRY] == [f"op{n}" for n in range(1, 14)]
     assert set(ORACLE) <= set(REGISTRY)
 
 
@@ -119,6 +121,23 @@ def test_scores(spark, sf, rows):
         assert r[:5] == w[:5] and math.isclose(r[5], w[5], rel_tol=1e-9) and math.isclose(r[6], w[6], rel_tol=1e-9)
 
 
+def test_search(spark, sf, rows):
+    found = got(spark, sf, "op11_term_search", "item_id", "rank", "doc_id", "score")
+    assert found == brute_search([(i, t) for i, t, *_ in rows[0]], rows[3], 10) and {r[0] for r in found} == {5}
+
+
+def test_phrases(spark, sf, rows):
+    found = got(spark, sf, "op12_collocations", "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    assert found == brute_phrases([(lang, t) for _, t, lang, *_ in rows[0]], 10, 2000) and found
+
+
+def test_toxicity(spark, sf, rows):
+    fold = lambda i: zlib.crc32(str(i).encode()) % 4 == 2
+    found = got(spark, sf, "op13_toxicity", "doc_id", "held_out", "score", "predicted")
+    assert [(r[0], r[1]) for r in found] == sorted((i, fold(i)) for i, *_ in rows[0])
+    assert {(r[2], r[3]) for r in found} == {(0.0, 0)}  # no toxic row: nothing is learnt
+
+
 def test_empty_tables(spark, tmp_path):
     d = write(spark, str(tmp_path / "sf"), [], [], [], [])
     for name, query in REGISTRY.items():
@@ -129,5 +148,5 @@ def test_nulls_in_every_column(spark, tmp_path):
     docs = [(None,) * 5, (None,) * 5, (1, None, None, None, None), (2, "some words here", None, None, None)]
     d = write(spark, str(tmp_path / "sf"), docs, [(None,) * 3, (1, None, None)], [(None,) * 3, (1, None, None)], [(None,) * 2, (1, None)])
     for name, query in REGISTRY.items():
-        rows_ = {"op1": 2, "op6": 4, "op3": 0}.get(name.split("_")[0], 4)
+        rows_ = {"op1": 2, "op6": 4, "op3": 0, "op11": 0, "op12": 0}.get(name.split("_")[0], 4)
         assert len(query(spark, d).collect()) == rows_, name
