@@ -2,8 +2,8 @@
 
 A shard holds the words of up to SHARD_WORDS words of text as numbers, pieces
 separated by a symbol of their own. It is sorted forwards and backwards by the
-first DEPTH + 1 symbols, which is all that intervals of at most DEPTH symbols
-need, and gives two Burrows-Wheeler transforms. All intervals of one depth are
+first DEPTH - 1 symbols, which is all that the intervals to be extended need,
+and gives two Burrows-Wheeler transforms. All intervals of one depth are
 extended together: the transform of the reversed text holds the word after each
 occurrence, so the interval of each word splits into those of its two-word
 phrases; the transform of the text holds the word before, so these split into
@@ -26,6 +26,7 @@ repeated rows count as often as they stand there. A phrase lies within one piece
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -104,28 +105,28 @@ def _hashes(names: list[tuple[str, bytes]], seed: int) -> np.ndarray:
 
 
 def _suffix_order(s: np.ndarray, symbols: int) -> np.ndarray:
-    """Positions of the cyclic text in the order of the DEPTH + 1 = 4 symbols from each, by doubling twice."""
-    rank = s.astype(np.int64)
-    for step in (1, 2):
-        key = rank * (symbols if step == 1 else int(rank.max()) + 1) + np.roll(rank, -step)
-        order = np.argsort(key)
-        if step == 1:
-            fresh = np.concatenate([[0], np.diff(key[order]) != 0])
-            rank = np.empty(len(s), np.int64)
-            rank[order] = np.cumsum(fresh)
-    return order
+    """Positions of the cyclic text in the order of the DEPTH - 1 = 2 symbols from each."""
+    return np.argsort(s.astype(np.int64) * symbols + np.roll(s, -1))
 
 
 class BidirectionalIndex:
     """Both transforms of a text of symbols in 0..symbols-1, with the intervals of its two- and three-word phrases."""
 
     def __init__(self, s: np.ndarray, symbols: int):
-        self.symbols = symbols
-        self.before = s[_suffix_order(s, symbols) - 1]       # transform of the text: the symbol before each suffix
-        back = s[::-1]
-        self.after = back[_suffix_order(back, symbols) - 1]  # of the reversed text: the symbol after each prefix
+        self.s, self.symbols = s, symbols
         self.first = np.repeat(np.arange(symbols), np.bincount(s, minlength=symbols))  # of either: sorted symbols
 
+    @cached_property
+    def before(self) -> np.ndarray:
+        """Transform of the text: the symbol before each suffix."""
+        return self.s[_suffix_order(self.s, self.symbols) - 1]
+
+    @cached_property
+    def after(self) -> np.ndarray:
+        """Transform of the reversed text: the symbol after each prefix."""
+        back = self.s[::-1]
+        return back[_suffix_order(back, self.symbols) - 1]
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(left, right, begin, count): every word's interval extended to the right; ``begin`` is that of the pair's
         interval among the suffixes, which lie in the order of the pairs."""
