@@ -30,9 +30,12 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_one(docs, 4, 4)
 
 
+REPEAT_BYTES = 250  # a passage of 50 words, spaces counted
+
+
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes in 400-byte strings that also start elsewhere are cut out; every document stays with its rest."""
-    return without_repeated_bytes(docs, 400)
+    """Bytes in strings of REPEAT_BYTES that also start elsewhere are cut out; every document stays with its rest."""
+    return without_repeated_bytes(docs, REPEAT_BYTES)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
