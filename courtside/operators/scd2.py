@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from courtside.functions.keys import surrogate_key
 from courtside.operators.dedup import latest_per_key
+from courtside.session import materialize
 
 VERSION_COLS = ("valid_from", "valid_to", "version_id", "version_updated_at")
 
@@ -80,16 +81,36 @@ def snapshot_check(snapshot: DataFrame | None, batch: DataFrame, key: str, check
     return history.unionByName(j.select(F.inline(F.array_compact(F.array(old, new)))))
 
 
-SLICES = 256
+#: A key is heavy if it holds more than one in HEAVY_PART of all rows and LIGHT_ROWS at least, or over HEAVY_ROWS anyway.
+HEAVY_PART, LIGHT_ROWS, HEAVY_ROWS = 64, 1_000, 5_000_000
+SLICES, SLICE_ROWS = 256, 100_000
 
 
-def _slice(t: Column, bounds: DataFrame, col: str) -> Column:
-    """The number of the time slice of ``t``: SLICES equal slices of ``bounds``' time range, open at both ends."""
-    micros = F.unix_micros(F.col(col).cast("timestamp"))
-    lo = F.coalesce(bounds.select(F.min(micros)).scalar(), F.lit(0))
-    hi = F.coalesce(bounds.select(F.max(micros)).scalar(), F.lit(0))
-    part = F.floor((F.unix_micros(t.cast("timestamp")) - lo) / (hi - lo + 1) * SLICES)
-    return F.greatest(F.lit(-1), F.least(F.lit(SLICES), part)).cast("int")
+def _heavy_keys(keys: DataFrame) -> list[tuple[object, int]]:
+    """(key, rows) of the heavy keys of a one-column frame: HEAVY_PART of them, and one per HEAVY_ROWS rows, at most."""
+    counts = keys.toDF("k").groupBy("k").agg(F.count("*").alias("n"))
+    most, total = counts.agg(F.max("n"), F.sum("n")).first()
+    least = max(LIGHT_ROWS, min(HEAVY_ROWS, (total or 0) // HEAVY_PART))
+    return [tuple(r) for r in counts.where(F.col("n") > least).collect()] if (most or 0) > least else []
+
+
+def _split(df: DataFrame, key: str, heavy: list[tuple[object, int]]) -> tuple[DataFrame, DataFrame]:
+    """Rows of light and of heavy keys; NULL is a key like any other."""
+    kind = df.schema[key].dataType.simpleString()
+    listed = F.broadcast(df.sparkSession.createDataFrame([(k,) for k, _ in heavy], f"__heavy {kind}"))
+    same = F.col(key).eqNullSafe(F.col("__heavy"))
+    return df.join(listed, same, "left_anti"), df.join(listed, same, "left_semi")
+
+
+def _sliced(df: DataFrame, key: str, time: str, heavy: list[tuple[object, int]]) -> DataFrame:
+    """Rows of heavy keys with ``__s``, the number of their slice, stored.
+
+    Slices follow the order of (key, time) and hold about equally many rows: Spark's range
+    partitioning takes its split points from a sample of the rows, so a key gets slices by its
+    weight wherever its times lie. Rows of one key and time share a slice.
+    """
+    slices = max(SLICES, -(-sum(n for _, n in heavy) // SLICE_ROWS))
+    return materialize(df.repartitionByRange(slices, key, time).withColumn("__s", F.spark_partition_id()))
 
 
 def history_bulk(rows: DataFrame, key: str, check_cols: Sequence[str], updated_at_col: str,
@@ -99,31 +120,44 @@ def history_bulk(rows: DataFrame, key: str, check_cols: Sequence[str], updated_a
     Same result as applying the batches one by one in ``updated_at`` order,
     with one row per key and time: a row opens a version when it is the
     first of its key or any check column differs from the previous row.
-    Rows are first reduced to one per (key, time) with a map-side top-1. A key's
-    rows are ordered in time slices, and only the last row (then the first
-    version) of each slice is passed to its neighbour, so a hot key spreads over
-    many tasks.
+    Rows are first reduced to one per (key, time) with a map-side top-1. A light key is
+    ordered as one window. A heavy one is ordered in slices of about equally many
+    rows, and only the last row (then the first version) of each slice is passed to
+    its neighbour, so it spreads over many tasks. ``rows`` is read for the key counts and
+    for the result: store it first if it is costly to derive.
     """
+    heavy = _heavy_keys(rows.select(key))
     per_time = latest_per_key(rows, [key, updated_at_col], list(tie_breakers) or [F.lit(1)])
-    per_time = per_time.withColumn("__s", _slice(F.col(updated_at_col), rows, updated_at_col))
-    t, k, in_slice = F.col(updated_at_col), F.col(key), Window.partitionBy(key, "__s")
-    over_slices = Window.partitionBy("__k").orderBy("__p")
-
-    def carried(df: DataFrame, value: Column, step: Column) -> DataFrame:
-        """One row per (key, slice) with ``step`` over the values of its slices, joined back."""
-        per = df.groupBy(k.alias("__k"), F.col("__s").alias("__p")).agg(value.alias("__x"))
-        per = per.select("__k", "__p", step.over(over_slices).alias("__carry"))
-        return df.join(per, k.eqNullSafe(per["__k"]) & (df["__s"] == per["__p"]), "left").drop("__k", "__p")
+    if not heavy:
+        return _versions(per_time, key, check_cols, updated_at_col, None)
+    light, split = _split(per_time, key, heavy)
+    split = _versions(_sliced(split, key, updated_at_col, heavy), key, check_cols, updated_at_col, "__s")
+    return _versions(light, key, check_cols, updated_at_col, None).unionByName(split)
+
+
+def _versions(per_time: DataFrame, key: str, check_cols: Sequence[str], updated_at_col: str,
+              slice_col: str | None) -> DataFrame:
+    """Versions of rows that are one per (key, time); with ``slice_col`` a key's order is carried from slice to slice."""
+    t, k = F.col(updated_at_col), F.col(key)
+    here = Window.partitionBy(key, *([slice_col] if slice_col else [])).orderBy(t)
+
+    def carried(df: DataFrame, value: Column, step) -> DataFrame:
+        """``step`` over the values of a key's slices, joined back to its rows."""
+        if not slice_col:
+            return df.withColumn("__carry", F.lit(None))
+        per = df.groupBy(k.alias("__k"), F.col(slice_col).alias("__p")).agg(value.alias("__x"))
+        per = per.select("__k", "__p", step("__x").over(Window.partitionBy("__k").orderBy("__p")).alias("__carry"))
+        return df.join(per, k.eqNullSafe(per["__k"]) & (df[slice_col] == per["__p"]), "left").drop("__k", "__p")
 
     checks = F.struct(*check_cols)
-    j = carried(per_time, F.max_by(checks, t), F.lag("__x"))
-    prev = F.coalesce(F.lag(checks).over(in_slice.orderBy(t)), F.col("__carry"))
-    flagged = j.withColumn("__keep", prev.isNull() | _any_differs([(F.col(c), prev[c]) for c in check_cols]))
-    flagged = carried(flagged.filter("__keep").drop("__keep", "__carry"), F.min(t), F.lead("__x"))
-    ts = t.cast("timestamp_ntz")
-    end = F.coalesce(F.lead(t).over(in_slice.orderBy(t)), F.col("__carry")).cast("timestamp_ntz")
-    return (flagged.withColumn("version_updated_at", ts).withColumn("valid_from", ts).withColumn("valid_to", end)
-                   .withColumn("version_id", surrogate_key(k, ts)).drop("__s", "__carry"))
+    j = carried(per_time, F.max_by(checks, t), F.lag)
+    prev = F.coalesce(F.lag(checks).over(here), F.col("__carry")) if slice_col else F.lag(checks).over(here)
+    j = j.withColumn("__prev", prev)
+    changed = F.col("__prev").isNull() | _any_differs([(F.col(c), F.col("__prev")[c]) for c in check_cols])
+    j = carried(j.where(changed).drop("__prev", "__carry"), F.min(t), F.lead)
+    ts, end = t.cast("timestamp_ntz"), F.coalesce(F.lead(t).over(here), F.col("__carry")).cast("timestamp_ntz")
+    j = j.withColumn("valid_to", end).withColumn("version_updated_at", ts).withColumn("valid_from", ts)
+    return j.withColumn("version_id", surrogate_key(k, ts)).drop("__carry", *([slice_col] if slice_col else []))
 
 
 def current_versions(snapshot: DataFrame, loaded_col: str | None = "loaded_at_utc") -> DataFrame:
@@ -141,23 +175,35 @@ def asof_lookup(facts: DataFrame, snapshot: DataFrame, fact_key: str, ts_col: st
     """The version valid at each fact's time: valid_from <= ts < valid_to (open end when NULL).
 
     Facts and versions are ordered together by time and each fact takes the last
-    version before it, so no fact meets more than one version. The order is per key
-    and time slice, with the version open at the start of each slice carried in:
-    a hot key spreads over many tasks. Versions of a key must not overlap.
-    A fact without key, time or version gets NULLs.
+    version before it, so no fact meets more than one version. A light key is ordered as
+    one window; a heavy one in slices of about equally many rows, with the version open
+    at the start of each slice carried in, so it spreads over many tasks. Versions of a
+    key must not overlap. A fact without key, time or version gets NULLs. Both
+    frames are read for the key counts and for the result: store a derived snapshot first.
     """
     snap_key = snap_key or fact_key
     v = snapshot.select(F.col(snap_key).alias("__k"), F.col("valid_from").alias("__t"),
-                        F.struct(F.col("valid_to").alias("__end"), *cols).alias("__v"))
+                        F.struct(F.col("valid_to").alias("__end"), *cols).alias("__v")).where("__k IS NOT NULL")
     f = facts.select(F.col(fact_key).alias("__k"), F.col(ts_col).alias("__t"), F.struct(*facts.columns).alias("__f"))
-    events = v.unionByName(f, allowMissingColumns=True).withColumn("__s", _slice(F.col("__t"), snapshot, "valid_from"))
-    last = events.groupBy("__k", "__s").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__t"))).alias("__last"))
-    before = Window.partitionBy("__k").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    carry = last.select("__k", "__s", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
-    here = Window.partitionBy("__k", "__s").orderBy("__t", F.col("__f").isNotNull()).rowsBetween(
-        Window.unboundedPreceding, 0)
-    hit = F.coalesce(F.last("__v", ignorenulls=True).over(here), F.col("__carry"))
-    out = events.join(carry, ["__k", "__s"], "left").withColumn("__hit", hit).where("__f IS NOT NULL")
-    valid = F.col("__k").isNotNull() & F.col("__t").isNotNull() & (
+    heavy = _heavy_keys(v.select("__k").union(f.select("__k").where("__k IS NOT NULL")))
+    events = v.unionByName(f.where("__k IS NOT NULL"), allowMissingColumns=True)
+    first = F.col("__f").isNotNull()  # at one time the version comes before the facts
+
+    def latest(*slice_col: str) -> Column:
+        here = Window.partitionBy("__k", *slice_col).orderBy("__t", first)
+        return F.last("__v", ignorenulls=True).over(here.rowsBetween(Window.unboundedPreceding, 0))
+
+    light, split = _split(events, "__k", heavy) if heavy else (events, None)
+    out = light.withColumn("__hit", latest()).where(first).select("__k", "__t", "__f", "__hit")
+    if split is not None:
+        split = _sliced(split, "__k", "__t", heavy)
+        last = split.groupBy("__k", "__s").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.col("__t"))).alias("__last"))
+        before = Window.partitionBy("__k").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+        carry = last.select("__k", "__s", F.last("__last", ignorenulls=True).over(before).alias("__carry"))
+        hit = F.coalesce(latest("__s"), F.col("__carry"))
+        out = out.unionByName(split.join(carry, ["__k", "__s"], "left").withColumn("__hit", hit).where(first)
+                              .select("__k", "__t", "__f", "__hit"))
+    keyless = f.where("__k IS NULL").withColumn("__hit", F.lit(None).cast(v.schema["__v"].dataType))
+    valid = F.col("__t").isNotNull() & F.col("__k").isNotNull() & (
         F.col("__hit.__end").isNull() | (F.col("__t") < F.col("__hit.__end")))
-    return out.select("__f.*", *[F.when(valid, F.col("__hit")[c]).alias(c) for c in cols])
+    return out.unionByName(keyless).select("__f.*", *[F.when(valid, F.col("__hit")[c]).alias(c) for c in cols])

@@ -381,7 +381,7 @@ def q_scd2_check_history(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_scd2_bulk_history(spark: SparkSession, root: str) -> DataFrame:
-    rows = customer_year_rows(spark, root).drop("batch_year")
+    rows = materialize(customer_year_rows(spark, root).drop("batch_year"))
     return history_bulk(rows, "c_custkey", ["o_orderpriority"], "updated_at",
                         tie_breakers=[F.col("o_orderkey").desc()]).select(*SNAP_COLS)
 
@@ -393,7 +393,7 @@ def q_scd2_current(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_scd2_asof(spark: SparkSession, root: str) -> DataFrame:
-    snap = q_scd2_bulk_history(spark, root).withColumnRenamed("o_orderpriority", "version_priority")
+    snap = materialize(q_scd2_bulk_history(spark, root).withColumnRenamed("o_orderpriority", "version_priority"))
     o = read_table(spark, root, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     return asof_lookup(o, snap, "o_custkey", "o_orderdate", snap_key="c_custkey",
                        cols=["version_id", "version_priority"])
@@ -425,7 +425,7 @@ def q_quality_unique(spark: SparkSession, root: str) -> DataFrame:
 
 
 def q_quality_unique_where(spark: SparkSession, root: str) -> DataFrame:
-    snap = q_scd2_bulk_history(spark, root)
+    snap = materialize(q_scd2_bulk_history(spark, root).select("c_custkey", "valid_to"))
     a = run_checks(snap, [Check("history.c_custkey.unique_open", "unique", "c_custkey", where="valid_to IS NULL"),
                           Check("history.c_custkey.unique_all", "unique", "c_custkey")])
     b = run_checks(_orders_q(spark, root), [Check("orders.o_custkey.unique_finished", "unique", "o_custkey",

@@ -129,3 +129,23 @@ def test_history_and_asof_of_a_hot_key(spark):
     plain = f.join(snap.withColumnRenamed("k", "sk"), (F.col("k") == F.col("sk")) & (F.col("valid_from") <= F.col("at"))
                    & (F.col("valid_to").isNull() | (F.col("at") < F.col("valid_to"))), "left")
     assert rows(asof_lookup(f, snap, "k", "at", cols=["val", "version_id"])) == rows(plain, "k", "at", "val", "version_id")
+
+
+def test_an_outlier_does_not_gather_a_hot_key(spark):
+    """Slices hold about equally many rows wherever the times lie."""
+    from courtside.operators.scd2 import _heavy_keys, _sliced
+
+    data = [(1, "x", "o", T(1900, 1, 1))] + [(1, "xy"[i % 2], "o", T(2024, 1, 1) + dt.timedelta(seconds=i)) for i in range(10_000)]
+    data += [(2, "x", "o", T(2024, 1, 1)), (None, "x", "o", T(2024, 1, 1))]
+    df = _batch(spark, data)
+    heavy = _heavy_keys(df.select("k"))
+    assert heavy == [(1, 10_001)]
+    sizes = [r["count"] for r in _sliced(df.where("k = 1"), "k", "ts", heavy).groupBy("__s").count().collect()]
+    assert len(sizes) > 50 and max(sizes) < 1_000 and sum(sizes) == 10_001
+    assert history_bulk(df, "k", ["c"], "ts").count() == 10_001 + 2 - 1  # 1900's x goes on into 2024
+
+
+def test_asof_keeps_facts_without_key_or_version(spark):
+    snap = _apply_all(spark, BATCHES)
+    facts = spark.createDataFrame([(None, T(2024, 1, 2)), (None, None), (77, T(2024, 1, 2)), (1, None)], "k long, at timestamp_ntz")
+    assert rows(asof_lookup(facts, snap, "k", "at", cols=["c"]), "c") == [(None,)] * 4
