@@ -76,7 +76,7 @@ def test_run(spark, tables):
     kept = [r for r in rows if (p := model.predict(r[1] or ""))[0] != "und" and p[1] >= model.reject_below]
     assert {r[0] for r in rows} - {r[0] for r in kept} >= {90, 91, 92}
     kept = brute_keep_one(kept)
-    rest = {i: b.decode("utf-8", "ignore") for i, _, _, _, b in brute_bytes([(r[0], r[1]) for r in kept], 400)}
+    rest = {i: b.decode("utf-8", "ignore") for i, _, _, _, b in brute_bytes([(r[0], r[1]) for r in kept], corpus_pipeline.REPEAT_BYTES)}
     left = {}
     for i, text in rest.items():
         w = words_of(text)
