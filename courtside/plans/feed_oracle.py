@@ -102,10 +102,10 @@ SELECT {sk('t.team_id')} AS team_pk, t.team_id, t.team_name, t.abbreviation, t.n
   d.arena_name, d.arena_capacity, d.head_coach, d.general_manager, d.owner, d.dleague_affiliation,
   d.last_updated_at AS data_freshness_at
 FROM {SILVER['silver_teams']} t LEFT JOIN {SILVER['silver_team_details']} d ON t.team_id = d.team_id""",
-    "adhoc_games_flatten": f"""
+    "adhoc_games_flatten": " UNION ALL ".join(f"""
 SELECT CAST(game_date AS TIMESTAMP) AS game_date, game_id, matchup, season, CAST(team_id AS VARCHAR) AS team_id,
-  '{source_file('games', 2)}' AS source_file, TIMESTAMP '{LOADED[2]}' AS loaded_at_utc,
-  CAST(fetched_at AS TIMESTAMP) AS api_fetched_at FROM {feed('games', 2)}""",
+  '{source_file('games', n)}' AS source_file, TIMESTAMP '{LOADED[n]}' AS loaded_at_utc,
+  CAST(fetched_at AS TIMESTAMP) AS api_fetched_at FROM {feed('games', n)}""" for n in (1, 2)),
     "adhoc_latest_teams": f"SELECT * EXCLUDE (team_version_id) FROM {SILVER['silver_teams']}",
     "landing_games": f"SELECT * REPLACE ('2025-26' AS season) FROM {feed('games', 1)}",
     "landing_box_scores": f"""
@@ -129,4 +129,19 @@ SELECT game_id, team_id, CAST(game_date AS TIMESTAMP) AS game_date, pts, '{N.BAC
     "landing_roundtrip": f"""
 SELECT team_version_id AS id, nickname AS value, loaded_at_utc FROM {bronze('teams')}
 UNION ALL SELECT 'reject', '[{{not json', TIMESTAMP '{LOADED[1]}' UNION ALL SELECT 'reject', '{{not json', TIMESTAMP '{LOADED[2]}'""",
+    "landing_damaged": """
+SELECT o_orderkey, CASE WHEN o_orderkey % 97 <> 0 THEN o_orderstatus END AS o_orderstatus,
+  CASE WHEN o_orderkey % 97 <> 0 THEN o_custkey END AS o_custkey, o_orderkey % 97 = 0 AS rejected FROM orders""",
+    "landing_forced_load": f"""
+SELECT team_id, loaded_at_utc FROM {feed('team_details', 1)},
+  (VALUES (TIMESTAMP '2024-03-01 11:00:00'), (TIMESTAMP '2024-03-03 11:00:00')) AS l(loaded_at_utc)""",
+    "landing_all_feeds": " UNION ALL ".join(
+        f"SELECT '{f}' AS feed, {FEEDS[f].key_name} AS id, loaded_at_utc FROM {bronze_load(f, 1)}" for f in FEEDS),
+    "seed_lookup": """
+SELECT s_suppkey AS team_id, s_name AS team_name, lpad(CAST(s_nationkey AS VARCHAR), 3, '0') AS abbreviation,
+  s_nationkey AS nation_id, CASE WHEN s_suppkey % 5 <> 0 THEN r_name END AS conference
+FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey LEFT JOIN region ON r_regionkey = n_regionkey""",
+    "named_datasets": """
+SELECT s_suppkey AS team_id, upper(s_name) AS team_name, lpad(CAST(s_nationkey AS VARCHAR), 3, '0') AS abbreviation,
+  s_nationkey AS nation_id FROM supplier""",
 }

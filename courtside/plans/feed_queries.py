@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.operators.incremental import upsert
+from courtside.operators.star import enrich
+from courtside.plans import bindings as B
 from courtside.plans import models as M
 from courtside.plans import normalise as N
 from courtside.plans.feed_bindings import FETCHED, LOADED, bronze_frame, feed_records, raw_rows
 from courtside.plans.feeds import FEEDS, SNAPSHOTS
 from courtside.session import ensure_checkpoint_dir, materialize
-from courtside.sources.landing import read_landing, records, write_landing
+from courtside.plans.layers import RunConfig, load_bronze
+from courtside.plans.layers import table as layer_table
+from courtside.sources.landing import load_files, read_landing, read_seed, records, write_landing
+from courtside.sources.tables import read_table
 
 SINCE, PREFIX = "1996-01-01", "002"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,7 +85,8 @@ def dim_teams(spark: SparkSession, root: str) -> DataFrame:
 
 
 def adhoc_games_flatten(spark: SparkSession, root: str) -> DataFrame:
-    return M.adhoc_games_flatten(raw_rows(spark, root, "games", 2))
+    """M22 over all RAW rows, those of both loads."""
+    return M.adhoc_games_flatten(raw_rows(spark, root, "games", 1).unionByName(raw_rows(spark, root, "games", 2)))
 
 
 def adhoc_latest_teams(spark: SparkSession, root: str) -> DataFrame:
@@ -177,6 +184,66 @@ def landing_roundtrip(spark: SparkSession, root: str) -> DataFrame:
     return table.unionByName(bad)
 
 
+def landing_damaged(spark: SparkSession, root: str) -> DataFrame:
+    """Arrays of orders, one record a line or all in one line, every 97th record damaged: the others load."""
+    folder = scratch(spark, "damaged")
+    o = read_table(spark, root, "orders").select("o_orderkey", "o_orderstatus", F.struct("o_custkey").alias("customer"))
+    text = F.to_json(F.struct("o_orderkey", "o_orderstatus", "customer"))
+    text = F.when(F.col("o_orderkey") % 97 == 0, F.regexp_replace(text, ":", " ")).otherwise(text)
+    file = F.pmod(F.xxhash64("o_orderkey"), F.lit(64))
+    arrays = o.groupBy(file.alias("file")).agg(F.collect_list(text).alias("rec"))
+    joined = F.when(F.col("file") % 2 == 0, F.concat(F.lit("["), F.array_join("rec", ",\n"), F.lit("]"))).otherwise(
+        F.concat(F.lit("["), F.array_join("rec", ","), F.lit("]")))
+    arrays.select(joined.alias("value")).write.text(f"{folder}/source/orders/date=20240101")
+    raw = materialize(read_landing(spark, folder, "orders", "20240101", LOADED[1]))
+    get = lambda p, t: M.typed_path(F.col("value"), f"$.{p}", t)
+    good = records(raw.where("raw_json IS NOT NULL")).select(
+        get("o_orderkey", "int").alias("o_orderkey"), get("o_orderstatus", "string").alias("o_orderstatus"),
+        get("customer.o_custkey", "int").alias("o_custkey"), F.lit(False).alias("rejected"))
+    key = F.regexp_extract("bad_text", '"o_orderkey" ([0-9]+)', 1).cast("bigint")
+    bad = raw.where("raw_json IS NULL").select(key.alias("o_orderkey"), F.lit(True).alias("rejected"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def landing_forced_load(spark: SparkSession, root: str) -> DataFrame:
+    """One landed day loaded three times: new, again unforced (nothing to do), and forced."""
+    folder, raw_table, ledger = (scratch(spark, n) for n in ("forced", "raw", "ledger"))
+    write_landing(feed_records(spark, root, "team_details", 1).withColumn("date", F.lit("20240229")), folder, "team_details")
+    loads = [("2024-03-01 11:00:00", False), ("2024-03-02 11:00:00", False), ("2024-03-03 11:00:00", True)]
+    for at, force in loads:
+        load_files(spark, folder, "team_details", raw_table, ledger, "20240229", at, force=force)
+    return records(spark.read.parquet(raw_table)).select(
+        M.typed_path(F.col("value"), "$.team_id", "int").alias("team_id"), F.col("inserted_at").alias("loaded_at_utc"))
+
+
+def landing_all_feeds(spark: SparkSession, root: str) -> DataFrame:
+    """All six feeds landed as files and loaded by one run into their bronze tables."""
+    cfg = RunConfig(scratch(spark, "feeds"), scratch(spark, "warehouse"), LOADED[1], "", date="20240301")
+    for feed in FEEDS:
+        write_landing(feed_records(spark, root, feed, 1).withColumn("date", F.lit(cfg.date)), cfg.landing_root, feed)
+    parts = [t.select(F.lit(feed).alias("feed"), F.col(FEEDS[feed].key_name).alias("id"), "loaded_at_utc")
+             for feed, t in load_bronze(spark, cfg).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def seed_lookup(spark: SparkSession, root: str) -> DataFrame:
+    """The conference seed as a CSV file with a header, read with its declared schema and looked up."""
+    path = scratch(spark, "seed")
+    seed = B.conference_lookup(spark, root).join(B.dim_teams(spark, root).select("team_id", "team_name"), "team_id")
+    seed.select("team_id", "team_name", "conference").where("team_id % 5 <> 0").write.option("header", True).csv(path)
+    return enrich(B.dim_teams(spark, root), read_seed(spark, path).select("team_id", "conference"), on="team_id")
+
+
+def named_datasets(spark: SparkSession, root: str) -> DataFrame:
+    """A named table written anew three times; readers of its name see the last version whole."""
+    cfg = RunConfig("", scratch(spark, "named"), LOADED[1], "")
+    name = layer_table(spark, cfg, "silver", "dim_teams")
+    teams = B.dim_teams(spark, root)
+    for step in (teams, teams.where("team_id % 2 = 0"), teams.withColumn("team_name", F.upper("team_name"))):
+        name.write(step)
+    return layer_table(spark, cfg, "silver", "dim_teams").read()
+
+
 REGISTRY: dict[str, Query] = {f"bronze_{f}": bronze_job(f) for f in FEEDS}
 REGISTRY["bronze_box_scores_all_columns"] = REGISTRY.pop("bronze_box_scores")
 REGISTRY |= {n: (lambda spark, root, n=n: snapshot_table(spark, root, n)) for n in SNAPSHOTS}
@@ -185,4 +252,4 @@ REGISTRY |= {n: (lambda spark, root, n=n: silver(spark, root, n)) for n in (
 REGISTRY |= {f.__name__: f for f in (
     fact_player_performances, fact_team_games, dim_players, dim_teams, adhoc_games_flatten, adhoc_latest_teams,
     landing_games, landing_box_scores, landing_standings, landing_teams, landing_team_details, landing_player_details,
-    landing_backfill, landing_roundtrip)}
+    landing_backfill, landing_roundtrip, landing_damaged, landing_forced_load, landing_all_feeds, seed_lookup, named_datasets)}

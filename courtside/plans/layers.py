@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from courtside.operators.quality import Check, count_failures, freshness, run_checks
 from courtside.plans import models as M
 from courtside.plans.feeds import FEEDS, SNAPSHOTS
-from courtside.sources.landing import append_raw, feed_path, logical_date, read_landing, read_seed, rejects
+from courtside.sources.landing import feed_path, load_files, logical_date, read_seed, rejects
 from courtside.sources.tables import VersionedTable
 
 
@@ -33,6 +33,7 @@ class RunConfig:
     since: str = "2025-10-21"
     id_prefix: str | None = "002"
     shape: str = "auto"
+    force: bool = True                # load files again that an earlier run has loaded, as the producer's schedule does
     tolerant: bool = False
 
 
@@ -60,7 +61,8 @@ def load_raw(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
     for name in FEEDS:
         folder = feed_path(cfg.landing_root, name)
         if _exists(spark, folder if date is None else f"{folder}/date={date}"):
-            append_raw(read_landing(spark, cfg.landing_root, name, date, cfg.run_ts, cfg.shape), raw_path(cfg, name))
+            load_files(spark, cfg.landing_root, name, raw_path(cfg, name), f"{cfg.warehouse_root.rstrip('/')}/raw_ledger/{name}",
+                       date, cfg.run_ts, cfg.shape, cfg.force)
         if _exists(spark, raw_path(cfg, name)):
             out[name] = spark.read.parquet(raw_path(cfg, name))
     return out

@@ -126,9 +126,11 @@ def normalise_player_details(info: DataFrame, fetched_at: str | Column, order: S
                         ts.alias("fetched_at"), ts.alias("updated_at"))
 
 
-def backfill_games(season_frame: DataFrame, season: str, root: str, marker: str = BACKFILL_MARKER) -> None:
+def backfill_games(season_frame: DataFrame, season: str, root: str, marker: str = BACKFILL_MARKER,
+                   file_rows: int = 100_000) -> None:
     """A whole season split by game date into one landing partition per date,
-    stamped with the constant backfill fetch marker."""
+    stamped with the constant backfill fetch marker. Files are planned to about ``file_rows`` rows:
+    a hot date is written by many tasks, small dates by few."""
     games = normalise_games(season_frame, season, marker)
     day = F.date_format(F.col("game_date").cast("timestamp_ntz"), "yyyyMMdd")
-    write_landing(games.withColumn("date", day).repartition("date"), root, "games")
+    write_landing(games.withColumn("date", day), root, "games", file_rows=file_rows)

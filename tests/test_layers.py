@@ -142,4 +142,45 @@ def test_lines_of_arrays_and_objects(spark, tmp_path):
     assert records(auto).count() == 3 and [r.bad_text for r in rejects(auto).collect()] == ["{bad"]
     (folder / "b.json").write_text('[\n  {\n    "id": 4\n  },\n  {\n    "id": 5\n  }\n]\n')
     (folder / "c.json").write_text('[\n  {"id": 6},\n  7\n')
-    assert records(read_landing(spark, str(tmp_path), "teams")).count() == 5
+    (folder / "d.json").write_text('[{"id": 8}, {"id": 9 9}, {"id": 10, "x": {"y": [{"id": 0}]}}, {"id": 11, "x": {"id": 12}, "z')
+    mixed = read_landing(spark, str(tmp_path), "teams")
+    got = [r[0] for r in records(mixed).select(F.try_variant_get("value", "$.id", "int")).collect()]
+    assert sorted(got) == [1, 2, 3, 4, 5, 6, 8, 10]  # the cut-off files keep their good records
+    assert sorted(r.bad_text for r in rejects(mixed).collect()) == sorted(
+        ["  7", "{bad", '{"id": 9 9}', '{"id": 11, "x": {"id": 12}, "z'])
+
+
+def test_files_are_loaded_once_unless_forced(spark, tmp_path):
+    from courtside.sources.landing import load_files
+
+    folder = tmp_path / "l/source/teams/date=20240101"
+    folder.mkdir(parents=True)
+    (folder / "a b.json").write_text('[{"id": 1}]')
+    args = (spark, str(tmp_path / "l"), "teams", str(tmp_path / "raw"), str(tmp_path / "ledger"), "20240101", "2024-01-02 00:00:00")
+    assert [load_files(*args), load_files(*args)] == [1, 0]
+    (folder / "c.json").write_text('[{"id": 2}]')
+    (folder / "a b.json").write_text('[{"id": 1}, {"id": 3}]')  # another length: another file
+    assert [load_files(*args), load_files(*args), load_files(*args, force=True)] == [2, 0, 2]
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 1 + 2 + 2
+
+
+def test_arrays_keep_null_dates_and_plan_no_cross_join(spark):
+    recs = spark.createDataFrame([(1, "20240101"), (2, None), (3, None)], "id long, date string")
+    files = pack_json_arrays(recs, "date", "teams")
+    got = {r.date: (r.file_name, len(json.loads(r.raw_text))) for r in files.collect()}
+    assert got == {"20240101": ("source/teams/date=20240101/teams-0.json", 1),
+                   None: ("source/teams/date=__HIVE_DEFAULT_PARTITION__/teams-0.json", 2)}
+    constant = pack_json_arrays(recs.withColumn("date", F.lit("20240101")), "date", "teams", max_records=1)
+    plan = constant._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    assert sum(len(json.loads(r.raw_text)) for r in constant.collect()) == 3
+
+
+def test_files_are_planned_by_size(spark, tmp_path):
+    hot = [(i, "20240101") for i in range(4000)] + [(i, f"202402{i % 20 + 1:02d}") for i in range(200)] + [(1, None)]
+    write_landing(spark.createDataFrame(hot, "id long, date string").repartition(8), str(tmp_path), "teams", file_rows=500)
+    base = tmp_path / "source/teams"
+    count = {d.name: len(list(d.glob("*.json"))) for d in base.iterdir() if d.is_dir()}
+    assert count["date=20240101"] == 8  # many tasks for the hot date
+    assert all(n == 1 for d, n in count.items() if d != "date=20240101") and len(count) == 22
+    assert spark.read.json(str(base)).count() == len(hot)
