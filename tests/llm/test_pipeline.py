@@ -73,7 +73,7 @@ def test_run(spark, tables):
     d, rows, items = tables
     docs = spark.read.parquet(f"{d}/documents.parquet")
     model = langid.train(docs, crc_mod(F.col("doc_id"), 4) != 2)
-    kept = [r for r in rows if (p := model.predict(r[1] or ""))[0] != "und" and p[1] >= model.reject_below]
+    kept = [r for r in rows if model.judge(r[1] or "")[2]]
     assert {r[0] for r in rows} - {r[0] for r in kept} >= {90, 91, 92}
     kept = brute_keep_one(kept)
     rest = {i: b.decode("utf-8", "ignore") for i, _, _, _, b in brute_bytes([(r[0], r[1]) for r in kept], corpus_pipeline.REPEAT_BYTES)}
