@@ -18,7 +18,7 @@ from courtside.operators.quality import Check, count_failures, freshness, run_ch
 from courtside.plans import models as M
 from courtside.plans.feeds import FEEDS, SNAPSHOTS
 from courtside.sources.landing import feed_path, load_files, logical_date, read_seed, rejects
-from courtside.sources.tables import VersionedTable
+from courtside.sources.tables import BucketedTable, HistoryTable, VersionedTable
 
 
 @dataclass(frozen=True)
@@ -35,6 +35,7 @@ class RunConfig:
     shape: str = "auto"
     force: bool = True                # load files again that an earlier run has loaded, as the producer's schedule does
     tolerant: bool = False
+    buckets: int = 8                  # folders of a bronze table, see BucketedTable
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -72,8 +73,8 @@ def load_bronze(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
     """M1-M6: every bronze table from the RAW rows loaded after its newest load time."""
     out = {}
     for name, raw in load_raw(spark, cfg).items():
-        t = table(spark, cfg, "bronze", f"bronze_{name}")
-        t.write(M.bronze(raw.where("raw_json IS NOT NULL"), t.read(), FEEDS[name], cfg.tolerant))
+        t = BucketedTable(spark, f"{cfg.warehouse_root.rstrip('/')}/bronze", f"bronze_{name}", [FEEDS[name].key_name], cfg.buckets)
+        t.upsert(M.bronze_batch(raw.where("raw_json IS NOT NULL"), t.read(), FEEDS[name], cfg.tolerant))
         out[name] = t.read()
     return out
 
@@ -90,9 +91,9 @@ def run_snapshots(spark: SparkSession, cfg: RunConfig, bronze: dict[str, DataFra
     out = {}
     now = F.lit(cfg.run_ts).cast("timestamp_ntz")
     for snap_name, (feed, key, checks, updated_at) in SNAPSHOTS.items():
-        t = table(spark, cfg, "snapshots", snap_name)
+        t = HistoryTable(spark, f"{cfg.warehouse_root.rstrip('/')}/snapshots", snap_name)
         if feed in bronze:
-            t.write(M.snapshot(t.read(), bronze[feed], key, checks, updated_at, now))
+            t.write_step(M.snapshot(t.read_open(), bronze[feed], key, checks, updated_at, now))
         df = t.read()
         if df is not None:
             out[snap_name] = df

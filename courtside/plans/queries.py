@@ -4,13 +4,16 @@ only the operators that filter by nature (watermark, season, upsert batches) do.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.operators.star import resolve_counterpart
 from courtside.plans import bindings as B
 from courtside.plans.marts import player_mart, team_mart
-from courtside.session import materialize
+from courtside.session import ensure_checkpoint_dir, materialize
+from courtside.sources.tables import BucketedTable, HistoryTable
 
 
 def q_player_mart(spark: SparkSession, root: str) -> DataFrame:
@@ -337,6 +340,18 @@ def q_incremental_upsert(spark: SparkSession, root: str) -> DataFrame:
     return upsert(target, batch, ["event_id"])
 
 
+def q_incremental_upsert_buckets(spark: SparkSession, root: str) -> DataFrame:
+    """I3 on a stored table: all orders, then a batch of one customer in a hundred (changed rows and new ones)."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/orders-{uuid.uuid4().hex}"
+    o = read_table(spark, root, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
+    table = BucketedTable(spark, folder, "orders", ["o_custkey", "o_orderkey"], 64, bucket_by=["o_custkey"])
+    table.upsert(o)
+    few = o.where(F.col("o_custkey") % 100 == 7)
+    new = few.where(F.col("o_orderkey") % 3 == 0).withColumn("o_orderkey", -F.col("o_orderkey"))
+    table.upsert(few.where(F.col("o_orderkey") % 2 == 0).withColumn("o_orderstatus", F.lit("X")).unionByName(new))
+    return table.read()
+
+
 # ---------------------------------------------------------------------------
 # Type-2 history
 # ---------------------------------------------------------------------------
@@ -361,19 +376,18 @@ SNAP_COLS = ["c_custkey", "o_orderpriority", "o_orderkey", "o_totalprice", "vali
 def scd2_batches(spark: SparkSession, root: str) -> DataFrame:
     """D1-D6 applied batch by batch (one batch per order year, oldest first).
 
-    The loop runs on the driver over the batch list only (a handful of
-    years); every step is a distributed join, and each new snapshot is
-    checkpointed to the shared checkpoint folder to cut the lineage.
+    The loop runs on the driver over the batch list only (a handful of years). The rows are stored
+    by year, so each step reads its own; it joins them with the open versions and writes these and
+    what it closes: the closed history is not touched again.
     """
-    rows = customer_year_rows(spark, root)
-    years = sorted(r[0] for r in rows.select("batch_year").distinct().collect())
-    snap = None
-    for y in years:  # a date range, so the filter reaches the scan
-        batch = rows.filter((F.col("updated_at") >= F.lit(f"{y}-01-01").cast("timestamp_ntz"))
-                            & (F.col("updated_at") < F.lit(f"{y + 1}-01-01").cast("timestamp_ntz"))).drop("batch_year")
-        snap = snapshot_check(snap, batch, "c_custkey", ["o_orderpriority"], updated_at_col="updated_at")
-        snap = materialize(snap)
-    return snap.select(*SNAP_COLS)
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/history-{uuid.uuid4().hex}"
+    customer_year_rows(spark, root).write.partitionBy("batch_year").parquet(f"{folder}/rows")
+    rows = spark.read.parquet(f"{folder}/rows")
+    history = HistoryTable(spark, folder, "versions")
+    for y in sorted(r[0] for r in rows.select("batch_year").distinct().collect()):
+        batch = rows.where(F.col("batch_year") == y).drop("batch_year")
+        history.write_step(snapshot_check(history.read_open(), batch, "c_custkey", ["o_orderpriority"], updated_at_col="updated_at"))
+    return history.read().select(*SNAP_COLS)
 
 
 def q_scd2_check_history(spark: SparkSession, root: str) -> DataFrame:
@@ -523,6 +537,7 @@ REGISTRY.update({
     "not_in_with_null": q_not_in_with_null,
     "watermark_filter": q_watermark_filter,
     "incremental_upsert": q_incremental_upsert,
+    "incremental_upsert_buckets": q_incremental_upsert_buckets,
     "scd2_check_history": q_scd2_check_history,
     "scd2_bulk_history": q_scd2_bulk_history,
     "scd2_current": q_scd2_current,

@@ -5,7 +5,13 @@ from __future__ import annotations
 import time
 import uuid
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from courtside.operators.incremental import upsert
+from courtside.session import materialize
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -41,6 +47,11 @@ class VersionedTable:
     def exists(self) -> bool:
         return self.current_path() is not None
 
+    def number(self) -> int:
+        """The number of the current version, 0 before the first."""
+        markers = self._markers()
+        return markers[-1][0] if markers else 0
+
     def read(self) -> DataFrame | None:
         path = self.current_path()
         return self.spark.read.parquet(path) if path else None
@@ -52,8 +63,99 @@ class VersionedTable:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
-        markers = self._markers()
-        number = markers[-1][0] + 1 if markers else 1
+        self._publish(self.number() + 1, version)
+        return path
+
+    def _publish(self, number: int, version: str) -> None:
         marker = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/_versions/{number:09d}.{version}")
         marker.getFileSystem(self.spark._jsc.hadoopConfiguration()).create(marker, False).close()
-        return path
+
+
+class BucketedTable:
+    """One row per key, in folders by a hash of the key (I3): an upsert reads and rewrites the folders of its batch only.
+
+    The bucket numbers of a batch (at most ``buckets``) become a partition filter on the table, and Spark's dynamic
+    partition overwrite replaces those folders. The new content of the folders is first written aside as a whole:
+    a run that stops while folders are replaced is finished by the next one, so no row is lost and the watermark of
+    the table never runs ahead of its rows. Choose ``buckets`` so that one fits a task; ``bucket_by`` (part of the key) keeps
+    rows that change together in one folder.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, name: str, keys: Sequence[str], buckets: int = 64,
+                 bucket_by: Sequence[str] | None = None):
+        self.spark, self.keys, self.buckets = spark, list(keys), buckets
+        self.bucket_by = list(bucket_by or keys)
+        self.path, self.aside = (f"{root.rstrip('/')}/{name}/{part}" for part in ("data", "aside"))
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def _has(self, path: str) -> bool:
+        fs, p = self._fs(path)
+        return fs.exists(p)
+
+    def exists(self) -> bool:
+        return self._has(self.path)
+
+    def read(self) -> DataFrame | None:
+        self._replace()
+        return self.spark.read.parquet(self.path).drop("key_bucket") if self.exists() else None
+
+    def upsert(self, batch: DataFrame) -> list[int]:
+        """Rows of ``batch`` (one per key) replace those with the same key or are added; returns the buckets written."""
+        self._replace()
+        bucket = F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
+        batch = materialize(batch.withColumn("key_bucket", bucket))
+        touched = sorted(r[0] for r in batch.select("key_bucket").distinct().collect())
+        if not touched and self.exists():
+            return []
+        target = None
+        if self.exists():
+            target = self.spark.read.parquet(self.path).where(F.col("key_bucket").isin(touched))
+        merged = upsert(target, batch, [*self.keys, "key_bucket"]).repartition("key_bucket")
+        merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("key_bucket").parquet(self.aside)
+        self._replace()
+        return touched
+
+    def _replace(self) -> None:
+        """Put the folders written aside in their place; a no-op unless they are complete."""
+        if self._has(f"{self.aside}/_SUCCESS"):
+            rows = self.spark.read.parquet(self.aside)
+            out = rows.repartition("key_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            out.partitionBy("key_bucket").parquet(self.path)
+            fs, p = self._fs(self.aside)
+            fs.delete(p, True)
+
+
+class HistoryTable(VersionedTable):
+    """Versions in two parts (D2-D4): the open ones, rewritten by each step, and the closed ones, only ever added to.
+
+    Step n writes, in one job, all open versions and those it closes to ``rows/step=n``, and is then made current.
+    Readers take the open versions of the current step and the closed ones of all steps up to it, so a
+    stop in between changes nothing, and a repeated step replaces what the stopped one had written.
+    """
+
+    def _rows(self) -> DataFrame:
+        return self.spark.read.option("basePath", f"{self.base}/rows").parquet(f"{self.base}/rows")
+
+    def read_open(self) -> DataFrame | None:
+        n = self.number()
+        return self._rows().where((F.col("step") == n) & F.col("is_open")).drop("step", "is_open") if n else None
+
+    def read(self) -> DataFrame | None:
+        n = self.number()
+        if not n:
+            return None
+        return self._rows().where((F.col("step") == n) | ((F.col("step") < n) & ~F.col("is_open"))).drop("step", "is_open")
+
+    def write_step(self, rows: DataFrame) -> None:
+        """``rows``: a check step's result over the open versions, open and newly closed ones."""
+        n = self.number() + 1
+        path = f"{self.base}/rows/step={n}"
+        out = rows.withColumn("is_open", F.col("valid_to").isNull()).write.mode("overwrite")
+        out.option("partitionOverwriteMode", "static").partitionBy("is_open").parquet(path)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        parts = p.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(p)
+        if any(s.isDirectory() for s in parts):  # without any version there is no step
+            self._publish(n, f"step={n}")

@@ -18,11 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from courtside.operators.incremental import upsert
 from courtside.plans.feeds import FeedSpec
 from courtside.plans.models import bronze_batch
 from courtside.sources.landing import feed_path, parse_array
-from courtside.sources.tables import VersionedTable
+from courtside.sources.tables import BucketedTable
 
 
 def landing_stream(spark: SparkSession, landing_root: str, feed: str, max_files_per_trigger: int = 1000) -> DataFrame:
@@ -38,13 +37,12 @@ def landing_stream(spark: SparkSession, landing_root: str, feed: str, max_files_
 def start_bronze_stream(spark: SparkSession, landing_root: str, warehouse_root: str, spec: FeedSpec,
                         checkpoint_location: str, available_now: bool = True,
                         processing_time: str | None = None) -> StreamingQuery:
-    table = VersionedTable(spark, f"{warehouse_root.rstrip('/')}/bronze", f"bronze_{spec.name}")
+    table = BucketedTable(spark, f"{warehouse_root.rstrip('/')}/bronze", f"bronze_{spec.name}", [spec.key_name], buckets=8)
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         stamped = batch.withColumn("inserted_at", F.localtimestamp()).where("raw_json IS NOT NULL").persist()
         try:  # the stream hands over only new files: no watermark filter here
-            rows = bronze_batch(stamped, None, spec)
-            table.write(upsert(table.read(), rows, [spec.key_name]))
+            table.upsert(bronze_batch(stamped, None, spec))
         finally:
             stamped.unpersist()
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from courtside.plans.feeds import GAMES
 from courtside.sources.landing import write_landing
-from courtside.sources.tables import VersionedTable
+from courtside.sources.tables import BucketedTable
 from courtside.streaming import start_bronze_stream
 from tests import feed_fixtures as fx
 
@@ -22,7 +22,7 @@ def test_available_now_stream_upserts_new_files_only(spark, tmp_path):
     _land_games(spark, landing, "20251101", "2025-11-02T08:00:00", [(101, 102, 110, 100)])
     q = start_bronze_stream(spark, landing, wh, GAMES, ckpt)
     q.awaitTermination(120)
-    table = VersionedTable(spark, f"{wh}/bronze", "bronze_games")
+    table = BucketedTable(spark, f"{wh}/bronze", "bronze_games", [GAMES.key_name])
     assert table.read().count() == 2
 
     # a new day plus a corrected re-fetch of the first game (same key, later fetch)

@@ -34,3 +34,58 @@ def test_highest_number_wins(spark, tmp_path):
     for i in range(12):
         t.write(spark.createDataFrame([(i,)], "a long"))
     assert rows(t.read()) == [(11,)]
+
+
+def test_upsert_touches_the_buckets_of_its_batch_only(spark, tmp_path):
+    from courtside.sources.tables import BucketedTable
+
+    t = BucketedTable(spark, str(tmp_path), "t", ["k"], buckets=32)
+    assert t.read() is None
+    assert len(t.upsert(spark.range(1000).selectExpr("id AS k", "'a' AS v"))) == 32
+    files = lambda: {str(p) for p in (tmp_path / "t/data").rglob("*.parquet")}
+    before = files()
+    touched = t.upsert(spark.createDataFrame([(3, "b"), (2000, "c")], "k bigint, v string"))
+    moved = {p.split("key_bucket=")[1].split("/")[0] for p in before ^ files()}
+    assert moved == {str(b) for b in touched} and len(touched) <= 2
+    got = {r.k: r.v for r in t.read().collect()}
+    assert len(got) == 1001 and got[3] == "b" and got[2000] == "c" and got[4] == "a"
+    now = files()
+    assert t.upsert(t.read().limit(0)) == [] and files() == now
+
+
+def test_a_stopped_upsert_is_finished_by_the_next_reader(spark, tmp_path, monkeypatch):
+    from courtside.sources.tables import BucketedTable
+
+    t = BucketedTable(spark, str(tmp_path), "t", ["k"], buckets=4)
+    t.upsert(spark.range(20).selectExpr("id AS k", "'a' AS v"))
+    with monkeypatch.context() as m:
+        m.setattr(BucketedTable, "_replace", lambda self: None)  # stopped before the folders are replaced
+        touched = t.upsert(spark.createDataFrame([(1, "b")], "k bigint, v string"))
+    import shutil
+    shutil.rmtree(tmp_path / f"t/data/key_bucket={touched[0]}")  # or in the middle of it
+    got = {r.k: r.v for r in BucketedTable(spark, str(tmp_path), "t", ["k"], buckets=4).read().collect()}
+    assert len(got) == 20 and got[1] == "b"
+
+
+def test_history_steps_leave_closed_versions_alone(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from courtside.operators.scd2 import snapshot_check
+    from courtside.sources.tables import HistoryTable
+
+    h = HistoryTable(spark, str(tmp_path), "h")
+    assert h.read() is None and h.read_open() is None
+    plain, seen = None, set()
+    for day, values in enumerate(("aaa", "aba", "abc", "zbc"), 1):
+        batch = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "k bigint, c string").withColumn(
+            "ts", F.lit(f"2024-01-0{day} 00:00:00").cast("timestamp_ntz"))
+        h.write_step(snapshot_check(h.read_open(), batch, "k", ["c"], updated_at_col="ts"))
+        plain = snapshot_check(plain, batch, "k", ["c"], updated_at_col="ts")
+        now = {str(p) for p in (tmp_path / "h/rows").rglob("is_open=false/*.parquet")}
+        assert seen <= now
+        seen = now
+    key = lambda df: sorted((r.k, r.c, str(r.valid_from), str(r.valid_to)) for r in df.collect())
+    assert key(h.read()) == key(plain) and len(key(plain)) == 6
+    # versions that a stopped step has written, but not made current, are not seen
+    plain.limit(1).write.parquet(str(tmp_path / "h/rows/step=99/is_open=false"))
+    assert key(h.read()) == key(plain)
