@@ -233,20 +233,24 @@ def train(docs: DataFrame, training: Column, max_rows: int = 3000, max_chars: in
           text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", **settings) -> Model:
     """Fit on a bounded sample of the labelled rows where ``training`` holds. Every language is learnt.
 
-    Of each of the L languages the max(max_rows / L, least_rows) rows that are first by a hash of text and id (all, if
-    there are fewer), each a stretch of at most ``max_chars`` characters at a hashed place of its
+    Of each of the L languages about max(max_rows / L, least_rows) rows, never more, first by a hash of text and id (all,
+    if there are fewer), each a stretch of at most ``max_chars`` characters at a hashed place of its
     text. That is the whole bound; it grows with the number of languages and does not depend on how the
     rows are dealt to files and tasks. Prediction reads whole texts.
     """
     rows = docs.where(training).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"),
                                        F.xxhash64(F.col(text_col), F.col(id_col)).alias("h")) \
         .where("lang IS NOT NULL AND text IS NOT NULL")
-    n_langs = rows.select("lang").distinct().count()
-    if not n_langs:
+    counts = rows.groupBy("lang").count().collect()  # one row per language, as the model holds
+    if not counts:
         return fit([])
-    each = max(-(-max_rows // n_langs), least_rows)
+    each = max(-(-max_rows // len(counts)), least_rows)
+    # First by a hash bound that lets a little more than ``each`` rows of a language through, so that few are ranked.
+    share = [(r["lang"], min(1.0, (each + 8 * each ** 0.5) / r["count"])) for r in counts]
+    bound = F.broadcast(docs.sparkSession.createDataFrame(share, "lang string, share double"))
+    low = (F.col("h") / 2.0**64 + 0.5) <= F.col("share")
     at = F.pmod(F.col("h"), F.greatest(F.lit(1), F.length("text") - max_chars + 1)).cast("int") + 1
-    sample = rows.select("h", F.substr("text", at, F.lit(max_chars)).alias("text"), "lang")
+    sample = rows.join(bound, "lang").where(low).select("h", F.substr("text", at, F.lit(max_chars)).alias("text"), "lang")
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))
     picked = sample.withColumn("rn", first).where(F.col("rn") <= each).drop("rn").collect()
     return fit([(r["text"], r["lang"]) for r in sorted(picked, key=lambda r: (r["h"], r["lang"], r["text"]))], **settings)
