@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 ROW_LEVEL = {"not_null", "accepted_values", "not_accepted_values", "accepted_range"}
@@ -123,9 +123,32 @@ def _row_count(chk: Check) -> Column:
     return F.sum(F.when(_row_fail(chk), F.lit(1)).otherwise(F.lit(0)))
 
 
-def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One row per check: ``check_name``, ``failures`` (0 = pass)."""
+def observed(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, Observation | None]:
+    """``df`` with the failing rows of its row-level checks counted while it is written.
+
+    Write the returned frame as it is: metrics taken right above the write count each partition once, also when
+    a task is repeated. The observation's ``get`` then maps check names to failing rows.
+    """
+    row_checks = [c for c in checks if c.kind in ROW_LEVEL]
+    if not row_checks:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[F.coalesce(_row_count(c), F.lit(0)).cast("bigint").alias(c.name) for c in row_checks]), seen
+
+
+def run_checks(df: DataFrame, checks: Sequence[Check], seen: dict[str, int] | None = None) -> DataFrame:
+    """One row per check: ``check_name``, ``failures`` (0 = pass).
+
+    ``seen``: failing rows by check name, counted when ``df`` was written; such checks read nothing. Only accepted
+    values, of which each counts once, are read again where some row failed.
+    """
     parts: list[DataFrame] = []
+    seen = seen or {}
+    known = [c for c in checks if c.name in seen and c.kind in ROW_LEVEL and (c.kind != "accepted_values" or not seen[c.name])]
+    if known:
+        rows = [(c.name, int(seen[c.name])) for c in known]
+        parts.append(df.sparkSession.createDataFrame(rows, "check_name string, failures bigint"))
+    checks = [c for c in checks if c not in known]
     row_checks = [c for c in checks if c.kind in ROW_LEVEL and c.kind != "accepted_values"]
     if row_checks:
         agg = df.agg(*[F.coalesce(_row_count(c), F.lit(0)).cast("bigint").alias(f"__c{i}")

@@ -26,14 +26,22 @@ from pyspark.sql import functions as F
 
 def value_rank_table(df: DataFrame, value_col: str, partition_cols: Sequence[str] = (),
                      descending: bool = True, nulls_first: bool = True, out: str = "rank",
-                     buckets: int = 256, accuracy: int = 10000) -> DataFrame:
-    """One row per distinct (partition, value): ``__v`` and its rank ``out``."""
+                     buckets: int = 256, accuracy: int = 10000, own_splits: bool = False) -> DataFrame:
+    """One row per distinct (partition, value): ``__v`` and its rank ``out``.
+
+    ``own_splits`` takes split points per value of the one partition column, which must have few values.
+    """
     parts = list(partition_cols)
     v = F.col(value_col)
     hist = df.groupBy(*parts, value_col).agg(F.count(F.lit(1)).alias("__n"))
 
     probs = [i / buckets for i in range(1, buckets)]
-    splits = hist.select(F.percentile_approx(v, probs, accuracy)).scalar()
+    quantiles = F.percentile_approx(v, probs, accuracy)
+    if own_splits:
+        each = hist.groupBy(*parts).agg(quantiles.alias("__q"))
+        splits = each.select(F.map_from_entries(F.collect_list(F.struct(*parts, "__q")))).scalar()[F.col(parts[0])]
+    else:
+        splits = hist.select(quantiles).scalar()
     hist = hist.withColumn("__splits", splits)
     if descending:
         in_order = F.size(F.filter(F.col("__splits"), lambda s: s >= v))
@@ -85,6 +93,28 @@ def global_rank(df: DataFrame, value_col: str, descending: bool = True, nulls_fi
     return scalable_rank(df, value_col, (), descending, nulls_first, out, buckets, source=source)
 
 
+def rank_measures(df: DataFrame, measures: dict[str, str], row_col: str, descending: bool = True,
+                  nulls_first: bool = True, buckets: int = 256) -> DataFrame:
+    """W4 for several measures (value column -> rank column) of one type at once.
+
+    One histogram over (measure, value), one join of its ranks to the cells and one join by row, however many
+    measures. ``row_col`` is unique; pass a materialised frame, which is read three times. NULLs of a
+    measure share one rank and meet no join.
+    """
+    cells = df.select(F.col(row_col).alias("__row_id"), F.posexplode(F.array(*measures)).alias("__m", "__x"))
+    ranked = value_rank_table(cells, "__x", ["__m"], descending, nulls_first, "__r", buckets, own_splits=True)
+    ranked = ranked.where("__v IS NOT NULL").withColumnRenamed("__m", "__rm")
+    known = cells.where("__x IS NOT NULL")
+    known = known.join(ranked, (known["__m"] == ranked["__rm"]) & (known["__x"] == ranked["__v"]))
+    wide = known.groupBy("__row_id").agg(*[F.max(F.when(F.col("__m") == i, F.col("__r"))).alias(f"__r{i}")
+                                           for i in range(len(measures))])
+    out = []
+    for i, (value, name) in enumerate(measures.items()):
+        nulls = F.lit(1).cast("bigint") if nulls_first else df.select(F.count(value) + 1).scalar()
+        out.append(F.coalesce(wide[f"__r{i}"], nulls).alias(name))
+    return df.join(wide, df[row_col] == wide["__row_id"], "left").select(df["*"], *out)
+
+
 def rank_within(df: DataFrame, partition_cols: Sequence[str], value_col: str, descending: bool = True,
                 nulls_first: bool = True, out: str = "rank", buckets: int = 256) -> DataFrame:
     """Rank inside each partition, safe when one partition holds most rows."""

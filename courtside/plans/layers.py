@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.operators.quality import Check, count_failures, freshness, run_checks
+from courtside.operators.quality import Check, count_failures, freshness, observed, run_checks
 from courtside.plans import models as M
 from courtside.plans.feeds import FEEDS, SNAPSHOTS
 from courtside.sources.landing import feed_path, load_files, logical_date, read_seed, rejects
@@ -100,16 +100,25 @@ def run_snapshots(spark: SparkSession, cfg: RunConfig, bronze: dict[str, DataFra
     return out
 
 
-def _write(spark: SparkSession, cfg: RunConfig, layer: str, name: str, df: DataFrame) -> DataFrame:
+def _write(spark: SparkSession, cfg: RunConfig, layer: str, name: str, df: DataFrame,
+           counted: dict[str, dict[str, int]] | None) -> DataFrame:
     t = table(spark, cfg, layer, name)
+    seen = None
+    if counted is not None:
+        df, seen = observed(df, check_specs({}).get(name, []))
     t.write(df)
+    if seen is not None:
+        counted[name] = seen.get
     return t.read()
 
 
-def run_all_layers(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
+def run_all_layers(spark: SparkSession, cfg: RunConfig,
+                   counted: dict[str, dict[str, int]] | None = None) -> dict[str, DataFrame]:
     """One scheduled run. Returns every table of the run (read back from storage).
 
-    Daily and weekly feeds land apart: a table is built as soon as all its inputs exist.
+    Daily and weekly feeds land apart: a table is built as soon as all its inputs exist. A dictionary given as
+    ``counted`` is filled with the failing rows of each silver and gold table's row-level checks, counted in the
+    write itself, for ``declared_checks``.
     """
     bronze = load_bronze(spark, cfg)
     now = F.lit(cfg.run_ts).cast("timestamp_ntz")
@@ -136,15 +145,14 @@ def run_all_layers(spark: SparkSession, cfg: RunConfig) -> dict[str, DataFrame]:
     ]
     for layer, name, needs, job in steps:
         if all(n in t for n in needs):
-            t[name] = _write(spark, cfg, layer, name, job(*(t[n] for n in needs)))
+            t[name] = _write(spark, cfg, layer, name, job(*(t[n] for n in needs)), counted)
     del t["conference_seed"]
     return t
 
 
-def declared_checks(t: dict[str, DataFrame]) -> DataFrame:
-    """The reference's declared tests (bronze, snapshots, silver, gold and the
-    singular assertion) as one DataFrame: table, check_name, failures."""
-    specs: dict[str, list[Check]] = {
+def check_specs(t: dict[str, DataFrame]) -> dict[str, list[Check]]:
+    """The checks declared for each table; ``t`` has the parents of the relationships."""
+    return {
         "bronze_box_scores": [Check("game_id.not_null", "not_null", "game_id"),
                               Check("player_id.not_null", "not_null", "player_id"),
                               Check("team_id.not_null", "not_null", "team_id"),
@@ -202,11 +210,19 @@ def declared_checks(t: dict[str, DataFrame]) -> DataFrame:
                                   Check("current_season_fg_pct.accepted_range", "accepted_range",
                                         "current_season_fg_pct", min_value=0, max_value=1)],
     }
+
+
+def declared_checks(t: dict[str, DataFrame], counted: dict[str, dict[str, int]] | None = None) -> DataFrame:
+    """The reference's declared tests (bronze, snapshots, silver, gold and the
+    singular assertion) as one DataFrame: table, check_name, failures.
+
+    ``counted``: what ``run_all_layers`` counted while writing; those checks scan nothing.
+    """
     parts = []
-    for name, checks in specs.items():
+    for name, checks in check_specs(t).items():
         checks = [c for c in checks if c.kind != "relationships" or c.parent is not None]  # its parent is not built yet
         if name in t and checks:
-            parts.append(run_checks(t[name], checks).select(F.lit(name).alias("table"), "*"))
+            parts.append(run_checks(t[name], checks, (counted or {}).get(name)).select(F.lit(name).alias("table"), "*"))
     if "mart_team_analytics" in t:
         m = t["mart_team_analytics"]
         failing = m.filter(F.col("current_season_total_games")

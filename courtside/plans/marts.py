@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courtside.operators.ranking import global_rank, rank_within
+from courtside.operators.ranking import rank_measures, rank_within
 from courtside.operators.star import enrich
 from courtside.operators.stats import StatSpec, all_and_season_stats, recent_stats
 from courtside.session import materialize
@@ -51,14 +51,13 @@ def player_mart(dim_players: DataFrame, fact: DataFrame, season: str, recent_ord
         F.col("rt_fg_made_pct").alias("recent_10_fg_pct"))
 
     base = dim_players.select(*basic_cols)
-    # One row per player: materialised once in the shared checkpoint folder, so
-    # the three ranks read it instead of re-deriving the statistics. Each rank is
-    # taken on a narrow (row, value) frame; the wide mart is joined once, by row.
+    # One row per player: materialised once in the shared checkpoint folder, so the ranks
+    # read it instead of re-deriving the statistics. All three are taken in one pass over
+    # a narrow frame; the wide mart is joined once, by row.
     mart = materialize(base.join(stats, on=key, how="left").withColumn("__row", F.monotonically_increasing_id()))
-    values = ("current_season_avg_points", "current_season_avg_assists", "current_season_avg_reb")
-    ranks = mart.select("__row", *values)
-    for value, name in zip(values, ("season_pts_rank", "season_ast_rank", "season_reb_rank")):
-        ranks = global_rank(ranks, value, out=name, source=mart.select(value))
+    values = {"current_season_avg_points": "season_pts_rank", "current_season_avg_assists": "season_ast_rank",
+              "current_season_avg_reb": "season_reb_rank"}
+    ranks = rank_measures(mart.select("__row", *values), values, "__row")
     stat_cols = [c for c in stats.columns if c != key]
     return mart.join(ranks.drop(*values), on="__row").select(
         *basic_cols, "season_pts_rank", "season_ast_rank", "season_reb_rank", *stat_cols)

@@ -13,6 +13,7 @@ from courtside.operators.star import resolve_counterpart
 from courtside.plans import bindings as B
 from courtside.plans.marts import player_mart, team_mart
 from courtside.session import ensure_checkpoint_dir, materialize
+from courtside.sources.colocated import CoLocated
 from courtside.sources.tables import BucketedTable, HistoryTable
 
 
@@ -223,9 +224,8 @@ def q_rank_global(spark: SparkSession, root: str) -> DataFrame:
 from courtside.operators.star import enrich, fill_orphans, orphan_keys, placeholder_defaults  # noqa: E402
 
 
-def q_fact_left_join(spark: SparkSession, root: str) -> DataFrame:
-    """J2 + P5: box scores LEFT JOIN team games on (game_id, team_id); the
-    games of other years than 1998 carry another key, so they miss."""
+def box_and_team_games(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Box scores and team games; the games of other years than 1998 carry another key, so they miss."""
     li = read_table(spark, root, "lineitem")
     o = read_table(spark, root, "orders")
     other = F.when(F.year("o_orderdate") == 1998, F.col("game_id")).otherwise(-1 - F.col("game_id"))
@@ -238,9 +238,38 @@ def q_fact_left_join(spark: SparkSession, root: str) -> DataFrame:
                     F.col("l_partkey").alias("player_id"),
                     F.round(F.col("l_tax") * 100).cast("bigint").alias("fg_made"),
                     F.round(F.col("l_discount") * 100).cast("bigint").alias("fg_attempted"))
-    j = box.join(team_games, on=["game_id", "team_id"], how="left")
-    return j.select("game_id", "team_id", "player_id", "team_pts", "game_date",
-                    guarded_ratio("fg_made", "fg_attempted").alias("fg_pct_calc"))
+    return box, team_games
+
+
+def with_fg_pct(joined: DataFrame) -> DataFrame:
+    return joined.select("game_id", "team_id", "player_id", "team_pts", "game_date",
+                         guarded_ratio("fg_made", "fg_attempted").alias("fg_pct_calc"))
+
+
+def q_fact_left_join(spark: SparkSession, root: str) -> DataFrame:
+    """J2 + P5: box scores LEFT JOIN team games on (game_id, team_id)."""
+    box, team_games = box_and_team_games(spark, root)
+    return with_fg_pct(box.join(team_games, on=["game_id", "team_id"], how="left"))
+
+
+def _colocated(spark: SparkSession, root: str, **tables: DataFrame) -> CoLocated:
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/colocated-{uuid.uuid4().hex}"
+    return CoLocated(spark, folder, tables, ["game_id", "team_id"], 64)
+
+
+def q_fact_join_colocated(spark: SparkSession, root: str) -> DataFrame:
+    """J2 over tables stored by (game_id, team_id): no shuffle under the join."""
+    box, team_games = box_and_team_games(spark, root)
+    return with_fg_pct(_colocated(spark, root, box=box, games=team_games).join("box", "games"))
+
+
+def q_latest_colocated(spark: SparkSession, root: str) -> DataFrame:
+    """W1 over a table stored by its key: the team's last line of each game, no shuffle under the window."""
+    li = read_table(spark, root, "lineitem").select(
+        F.col("l_orderkey").alias("game_id"), F.col("l_suppkey").alias("team_id"), F.col("l_partkey").alias("player_id"),
+        "l_linenumber", "l_shipdate")
+    order = [F.col("l_shipdate").desc_nulls_first(), F.col("l_linenumber").desc(), F.col("player_id").desc()]
+    return _colocated(spark, root, lines=li).per_key(lambda t: latest_per_key(t, ["game_id", "team_id"], order), "lines")
 
 
 def q_dim_enrich(spark: SparkSession, root: str) -> DataFrame:
@@ -529,6 +558,8 @@ REGISTRY.update({
     "rank_partitioned": q_rank_partitioned,
     "rank_global": q_rank_global,
     "fact_left_join": q_fact_left_join,
+    "fact_join_colocated": q_fact_join_colocated,
+    "latest_colocated": q_latest_colocated,
     "dim_enrich": q_dim_enrich,
     "counterpart_join": q_counterpart_join,
     "orphan_keys": q_orphan_keys,

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from courtside.operators.dedup import latest_per_key, recent_n
-from courtside.operators.ranking import global_rank, plain_rank, rank_within
+from courtside.operators.ranking import global_rank, plain_rank, rank_measures, rank_within
 from tests.conftest import rows
 
 
@@ -52,3 +52,17 @@ def test_rank_within_matches_rank_with_null_partition(spark):
 def test_rank_all_equal_and_more_rows_than_buckets(spark):
     df = spark.createDataFrame([(i, 1.0) for i in range(500)], "id long, v double")
     assert {r.r for r in global_rank(df, "v", out="r", buckets=16).collect()} == {1}
+
+
+def test_several_measures_ranked_at_once(spark):
+    df = _random_frame(spark, seed=3).withColumn("w", F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.col("v") * -1000)) \
+        .withColumn("none", F.lit(None).cast("double"))
+    names = {"v": "r_v", "w": "r_w", "none": "r_none"}
+    for desc, first in ((True, True), (True, False), (False, True)):
+        got = rank_measures(df, names, "id", descending=desc, nulls_first=first, buckets=8)
+        want = df
+        for value, name in names.items():
+            want = plain_rank(want, value, descending=desc, nulls_first=first, out=name)
+        assert got.columns == [*df.columns, *names.values()]
+        assert rows(got) == rows(want)
+    assert rank_measures(df.limit(0), names, "id").count() == 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from courtside.plans.layers import RunConfig, declared_checks, run_all_layers
 from courtside.sources.landing import pack_json_arrays, read_landing, write_landing
 from tests import feed_fixtures as fx
+from tests.conftest import rows
 
 
 def _land(spark, root, feed, date, recs):
@@ -68,7 +69,11 @@ def test_two_batches_to_gold(spark, tmp_path):
     assert failing == {}, failing
 
     # re-running the second batch changes nothing in bronze (watermark)
-    t3 = run_all_layers(spark, cfg2)
+    counted = {}
+    t3 = run_all_layers(spark, cfg2, counted)
+    # the checks counted while writing say the same as those that scan, whether they fail or not
+    assert counted["mart_player_analytics"]["player_id.not_null"] == 0 and "silver_box_scores" in counted
+    assert rows(declared_checks(t3, counted)) == rows(declared_checks(t3))
     assert t3["bronze_games"].count() == 8
 
 

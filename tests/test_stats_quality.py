@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from courtside.operators.quality import Check, accepted_values, freshness, run_checks
+from courtside.operators.quality import Check, accepted_values, freshness, observed, run_checks
 from courtside.operators.stats import StatSpec, all_and_season_stats, period_stats
 from tests.conftest import rows
 
@@ -69,3 +69,27 @@ def test_freshness_thresholds(spark):
     for hours, status in ((24, "pass"), (30, "warn"), (50, "error")):
         now = F.lit(dt.datetime(2024, 1, 1) + dt.timedelta(hours=hours)).cast("timestamp_ntz")
         assert freshness(df, "t", now).first().status == status
+
+
+def test_checks_counted_while_writing(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a", 5.0), (None, "b", -1.0), (3, "b", None), (4, "c", 9.0)],
+                               "id long, kind string, v double").repartition(3)
+    checks = [Check("id.not_null", "not_null", "id"), Check("kind.known", "accepted_values", "kind", values=("a",)),
+              Check("kind.any", "accepted_values", "kind", values=("a", "b", "c")),
+              Check("v.range", "accepted_range", "v", min_value=0, max_value=8),
+              Check("v.where", "accepted_range", "v", min_value=0, where="kind = 'a'"), Check("kind.unique", "unique", "kind")]
+    out, seen = observed(df, checks)
+    out.write.parquet(str(tmp_path / "t"))
+    assert seen.get == {"id.not_null": 1, "kind.known": 3, "kind.any": 0, "v.range": 2, "v.where": 0}
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    want = {r.check_name: r.failures for r in run_checks(stored, checks).collect()}
+    assert {r.check_name: r.failures for r in run_checks(stored, checks, seen.get).collect()} == want
+    assert want["kind.known"] == 2 and want["kind.unique"] == 1
+    plan = run_checks(stored, [c for c in checks if c.name in ("id.not_null", "v.range")], seen.get)
+    assert "FileScan" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert observed(df, [checks[-1]]) == (df, None)
+
+    empty, seen = observed(df.limit(0), checks)
+    empty.write.parquet(str(tmp_path / "none"))
+    again = spark.read.parquet(str(tmp_path / "none"))
+    assert {r.failures for r in run_checks(again, checks, seen.get).collect()} == {0}

@@ -1,7 +1,10 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
+from courtside.operators.dedup import latest_per_key
+from courtside.sources.colocated import CoLocated
 from courtside.sources.tables import VersionedTable
 from tests.conftest import rows
 
@@ -89,3 +92,37 @@ def test_history_steps_leave_closed_versions_alone(spark, tmp_path):
     # versions that a stopped step has written, but not made current, are not seen
     plain.limit(1).write.parquet(str(tmp_path / "h/rows/step=99/is_open=false"))
     assert key(h.read()) == key(plain)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_colocated_tables_join_and_window_without_a_shuffle(spark, tmp_path):
+    # key 1 holds over half of the rows, NULL a sixth; key 1 and NULL are heavy, key 7 misses
+    left = spark.range(600).selectExpr("CASE WHEN id % 6 = 0 THEN NULL WHEN id % 6 < 4 THEN 1 ELSE id END AS k", "id AS x")
+    right = spark.range(300).selectExpr("id AS k", "id * 10 AS y").where("k != 7").unionByName(
+        spark.createDataFrame([(1, -1), (None, -2)], "k long, y long"))
+    both = CoLocated(spark, str(tmp_path), {"l": left, "r": right}, ["k"], 8)
+    assert rows(both.heavy) == [(1,), (None,)]
+    assert rows(both.heavy_part("l").select("k").distinct()) == [(1,), (None,)]
+    for how in ("left", "inner", "full", "left_anti"):
+        assert rows(both.join("l", "r", how)) == rows(left.join(right, "k", how))
+
+    newest = [F.col("x").desc()]
+    got = both.per_key(lambda t: latest_per_key(t, ["k"], newest), "l")
+    assert rows(got) == rows(latest_per_key(left, ["k"], newest))
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "Exchange" not in _plan(both.light("l").join(both.light("r"), "k", "left"))
+        assert "Exchange" not in _plan(latest_per_key(both.light("l"), ["k"], newest))
+        assert "Exchange" in _plan(left.join(right, "k", "left"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_colocated_empty_tables(spark, tmp_path):
+    left, right = (spark.createDataFrame([], f"k long, {c} long") for c in "xy")
+    both = CoLocated(spark, str(tmp_path), {"l": left, "r": right}, ["k"], 4)
+    assert both.join("l", "r").count() == 0 and both.heavy.count() == 0
