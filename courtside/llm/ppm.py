@@ -11,7 +11,8 @@ Training counts are gathered by distributed sums over all training documents:
 (order + 1)-grams for the trie, from which all shorter contexts follow, and
 words for the unigram base. The order is the same at every size. A trie of up to
 ``max_grams`` grams is broadcast whole, after its grams have been counted. Of a
-larger one the grams of the highest counts are broadcast with their costs, whole
+larger one (2**21 grams hold 0.25 GB of a worker, 0.4 while they are arranged) the
+grams of the highest counts are broadcast with their costs, whole
 count classes only; each text's other grams are counted, and their costs come
 from stored tables of grams and contexts by joins, one level of escapes at a
 time. Words with high counts are looked up in a broadcast table of bounded size,
@@ -25,6 +26,7 @@ rows are scored each; with no training rows every symbol is uniform.
 from __future__ import annotations
 
 import math
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -152,15 +154,6 @@ def gram_counts(texts: DataFrame, order: int) -> DataFrame:
     return texts.mapInArrow(tidied(run), "g bigint, n bigint").groupBy("g").agg(F.sum("n").alias("n"))
 
 
-def shorten(grams: DataFrame) -> DataFrame:
-    """Gram counts of the next lower order."""
-    top = grams.agg(F.max("g")).first()[0] or 0
-    digits = 1
-    while BASE ** digits <= top:
-        digits += 1
-    return grams.groupBy((F.col("g") % F.lit(BASE ** (digits - 1))).alias("g")).agg(F.sum("n").alias("n"))
-
-
 class CostTable:
     """Costs of gram keys by open addressing; NaN for a key that it does not hold."""
 
@@ -380,20 +373,22 @@ def frequent_words(counts: DataFrame, most: int) -> dict[bytes, int]:
     return {bytes(r["word"]): r["n"] for r in counts.where(F.col("n") >= least).collect()}
 
 
-def train(texts: DataFrame, order: int = 4, max_grams: int = 1 << 23) -> tuple[int, np.ndarray, np.ndarray]:
-    """(order, grams, counts) of the one text column for a FixedTrie; a lower order if there are over ``max_grams`` grams.
+#: The model that this worker process made last: (key, costs, logs, ends).
+_MADE: dict[str, tuple] = {}
 
-    ``score`` does not lower its order: beyond its bound it reads the grams from TrieTables.
-    """
-    grams = stored(gram_counts(texts, order), "grams")
-    while order and grams.count() > max_grams:
-        grams, order = stored(shorten(grams), "grams"), order - 1
-    held = grams.toArrow()
-    return order, held.column("g").to_numpy(), held.column("n").to_numpy()
+
+def _model(key: str, shared, order: int, whole: bool) -> tuple:
+    """(look-up of gram costs, logs of the frequent words, ends), made once per worker process and model."""
+    if _MADE.get("model", ("",))[0] != key:
+        _MADE.clear()  # the model before goes first: two do not fit beside each other
+        trie, frequent, ends = shared.value
+        costs = FixedTrie(order, *trie).costs if whole else CostTable(*trie).look
+        _MADE["model"] = key, costs, {w: math.log10(n + 1) for w, n in frequent.items()}, ends
+    return _MADE["model"][1:]
 
 
 def score(docs: DataFrame, training: Column, order: int = 4, id_col: str = "doc_id", text_col: str = "text",
-          max_words: int = 1 << 17, max_grams: int = 1 << 23) -> DataFrame:
+          max_words: int = 1 << 17, max_grams: int = 1 << 21) -> DataFrame:
     """Scores of all rows by the model of the rows where ``training`` holds.
 
     Columns: id_col, held_out, n_tokens, n_known, train_tokens, base_score, score. Tokens are the
@@ -415,14 +410,11 @@ def score(docs: DataFrame, training: Column, order: int = 4, id_col: str = "doc_
     total, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     total, kinds = total + n_train, kinds + (n_train > 0)
     model = spark.sparkContext.broadcast((trie, frequent_words(words, max_words), n_train))
-    made: dict = {}
+    model_key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if "costs" not in made:
-            trie, frequent, _ = model.value
-            made["costs"] = FixedTrie(order, *trie).costs if whole else CostTable(*trie).look
-            made["logs"] = {w: math.log10(n + 1) for w, n in frequent.items()}
-        costs, look, ends = made["costs"], made["logs"].get, model.value[2]
+        costs, logs, ends = _model(model_key, model, order, whole)
+        look = logs.get
         rid = TaskContext.get().partitionId() << 40
         for batch in batches:
             at = 0

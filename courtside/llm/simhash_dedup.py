@@ -6,7 +6,10 @@ that bit left out; two fingerprints meet in an equal key exactly if one segment
 differs in at most one bit, and are then verified. Each different fingerprint
 is indexed once, however many documents have it. A key shared by more than
 ``max_bucket`` fingerprints is split exactly: linked fingerprints agree in one
-of d + 1 blocks of all bits, which becomes part of the key.
+of d + 1 blocks of all bits, which becomes part of the key. What then still shares
+a key with too many is indexed once more by all choices of 8 of d + 8 blocks, of
+which linked fingerprints agree in 8: for d = 4 that fixes 40 bits or more, so at
+most 2**24 different fingerprints can meet in one task.
 
 Defined results: NULL, empty and wordless texts have fingerprint zero, linked
 like any other; rows with equal ids are kept apart; a NULL id is never a
@@ -16,6 +19,7 @@ component id unless the whole component has none.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +33,9 @@ from courtside.llm.repeats import BROADCAST_BYTES
 
 BITS = 64
 
+#: Equal blocks asked for where a bucket is still too large after one: the buckets of that split are held whole.
+AGREE = 8
+
 
 def fingerprint(raw: bytes, shingle: int = 4, seed: int = 42) -> int:
     """64-bit SimHash of the lower-cased words' shingles, each hashed by XXH64."""
@@ -84,6 +91,13 @@ def variant_keys(fp: Column, max_bits: int) -> Column:
     return F.array(*out)
 
 
+def agreeing_keys(bucket: Column, fp: Column, max_bits: int, agree: int) -> Column:
+    """Keys that split ``bucket`` (NULL: no bucket) exactly: of ``max_bits`` + ``agree`` blocks linked ones agree in ``agree``."""
+    cuts = _cuts(max_bits + agree)
+    return F.array(*[F.xxhash64(bucket, F.lit(i), fp.bitwiseAND(F.lit(sum(_bits(lo, hi) for lo, hi in chosen))))
+                     for i, chosen in enumerate(combinations(cuts, agree))])
+
+
 def _links(key: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Verified links inside groups of equal (sorted) keys: enough to connect what is connected."""
     n = len(key)
@@ -165,11 +179,19 @@ def fingerprint_links(fps: DataFrame, max_bits: int, max_bucket: int = 4000) ->
     keyed = fps.select(F.explode(variant_keys(F.col("fp"), max_bits)).alias("key"), "fp")
     found = keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(tidied(_scan(max_bits, max_bucket)), schema)
     found = stored(found, "fingerprint-links")
-    blocks = F.array(*[F.xxhash64("a", F.lit(i), F.col("b").bitwiseAND(F.lit(_bits(lo, hi))))
-                       for i, (lo, hi) in enumerate(_cuts(max_bits + 1))])
-    split = found.where("open").select(F.explode(blocks).alias("key"), F.col("b").alias("fp"))
-    more = split.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(tidied(_scan(max_bits, None)), schema)
-    return found.where("NOT open").unionByName(more).select("a", "b").distinct()
+    links = found.where("NOT open").select("a", "b")
+    # A link inside an open bucket has both its ends among the open rows, so each split covers all that is left.
+    for agree, bound in ((1, max_bucket), (AGREE, None)):
+        left = found.where("open")
+        if left.isEmpty():
+            break
+        left = left.select(F.when(F.lit(agree == 1), F.col("a")).alias("a"), F.col("b").alias("fp"))
+        keys = agreeing_keys(F.col("a"), F.col("fp"), max_bits, agree)
+        split = left.distinct().select(F.explode(keys).alias("key"), "fp")
+        found = split.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(tidied(_scan(max_bits, bound)), schema)
+        found = stored(found, "fingerprint-links")
+        links = links.unionByName(found.where("NOT open").select("a", "b"))
+    return links.distinct()
 
 
 def _rooted(rows: DataFrame, max_bits: int, max_bucket: int) -> DataFrame:

@@ -48,7 +48,7 @@ def test_fingerprint():
     assert fingerprint(b"") == fingerprint(b" \n\t") == 0
 
 
-@pytest.mark.parametrize("bits,max_bucket", [(4, 4000), (4, 3), (3, 4000), (1, 4000), (0, 5)])
+@pytest.mark.parametrize("bits,max_bucket", [(4, 4000), (4, 3), (4, 1), (3, 4000), (1, 4000), (0, 5)])
 def test_links_connect_exactly(spark, bits, max_bucket):
     rng = random.Random(bits)
     fps = set()
