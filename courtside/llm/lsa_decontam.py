@@ -19,7 +19,10 @@ The benchmark is the query set. Items of more than ``PART`` words are searched i
 parts of at most that many and verified whole, so passages have one length
 whatever items there are. It is read in blocks of ``block`` parts, each with a
 latent space of its own, so terms, products and query vectors are bounded by the
-block; only the verification holds an item's whole words.
+block; only the verification holds an item's whole words. The texts are read three
+times (document frequencies, places of terms, verification) for every ``READING``
+parts, whose terms, at most 64 times as many, are broadcast; the blocks among them
+read the stored places.
 
 Each character of a script written without spaces is a word. Items of fewer than
 ``min_words`` words are found where their words follow each other, by looking up
@@ -58,6 +61,8 @@ _OTHER = bytes(set(range(256)) - {0xE0, 0xE1, *range(0xE3, 0xEA), 0xEF, 0xF0})
 
 #: Short items looked up in one pass over the texts.
 SHORT_BLOCK = 1 << 16
+#: Parts of items for which the texts are read together; their blocks read the stored term places.
+READING = 1 << 12
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -265,6 +270,44 @@ def candidates(places: DataFrame, weight: np.ndarray, space: np.ndarray, queries
     return places.mapInArrow(tidied(run), "doc bigint, rk bigint, passage bigint, item bigint, cosine double, energy double")
 
 
+def _narrowed(places: DataFrame, terms: dict[bytes, int], kept: dict[bytes, int]) -> DataFrame:
+    """``places`` over ``terms`` -> places over ``kept``, some of these terms with numbers of their own."""
+    number = np.full(len(terms), -1, np.int32)
+    for t, k in kept.items():
+        number[terms[t]] = k
+    shared = places.sparkSession.sparkContext.broadcast(number)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            edges = lists.offsets.to_numpy()
+            lo, hi = edges[0], edges[-1]
+            t = shared.value[batch.column(3).values.to_numpy()[lo:hi]]
+            stays = t >= 0
+            ends = np.concatenate([[0], np.cumsum(stays)])[edges - lo]
+            rows = pa.array(np.flatnonzero(np.diff(ends)))
+            ends = pa.array(np.unique(ends), pa.int32())  # rows without a term have no place of their own
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows),
+                 pa.ListArray.from_arrays(ends, pa.array(lists.values.to_numpy()[lo:hi][stays])),
+                 pa.ListArray.from_arrays(ends, pa.array(t[stays]))], names=["doc", "rk", "at", "t"])
+
+    return places.select("doc", "rk", "at", "t").mapInArrow(tidied(run), "doc bigint, rk bigint, at array<int>, t array<int>")
+
+
+def _block_candidates(places: DataFrame, asked: list[list[bytes]], own: list[set], kept: dict[bytes, int],
+                      weight: np.ndarray, min_cosine: float, min_energy: float, min_held: float) -> DataFrame:
+    """Candidates of one block of parts, in a latent space of its own."""
+    space = latent_space(places, weight, len(asked) + 16, STRIDE)
+    vectors = np.zeros((len(asked), len(kept)), np.float32)
+    for j, w in enumerate(asked):
+        for t in w:
+            if t in kept:
+                vectors[j, kept[t]] += weight[kept[t]]
+    held = _own_terms([{kept[t] for t in w if t in kept} for w in own], dict(enumerate(weight.tolist())))
+    return candidates(places, weight, space, vectors @ space, STRIDE, min_cosine, min_energy, held, min_held)
+
+
 def _parts(rows: Iterator, min_words: int) -> Iterator[tuple]:
     """(name, words, begin of the part, its words) of each part of the items, parts of an item about equally long."""
     for name, text in rows:
@@ -383,32 +426,35 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item_type = benchmark.schema[item_col].dataType.simpleString()
     out = None
     rows = _parts(benchmark.select(item_col, item_text_col).toLocalIterator(), min_words)
-    while part := list(islice(rows, block)):
+    n_docs = max(1, keyed.count())
+    while parts_read := list(islice(rows, max(block, READING))):
         items, titles, parts = [], [], []
-        for name, words, lo, _ in part:
+        for name, words, lo, _ in parts_read:
             if not items or items[-1] is not words:
                 items.append(words)
                 titles.append(name)
             parts.append((len(items) - 1, lo))
-        asked = [w for *_, w in part]
+        asked = [w for *_, w in parts_read]
         terms = {t: k for k, t in enumerate(sorted({t for w in asked for t in w}))}
-        df, n_docs = document_frequency(keyed, terms), max(1, keyed.count())
+        df = document_frequency(keyed, terms)
         own = [{t for t in w if df[terms[t]] <= max_df * n_docs}
                | set(sorted(set(w), key=lambda t: (df[terms[t]], t))[:rarest]) for w in asked]
         kept = {t: k for k, t in enumerate(sorted(t for t in set().union(*own) if df[terms[t]]))}
         if not kept:
             continue
-        weight = np.array([df[terms[t]] for t in kept], np.float32) ** np.float32(-0.5)
-        places = stored(term_places(keyed, kept), "term-places")
-        space = latent_space(places, weight, len(asked) + 16, STRIDE)
-        vectors = np.zeros((len(asked), len(kept)), np.float32)
-        for j, w in enumerate(asked):
-            for t in w:
-                if t in kept:
-                    vectors[j, kept[t]] += weight[kept[t]]
-        held = _own_terms([{kept[t] for t in w if t in kept} for w in own], dict(enumerate(weight.tolist())))
-        near = candidates(places, weight, space, vectors @ space, STRIDE, min_cosine, min_energy, held, min_held)
-        hits = _verify(near, keyed, items, parts, min_lcs, min_paraphrase, min_energy)
+        every = stored(term_places(keyed, kept), "term-places")
+        found = None
+        for at in range(0, len(asked), block):
+            mine = {t: k for k, t in enumerate(sorted(t for t in set().union(*own[at:at + block]) if t in kept))}
+            if not mine:
+                continue
+            places = every if len(mine) == len(kept) else stored(_narrowed(every, kept, mine), "block-places")
+            near = _block_candidates(places, asked[at:at + block], own[at:at + block], mine,
+                                     np.array([df[terms[t]] for t in mine], np.float32) ** np.float32(-0.5),
+                                     min_cosine, min_energy, min_held)
+            near = near.withColumn("item", F.col("item") + at)
+            found = near if found is None else found.unionByName(near)
+        hits = _verify(found, keyed, items, parts, min_lcs, min_paraphrase, min_energy)
         names = spark.createDataFrame(list(enumerate(titles)), f"item bigint, name {item_type}")
         hits = hits.join(F.broadcast(names), "item").select("doc", "rk", "name", "cosine", "lcs", "kind")
         out = hits if out is None else out.unionByName(hits)

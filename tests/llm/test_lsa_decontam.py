@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 
+from courtside.llm import lsa_decontam
 from courtside.llm.common import table
 from courtside.llm.lsa_decontam import (candidates, contaminated, document_frequency, gram_product, holds_answer, latent_space,
                                         lcs_length, masks_of, term_places, without_leaks, words_of)
@@ -104,6 +105,49 @@ def test_corpus_copies_are_found(spark):
     assert len(got - exact) <= 0.1 * len(exact)
 
 
+def test_one_reading_serves_all_blocks(spark, monkeypatch):
+    """Texts are read once for all blocks, with the rows of one reading a block."""
+    items, rows, truth = planted()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, item_id string")
+    bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id bigint, text string")
+    readings = []
+    count = lsa_decontam.document_frequency
+    monkeypatch.setattr(lsa_decontam, "document_frequency", lambda d, t: readings.append(len(t)) or count(d, t))
+    together = sorted(map(tuple, contaminated(docs, bench, block=11).collect()))
+    assert len(readings) == 1
+    monkeypatch.setattr(lsa_decontam, "READING", 11)
+    apart = sorted(map(tuple, contaminated(docs, bench, block=11).collect()))
+    assert len(readings) == 1 + 3
+    assert [r[:3] for r in together] == [r[:3] for r in apart] and {(r[0], r[2]) for r in together} == truth
+    assert np.allclose([r[3] for r in together], [r[3] for r in apart], rtol=1e-3)
+
+
+def test_paraphrases_are_found(spark):
+    """Recall of rewordings: every ``every``-th word replaced or two words swapped, the answer kept."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("bcdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+    common = ["the", "of", "and", "to", "in", "is"]
+    sentence = lambda n: [rng.choice(common) if rng.random() < 0.4 else word() for _ in range(n)]
+    items = [sentence(rng.randrange(20, 60)) for _ in range(80)]
+    docs, truth = [], set()
+    for i in range(400):
+        j, leak = i % 80, list(items[i % 80])
+        body = len(leak) - max(5, len(leak) // 4)
+        for k in range(rng.randrange(4), body, 4 + i % 4):
+            if i % 2:
+                leak[k] = word()
+            elif k + 1 < body:
+                leak[k], leak[k + 1] = leak[k + 1], leak[k]
+        docs.append((i, " ".join(sentence(rng.randrange(0, 200)) + leak + sentence(rng.randrange(0, 200)))))
+        truth.add((i, j))
+    docs += [(1000 + i, " ".join(sentence(150))) for i in range(200)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    bench = spark.createDataFrame([(j, " ".join(w)) for j, w in enumerate(items)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in contaminated(frame, bench).collect()}
+    assert got <= truth
+    assert len(got) >= 0.9 * len(truth), len(got) / len(truth)
+
+
 def test_empty_and_repeated(spark):
     docs = spark.createDataFrame([(1, "a b c d e f g h i j k l"), (1, "a b c d e f g h i j k l"), (1, "zz")], "doc_id bigint, text string")
     bench = spark.createDataFrame([(5, "a b c d e f g h i j"), (5, "a b c d e f g h i j")], "item_id bigint, text string")
