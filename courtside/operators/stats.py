@@ -1,9 +1,9 @@
 """Per-entity statistics over three periods (A1-A9): all rows, one season, last N.
 
 The reference computes three grouped sub-queries over the same fact and left
-joins them. Here the all-time and season figures come from **one** two-level
-aggregate (map-side partial aggregation at both levels, so a hot entity is
-pre-aggregated before it is shuffled), and the last-N figures from a
+joins them. Here the all-time and season figures come from **one** aggregate
+(partial on the map side, so a hot entity is pre-aggregated before it is
+shuffled) over rows marked for the distinct count, and the last-N figures from a
 ``WindowGroupLimit``-pruned top-N. NULL parity with the join form is kept: a
 period without rows yields NULL, not 0.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtside.operators.dedup import recent_n
@@ -50,49 +50,25 @@ def _base_columns(spec: StatSpec) -> dict[str, str]:
     return cols
 
 
-def _partials(spec: StatSpec, in_period: Column | None, tag: str) -> list[Column]:
-    """Additive partial aggregates of one period (level 1)."""
+def _figures(spec: StatSpec, in_period: Column | None, prefix: str, counted: Column | None) -> list[Column]:
+    """Aggregates of one period; ``counted`` marks the rows that stand for a distinct value."""
     def gate(c: Column) -> Column:
         return c if in_period is None else F.when(in_period, c)
 
-    aggs = [F.count(gate(F.lit(1))).alias(f"{tag}__rows")]
-    seen = set()
-    for c in spec.avg.values():
-        if c in seen:
-            continue
-        seen.add(c)
-        aggs += [F.sum(gate(F.col(c))).alias(f"{tag}__s_{c}"),
-                 F.count(gate(F.col(c))).alias(f"{tag}__n_{c}")]
-    for n, d in spec.ratios.values():
-        for c in (n, d):
-            if f"r_{c}" in seen:
-                continue
-            seen.add(f"r_{c}")
-            aggs.append(F.sum(gate(F.col(c))).alias(f"{tag}__r_{c}"))
-    for name, cond in spec.flags.items():
-        aggs.append(F.sum(gate(F.when(cond, F.lit(1)).otherwise(F.lit(0)))).alias(f"{tag}__f_{name}"))
-    for name, c in spec.maxes.items():
-        aggs.append(F.max(gate(F.col(c))).alias(f"{tag}__m_{name}"))
-    return aggs
-
-
-def _finals(spec: StatSpec, tag: str, prefix: str, distinct_expr: Column | None) -> list[Column]:
-    """Level-2 aggregates combining the partials into the period's figures."""
-    rows = F.sum(f"{tag}__rows")
-    present = rows > 0
     out = []
-    if spec.distinct and distinct_expr is not None:
-        out.append(F.when(present, F.count(distinct_expr)).cast("bigint").alias(f"{prefix}{spec.distinct_name}"))
+    if spec.distinct:
+        games = F.count(gate(F.when(counted, F.lit(1))))
+        out.append(F.when(F.count(gate(F.lit(1))) > 0, games).cast("bigint").alias(f"{prefix}{spec.distinct_name}"))
     for name, c in spec.avg.items():
-        s, n = F.sum(f"{tag}__s_{c}"), F.sum(f"{tag}__n_{c}")
-        out.append((s.cast("double") / F.nullif(n, F.lit(0)).cast("double")).alias(f"{prefix}{name}"))
+        total, n = F.sum(gate(F.col(c))), F.count(gate(F.col(c)))
+        out.append((total.cast("double") / F.nullif(n, F.lit(0)).cast("double")).alias(f"{prefix}{name}"))
     for name, (num, den) in spec.ratios.items():
-        s_n, s_d = F.sum(f"{tag}__r_{num}"), F.sum(f"{tag}__r_{den}")
+        s_n, s_d = F.sum(gate(F.col(num))), F.sum(gate(F.col(den)))
         out.append((s_n.cast("double") / F.nullif(s_d, F.lit(0)).cast("double")).alias(f"{prefix}{name}"))
-    for name in spec.flags:
-        out.append(F.sum(f"{tag}__f_{name}").cast("bigint").alias(f"{prefix}{name}"))
-    for name in spec.maxes:
-        out.append(F.max(f"{tag}__m_{name}").alias(f"{prefix}{name}"))
+    for name, cond in spec.flags.items():
+        out.append(F.sum(gate(F.when(cond, F.lit(1)).otherwise(F.lit(0)))).cast("bigint").alias(f"{prefix}{name}"))
+    for name, c in spec.maxes.items():
+        out.append(F.max(gate(F.col(c))).alias(f"{prefix}{name}"))
     return out
 
 
@@ -101,21 +77,21 @@ def all_and_season_stats(df: DataFrame, key: str, spec: StatSpec, season_col: st
                          season_prefix: str = "season_") -> DataFrame:
     """All-time and (optionally) current-season figures per ``key`` in one pass.
 
-    Level 1 groups by (key, distinct column) so COUNT(DISTINCT) becomes a plain
-    count at level 2; both levels aggregate partially before their shuffle.
+    COUNT(DISTINCT) becomes a count of marked rows: of each (key, distinct value) the first row, those
+    of the season before the others. Rows are sorted for that, which spills, and need no shuffle where they
+    lie by the distinct column already (after a join on it); the only hash table is that of the keys.
     """
     in_season = (F.col(season_col) == F.lit(season)) if season_col else None
-    aggs = _partials(spec, None, "a")
-    if in_season is not None:
-        aggs += _partials(spec, in_season, "s")
-    group = [key] + ([spec.distinct] if spec.distinct else [])
-    level1 = df.groupBy(*group).agg(*aggs)
-    d = F.col(spec.distinct) if spec.distinct else None
-    finals = _finals(spec, "a", all_prefix, d)
+    counted = None
+    if spec.distinct:
+        order = in_season if in_season is not None else F.lit(True)
+        pair = Window.partitionBy(key, spec.distinct).orderBy(order.desc_nulls_last())
+        df = df.withColumn("__nth", F.row_number().over(pair))
+        counted = (F.col("__nth") == 1) & F.col(spec.distinct).isNotNull()
+    aggs = _figures(spec, None, all_prefix, counted)
     if in_season is not None:
-        d_season = F.when(F.col("s__rows") > 0, d) if d is not None else None
-        finals += _finals(spec, "s", season_prefix, d_season)
-    return level1.groupBy(key).agg(*finals)
+        aggs += _figures(spec, in_season, season_prefix, counted)
+    return df.groupBy(key).agg(*aggs) if aggs else df.select(key).distinct()
 
 
 def recent_stats(df: DataFrame, key: str, spec: StatSpec, order: Sequence[Column], n: int,
