@@ -38,18 +38,6 @@ class StatSpec:
     distinct_name: str = "total_games"
 
 
-def _base_columns(spec: StatSpec) -> dict[str, str]:
-    cols: dict[str, str] = {}
-    for c in spec.avg.values():
-        cols[c] = c
-    for n, d in spec.ratios.values():
-        cols[n] = n
-        cols[d] = d
-    for c in spec.maxes.values():
-        cols[c] = c
-    return cols
-
-
 def _figures(spec: StatSpec, in_period: Column | None, prefix: str, counted: Column | None) -> list[Column]:
     """Aggregates of one period; ``counted`` marks the rows that stand for a distinct value."""
     def gate(c: Column) -> Column:
