@@ -15,6 +15,13 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def key_text(*parts) -> Column:
+    """The text whose digest is the surrogate key: equal texts, equal keys, and fewer bytes to shuffle."""
+    if not parts:
+        raise ValueError("surrogate_key needs at least one part")
+    return F.concat_ws(SEPARATOR, *[F.coalesce(_col(p).cast("string"), F.lit(NULL_PART)) for p in parts])
+
+
 def surrogate_key(*parts) -> Column:
     """md5(part1 || '-' || part2 ...), each part cast to text, NULL -> NULL_PART.
 
@@ -22,7 +29,4 @@ def surrogate_key(*parts) -> Column:
     be integers, strings or dates: the text form of doubles and timestamps is
     engine-specific.
     """
-    if not parts:
-        raise ValueError("surrogate_key needs at least one part")
-    texts = [F.coalesce(_col(p).cast("string"), F.lit(NULL_PART)) for p in parts]
-    return F.md5(F.concat_ws(SEPARATOR, *texts))
+    return F.md5(key_text(*parts))

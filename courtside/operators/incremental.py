@@ -44,21 +44,23 @@ def dedup_batch(batch: DataFrame, key_cols: Sequence[str], order: Sequence[Colum
 
 
 def upsert(target: DataFrame | None, batch: DataFrame, key_cols: Sequence[str],
-           order: Sequence[Column] | None = None) -> DataFrame:
+           order: Sequence[Column] | None = None, deal: Sequence[str] = ()) -> DataFrame:
     """Rows of ``batch`` replace target rows with the same key; new keys are
     inserted; other target rows stay. NULL keys never match (as in MERGE).
 
     Re-applying the same batch gives the same table (idempotent), so a replayed
     micro-batch is harmless. A small batch is broadcast. For a batch that is large or costly to derive give an
     ``order``: both frames are then derived and shuffled once, by key, and sorted by key and ``order``, so
-    that a ``latest_per_key`` under the same order needs neither again.
+    that a ``latest_per_key`` under the same order needs neither again. ``deal`` names columns, made from the key
+    alone, to shuffle by instead of the whole key: rows that a later join brings together then lie together already.
     """
     if target is None:
         return batch
     keys = list(key_cols)
     if order is not None:
         both = target.withColumn("__new", F.lit(False)).unionByName(batch.select(*target.columns).withColumn("__new", F.lit(True)))
-        whole_key = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        both = both.repartition(*deal) if deal else both
+        whole_key = Window.partitionBy(*deal, *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         keyless = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
         both = both.withColumn("__replaced", F.max("__new").over(whole_key))
         return both.where(F.col("__new") | ~F.col("__replaced") | keyless).drop("__new", "__replaced")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courtside.functions.keys import surrogate_key
+from courtside.functions.keys import key_text
 from courtside.plans.feeds import FEEDS, FeedSpec
 from courtside.session import materialize
 from courtside.sources.landing import pack_json_arrays
@@ -122,14 +122,18 @@ def raw_rows(spark: SparkSession, root: str, feed: str, load: int) -> DataFrame:
                         F.lit(LOADED[load]).cast("timestamp_ntz").alias("inserted_at"))
 
 
-def bronze_frame(spark: SparkSession, root: str, feed: str, load: int) -> DataFrame:
-    """Bronze-shaped rows of one load without the way through JSON, for the jobs above bronze."""
+def bronze_frame(spark: SparkSession, root: str, feed: str, load: int, digest: bool = True) -> DataFrame:
+    """Bronze-shaped rows of one load without the way through JSON, for the jobs above bronze.
+
+    Without ``digest`` the key stays the text that its digest is made from.
+    """
     spec: FeedSpec = FEEDS[feed]
     kinds = {"int": "bigint", "float": "double", "string": "string", "timestamp_ntz": "timestamp_ntz"}
     rec = feed_records(spark, root, feed, load)
     field = lambda path: path.removeprefix("$.")
     parts = [F.to_date(F.col(field(p)).cast("timestamp_ntz")) if k == "date" else F.col(field(p)) for p, k in spec.key_parts]
     cols = [(F.col(field(p)) if field(p) in rec.columns else F.lit(None)).cast(kinds[t]).alias(c) for c, p, t in spec.columns]
-    return rec.select(surrogate_key(*parts).alias(spec.key_name), *cols, F.lit(source_file(feed, load)).alias("source_file"),
+    key = F.md5(key_text(*parts)) if digest else key_text(*parts)
+    return rec.select(key.alias(spec.key_name), *cols, F.lit(source_file(feed, load)).alias("source_file"),
                       F.lit(LOADED[load]).cast("timestamp_ntz").alias("loaded_at_utc"),
                       F.col("fetched_at").cast("timestamp_ntz").alias("api_fetched_at"))

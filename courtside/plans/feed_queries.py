@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from courtside.functions.keys import NULL_PART, SEPARATOR
 from courtside.operators.incremental import upsert
 from courtside.operators.star import enrich
 from courtside.plans import bindings as B
@@ -23,6 +24,7 @@ from courtside.sources.landing import load_files, read_landing, read_seed, recor
 from courtside.sources.tables import read_table
 
 SINCE, PREFIX = "1996-01-01", "002"
+DEAL = "__deal"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -41,10 +43,13 @@ def bronze_job(feed: str) -> Query:
     return run
 
 
-def bronze_table(spark: SparkSession, root: str, feed: str) -> DataFrame:
-    """The bronze table after both loads."""
-    return upsert(bronze_frame(spark, root, feed, 1), bronze_frame(spark, root, feed, 2), [FEEDS[feed].key_name],
-                  M.newest_fetched())
+def bronze_table(spark: SparkSession, root: str, feed: str, digest: bool = True, dealt: bool = False) -> DataFrame:
+    """The bronze table after both loads; ``dealt`` (of key texts) shuffles it by the part before the first separator."""
+    key = FEEDS[feed].key_name
+    loads = [bronze_frame(spark, root, feed, n, digest) for n in (1, 2)]
+    if dealt:
+        loads = [t.withColumn(DEAL, F.nullif(F.substring_index(key, SEPARATOR, 1), F.lit(NULL_PART))) for t in loads]
+    return upsert(*loads, [key], M.newest_fetched(), [DEAL] if dealt else [])
 
 
 def snapshot_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -63,13 +68,21 @@ def silver(spark: SparkSession, root: str, name: str) -> DataFrame:
              "silver_team_details": ("team_details_snapshot", M.silver_team_details)}
     if name in jobs:
         feed, job = jobs[name]
-        return job(bronze_table(spark, root, feed))
+        key = FEEDS[feed].key_name
+        return job(bronze_table(spark, root, feed, digest=False)).withColumn(key, F.md5(key))  # made after the shuffle
     snap, job = snaps[name]
     return job(snapshot_table(spark, root, snap))
 
 
 def fact_player_performances(spark: SparkSession, root: str) -> DataFrame:
-    return M.fact_player_performances(silver(spark, root, "silver_box_scores"), silver(spark, root, "silver_games"))
+    """M16 with one shuffle a frame: both are dealt by the text before the first separator of their keys.
+
+    Both keys begin with the game id, so that text is made from the key and from the game id alone: it parts
+    neither the rows of a key nor those that the join brings together. Without a game id it is NULL, as such rows match none.
+    """
+    box = M.silver_box_scores(bronze_table(spark, root, "box_scores", digest=False, dealt=True), [DEAL])
+    games = M.silver_games(bronze_table(spark, root, "games", digest=False, dealt=True), [DEAL])
+    return M.fact_player_performances(box, games, [DEAL])
 
 
 def fact_team_games(spark: SparkSession, root: str) -> DataFrame:

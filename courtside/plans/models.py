@@ -9,6 +9,7 @@ Silver / facts / dims / gold: full rebuilds from the layer below.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,22 +94,22 @@ def newest_fetched() -> list[Column]:
     return [F.col(c).desc_nulls_first() for c in ("api_fetched_at", "loaded_at_utc", "source_file")]
 
 
-def _latest_by_fetch(df: DataFrame, key: str) -> DataFrame:
-    return latest_per_key(df, [key], newest_fetched())
+def _latest_by_fetch(df: DataFrame, key: str, deal: Sequence[str] = ()) -> DataFrame:
+    return latest_per_key(df, [*deal, key], newest_fetched())
 
 
-def silver_box_scores(bronze_box: DataFrame) -> DataFrame:
-    """Newest row per box score, blank minutes -> '00:00' (P4)."""
-    latest = _latest_by_fetch(bronze_box, "box_score_id")
-    return latest.select(*[blank_default("minutes_played").alias(c) if c == "minutes_played" else F.col(c)
+def silver_box_scores(bronze_box: DataFrame, deal: Sequence[str] = ()) -> DataFrame:
+    """Newest row per box score, blank minutes -> '00:00' (P4). ``deal``: columns the rows lie by, see ``upsert``."""
+    latest = _latest_by_fetch(bronze_box, "box_score_id", deal)
+    return latest.select(*deal, *[blank_default("minutes_played").alias(c) if c == "minutes_played" else F.col(c)
                            for c in SILVER_BOX_COLS])
 
 
-def silver_games(bronze_games: DataFrame) -> DataFrame:
-    """Newest row per game_team_id."""
+def silver_games(bronze_games: DataFrame, deal: Sequence[str] = ()) -> DataFrame:
+    """Newest row per game_team_id. ``deal``: columns the rows lie by, see ``upsert``."""
     cols = ("game_date", "game_team_id", "game_id", "matchup", "season", "api_fetched_at", "team_id",
             "plus_minus", "pts", "wl")
-    return _latest_by_fetch(bronze_games, "game_team_id").select(*cols)
+    return _latest_by_fetch(bronze_games, "game_team_id", deal).select(*deal, *cols)
 
 
 def silver_teams(bronze_teams: DataFrame) -> DataFrame:
@@ -144,10 +145,19 @@ def silver_team_details(snap: DataFrame) -> DataFrame:
 
 # ---- facts and dimensions (M16-M19) -----------------------------------------------
 
-def fact_player_performances(box: DataFrame, games: DataFrame) -> DataFrame:
-    """Box score LEFT JOIN game on (game_id, team_id) + computed FG %."""
-    g = games.select("game_id", "team_id", "game_date", "season")
-    j = box.join(g, on=["game_id", "team_id"], how="left")
+def fact_player_performances(box: DataFrame, games: DataFrame, deal: Sequence[str] = ()) -> DataFrame:
+    """Box score LEFT JOIN game on (game_id, team_id) + computed FG %.
+
+    ``deal``: columns made from the game id alone that both frames lie by. They are then the join's only keys, so
+    that it needs no shuffle, and the two ids are compared as ranges inside them.
+    """
+    if deal:
+        g = games.select(*[F.col(c).alias(f"__g_{c}") for c in (*deal, "game_id", "team_id")], "game_date", "season")
+        same = [F.col(c) == F.col(f"__g_{c}") for c in deal]
+        same += [F.col(c).between(F.col(f"__g_{c}"), F.col(f"__g_{c}")) for c in ("game_id", "team_id")]
+        j = box.join(g, on=reduce(Column.__and__, same), how="left")
+    else:
+        j = box.join(games.select("game_id", "team_id", "game_date", "season"), on=["game_id", "team_id"], how="left")
     cols = [c for c in SILVER_BOX_COLS if c not in ("box_score_id", "jersey_number", "position", "api_fetched_at")]
     return j.select(surrogate_key("game_id", "player_id").alias("performance_pk"), *cols,
                     guarded_ratio("fg_made", "fg_attempted").alias("fg_pct_calc"), "game_date", "season")
