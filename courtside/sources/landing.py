@@ -112,10 +112,12 @@ def planned(df: DataFrame, date_col: str, file_rows: int) -> DataFrame:
             filled, dates = filled + r["count"], dates + 1
     if not starts:
         return df
-    plan = F.create_map(*[F.lit(x) for d, (at, parts) in starts.items() for x in (d, at)])
-    width = F.create_map(*[F.lit(x) for d, (at, parts) in starts.items() for x in (d, parts)])
-    spread = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in df.columns]), F.element_at(width, day))
-    return df.repartitionById(tasks + 1, (F.element_at(plan, day) + spread).cast("int"))
+    # Joined, as a map of all dates would be searched from its start for every row.
+    places = F.create_map(*[x for d, (at, n) in starts.items() for x in (F.lit(d), F.struct(F.lit(at).alias("at"), F.lit(n).alias("n")))])
+    plan = df.sparkSession.range(1).select(F.explode(places).alias("__day", "__place"))
+    spread = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in df.columns]), F.col("__place.n"))
+    dealt = df.join(F.broadcast(plan), day == F.col("__day")).withColumn("__task", (F.col("__place.at") + spread).cast("int"))
+    return dealt.repartitionById(tasks + 1, F.col("__task")).select(*df.columns)
 
 
 def parse_outer(text: Column) -> Column:
