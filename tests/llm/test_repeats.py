@@ -146,3 +146,19 @@ def test_null_ids_and_empty_tables(spark):
     assert sorted(r["n_removed"] for r in remove_repeated_words(docs).collect()) == [0, 160, 160]
     assert sorted(r["n_removed"] for r in remove_repeated_bytes(docs).collect()) == [len(text)] * 3
     assert remove_repeated_words(docs.limit(0)).count() == remove_repeated_bytes(docs.limit(0)).count() == 0
+
+
+def test_a_large_anchor_table_is_tested_by_bits_before_the_shuffle(spark, monkeypatch):
+    """pipeline: suffix_dedup shuffled every segment once the table of shared anchors passed BROADCAST_BYTES."""
+    from courtside.llm import repeats
+
+    segs = spark.range(-500, 500).selectExpr("id doc", "id * 70460292543863 a", "xxhash64(id) s").union(
+        spark.range(-500, 500).selectExpr("id doc", "xxhash64(id) a", "id s"))
+    shared = segs.where("doc % 10 = 0").select("a").distinct()
+    want = sorted(map(tuple, segs.join(shared, ["a"]).select(segs.columns).collect()))
+    for limit, words in ((1 << 20, 1 << 19), (0, 1 << 19), (0, 4)):  # broadcast; bits; bits that are nearly all set
+        monkeypatch.setattr(repeats, "BROADCAST_BYTES", limit)
+        monkeypatch.setattr(repeats, "FILTER_WORDS", words)
+        out = repeats.sharing(segs, shared)
+        assert sorted(map(tuple, out.select(segs.columns).collect())) == want
+        assert ("bit_or" in out._jdf.queryExecution().optimizedPlan().toString()) == (limit == 0)
