@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from courtside.llm.common import row_key, stored, tidied, utf8
@@ -71,9 +71,8 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, carr
 
 
 def _bits(lo: int, hi: int) -> int:
-    """Signed 64-bit mask of bits lo to hi - 1."""
-    mask = (1 << hi) - (1 << lo)
-    return mask - (1 << 64) if mask >> 63 else mask
+    """Mask of bits lo to hi - 1."""
+    return (1 << hi) - (1 << lo)
 
 
 def _cuts(parts: int) -> list[tuple[int, int]]:
@@ -81,21 +80,25 @@ def _cuts(parts: int) -> list[tuple[int, int]]:
     return list(zip(edges, edges[1:]))
 
 
-def variant_keys(fp: Column, max_bits: int) -> Column:
-    """Array of the 64 keys: one segment without one of its bits, and the place of that bit."""
-    out = []
-    for lo, hi in _cuts(max_bits // 2 + 1):
-        for bit in range(lo, hi):
-            kept = F.shiftrightunsigned(fp.bitwiseAND(F.lit(_bits(lo, hi) & ~(1 << bit) if bit < 63 else _bits(lo, 63))), lo)
-            out.append(F.xxhash64(kept, F.lit(bit)))
-    return F.array(*out)
+def variant_masks(max_bits: int) -> list[int]:
+    """64 masks: one segment without one of its bits."""
+    return [_bits(lo, hi) & ~(1 << bit) for lo, hi in _cuts(max_bits // 2 + 1) for bit in range(lo, hi)]
 
 
-def agreeing_keys(bucket: Column, fp: Column, max_bits: int, agree: int) -> Column:
-    """Keys that split ``bucket`` (NULL: no bucket) exactly: of ``max_bits`` + ``agree`` blocks linked ones agree in ``agree``."""
-    cuts = _cuts(max_bits + agree)
-    return F.array(*[F.xxhash64(bucket, F.lit(i), fp.bitwiseAND(F.lit(sum(_bits(lo, hi) for lo, hi in chosen))))
-                     for i, chosen in enumerate(combinations(cuts, agree))])
+def agreeing_masks(max_bits: int, agree: int) -> list[int]:
+    """Masks that split a bucket exactly: of ``max_bits`` + ``agree`` blocks linked fingerprints agree in ``agree``."""
+    return [sum(_bits(lo, hi) for lo, hi in chosen) for chosen in combinations(_cuts(max_bits + agree), agree)]
+
+
+def keyed(fps: DataFrame, masks: list[int], bucket: tuple[str, ...] = ()) -> DataFrame:
+    """(key, fp) of every row and mask: equal keys if ``bucket``, the mask and the bits under it are equal.
+
+    The masks are one constant array and the key is one expression. An expression for each mask makes generated code
+    that grows with their number (495 for AGREE), and compiling it takes an executor's memory beside the heap.
+    """
+    signed = [F.lit(m - (1 << 64) if m >> 63 else m).cast("bigint") for m in masks]
+    each = fps.select("fp", *bucket, F.explode(F.array(*signed)).alias("mask"))
+    return each.select(F.xxhash64(*bucket, F.col("fp").bitwiseAND(F.col("mask")), "mask").alias("key"), "fp")
 
 
 def _links(key: np.ndarray, fp: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,8 +179,8 @@ def _whole(key: np.ndarray, fp: np.ndarray, max_bits: int, max_bucket: int | Non
 def fingerprint_links(fps: DataFrame, max_bits: int, max_bucket: int = 4000) -> DataFrame:
     """Different fingerprints (fp) -> links (a, b) that connect all within ``max_bits`` of each other."""
     schema = "a bigint, b bigint, open boolean"
-    keyed = fps.select(F.explode(variant_keys(F.col("fp"), max_bits)).alias("key"), "fp")
-    found = keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(tidied(_scan(max_bits, max_bucket)), schema)
+    keys = keyed(fps, variant_masks(max_bits))
+    found = keys.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(tidied(_scan(max_bits, max_bucket)), schema)
     found = stored(found, "fingerprint-links")
     links = found.where("NOT open").select("a", "b")
     # A link inside an open bucket has both its ends among the open rows, so each split covers all that is left.
@@ -185,9 +188,8 @@ def fingerprint_links(fps: DataFrame, max_bits: int, max_bucket: int = 4000) ->
         left = found.where("open")
         if left.isEmpty():
             break
-        left = left.select(F.when(F.lit(agree == 1), F.col("a")).alias("a"), F.col("b").alias("fp"))
-        keys = agreeing_keys(F.col("a"), F.col("fp"), max_bits, agree)
-        split = left.distinct().select(F.explode(keys).alias("key"), "fp")
+        bucket = ("a",) if agree == 1 else ()
+        split = keyed(left.select(*bucket, F.col("b").alias("fp")).distinct(), agreeing_masks(max_bits, agree), bucket)
         found = split.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(tidied(_scan(max_bits, bound)), schema)
         found = stored(found, "fingerprint-links")
         links = links.unionByName(found.where("NOT open").select("a", "b"))

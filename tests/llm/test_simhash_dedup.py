@@ -8,7 +8,8 @@ import pytest
 import xxhash
 
 from courtside.llm.components import connected_components
-from courtside.llm.simhash_dedup import fingerprint, fingerprint_links, simhash_components
+from courtside.llm.simhash_dedup import (
+    AGREE, agreeing_masks, fingerprint, fingerprint_links, keyed, simhash_components, variant_masks)
 
 
 def brute_fingerprint(text, shingle=4):
@@ -71,6 +72,16 @@ def test_links_connect_exactly(spark, bits, max_bucket):
     assert got == want
 
 
+def test_keys_are_one_expression_however_many_masks(spark):
+    fps = spark.createDataFrame([(-1, 5), (0, 5), (1, None)], "fp bigint, a bigint")
+    for masks, bucket, n in ((variant_masks(4), (), 64), (agreeing_masks(4, 1), ("a",), 5), (agreeing_masks(4, AGREE), (), 495)):
+        assert len(set(masks)) == n
+        keys = keyed(fps, masks, bucket)
+        assert keys.count() == 3 * n and keys._jdf.queryExecution().optimizedPlan().toString().count("xxhash64(") == 1
+        same = keys.groupBy("key").count().where("count > 1").count()  # 0 and 1 agree where the lowest bit is masked
+        assert same == (0 if bucket else sum(not m & 1 for m in masks))
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(70)] + [(200, i) for i in range(201, 260)] + [(300, 300), (401, 400), (400, 401)]
     random.Random(1).shuffle(edges)
