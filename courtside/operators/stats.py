@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from courtside.operators.dedup import recent_n
+from courtside.session import materialize
 
 
 @dataclass(frozen=True)
@@ -104,7 +105,10 @@ def recent_stats(df: DataFrame, key: str, spec: StatSpec, order: Sequence[Column
 def period_stats(df: DataFrame, key: str, spec: StatSpec, season_col: str, season: str,
                  order: Sequence[Column], n: int, recent_spec: StatSpec | None = None,
                  prefixes: tuple[str, str, str] = ("all_", "season_", "recent_")) -> DataFrame:
-    """All-time, current-season and last-``n`` figures, one row per entity with rows."""
+    """All-time, current-season and last-``n`` figures, one row per entity with rows.
+
+    Stored, so that the rows of the facts are sorted in tasks of bounded size.
+    """
     a = all_and_season_stats(df, key, spec, season_col, season, prefixes[0], prefixes[1])
     r = recent_stats(df, key, recent_spec or spec, order, n, prefixes[2])
-    return a.join(r, on=key, how="full")
+    return materialize(a.join(r, on=key, how="full"))

@@ -23,6 +23,7 @@ from courtside.operators.scd2 import current_versions, snapshot_check
 from courtside.operators.star import enrich, fill_orphans, orphan_keys, placeholder_defaults, resolve_counterpart
 from courtside.plans.feeds import FeedSpec
 from courtside.plans.marts import PLAYER_BASIC, TEAM_BASIC, player_mart, team_mart
+from courtside.session import materialize
 from courtside.sources.landing import records
 
 META = ("source_file", "loaded_at_utc", "api_fetched_at")
@@ -185,7 +186,9 @@ def dim_players(player_details: DataFrame, facts: DataFrame, now: Column, retire
         "weight_lbs", "jersey_number", "position", "team_id", "draft_year", "draft_round", "draft_number",
         "career_from_year", "career_to_year", status_bucket("career_to_year", retired_before).alias("player_status"),
         F.col("last_updated_at").alias("data_freshness_at"))
-    orphans = orphan_keys(facts, base, "player_id")
+    # Stored: only the keys are wanted, and the facts behind them are settled in tasks of bounded size.
+    keys = materialize(facts.select("player_id").distinct())
+    orphans = orphan_keys(keys, base, "player_id")
     defaults = placeholder_defaults("player_id", "Unknown Player (", now, "full_name", ["country", "position"],
                                     status_col="player_status", freshness_col="data_freshness_at")
     defaults["player_pk"] = surrogate_key("player_id")
