@@ -162,3 +162,24 @@ def test_a_large_anchor_table_is_tested_by_bits_before_the_shuffle(spark, monkey
         out = repeats.sharing(segs, shared)
         assert sorted(map(tuple, out.select(segs.columns).collect())) == want
         assert ("bit_or" in out._jdf.queryExecution().optimizedPlan().toString()) == (limit == 0)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_rows_without_a_partner_are_told_before_the_shuffle(spark, monkeypatch, how):
+    """pipeline: suffix_dedup shuffled every text for the joins with the pieces asked of them and with their ranges."""
+    from pyspark.sql import functions as F
+
+    from courtside.llm import repeats
+
+    docs = spark.range(-300, 300).selectExpr("id % 200 doc", "xxhash64(id) rk", "cast(id as string) text")
+    docs = docs.union(docs.where("doc = 7")).union(spark.sql("SELECT NULL, 5L, 'none'"))
+    small = docs.where("doc % 10 = 0 OR doc IS NULL").select("doc", "rk", F.array("rk").alias("q")).distinct()
+    want = sorted(map(repr, map(tuple, docs.join(small, ["doc", "rk"], how).collect())))
+    monkeypatch.setattr(repeats, "BROADCAST_BYTES", 0)
+    for words in (1 << 19, 4):  # few false hits; bits that are nearly all set
+        monkeypatch.setattr(repeats, "FILTER_WORDS", words)
+        out = repeats.join_small(docs, small, ["doc", "rk"], how, F.lit(100), repeats._text_hash())
+        assert out.columns == ["doc", "rk", "text", "q"] and sorted(map(repr, map(tuple, out.collect()))) == want
+    monkeypatch.setattr(repeats, "FILTER_WORDS", 1 << 19)
+    sent = repeats.likely(docs, small, repeats._text_hash()).where("__likely")
+    assert sent.count() == docs.where("doc % 10 = 0 OR doc IS NULL").count()
