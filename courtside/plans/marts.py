@@ -59,8 +59,9 @@ def player_mart(dim_players: DataFrame, fact: DataFrame, season: str, recent_ord
               "current_season_avg_reb": "season_reb_rank"}
     ranks = rank_measures(mart.select("__row", *values), values, "__row")
     stat_cols = [c for c in stats.columns if c != key]
-    return mart.join(ranks.drop(*values), on="__row").select(
-        *basic_cols, "season_pts_rank", "season_ast_rank", "season_reb_rank", *stat_cols)
+    # Stored, so that the ranks too are taken in tasks of bounded size.
+    return materialize(mart.join(ranks.drop(*values), on="__row").select(
+        *basic_cols, "season_pts_rank", "season_ast_rank", "season_reb_rank", *stat_cols))
 
 
 TEAM_BASIC = ("team_id", "team_name", "abbreviation", "nickname", "city", "state", "year_founded", "arena_name",
