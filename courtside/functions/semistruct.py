@@ -44,8 +44,7 @@ def typed_path(variant: Column, path: str, type_name: str, tolerant: bool = Fals
     get = F.try_variant_get if tolerant else F.variant_get
     t = type_name.lower()
     if t in _INTEGRAL:
-        # Round half away from zero first: 7.6 -> 8 as in the warehouse cast.
-        return F.round(get(variant, path, "decimal(38,9)"), 0).cast("bigint")
+        return whole_number(get(variant, path, "decimal(38,9)"), t)
     if t in ("float", "double"):
         return get(variant, path, "double")
     if t in ("string", "text", "varchar"):
@@ -57,6 +56,25 @@ def typed_path(variant: Column, path: str, type_name: str, tolerant: bool = Fals
     return get(variant, path, type_name)
 
 
+def whole_number(value: Column, type_name: str) -> Column:
+    """A decimal rounded half away from zero (7.6 -> 8, as in the warehouse cast) if the type is integral; others as they are."""
+    return F.round(value, 0).cast("bigint") if type_name.lower() in _INTEGRAL else value
+
+
+def typed_fields(variant: Column, paths: dict[str, str], tolerant: bool = False) -> Column:
+    """V2/V3 for many fields of an object in one pass: a struct of the values at ``paths`` ("$.name" -> type).
+
+    Each field is what ``typed_path`` gives, but for integral types, which ``whole_number`` still has to round. NULL for
+    anything that is no object.
+    """
+    get = F.try_variant_get if tolerant else F.variant_get
+    kinds = {"float": "double", "text": "string", "varchar": "string", "timestamp": "timestamp_ntz"}
+    kind = lambda t: "decimal(38,9)" if t in _INTEGRAL else kinds.get(t, t)
+    fields = ", ".join(f"`{p.removeprefix('$.')}`: {kind(t.lower())}" for p, t in paths.items())
+    is_object = F.try_variant_get(variant, "$", "struct<`$`: string>").isNotNull()
+    return F.when(is_object, get(variant, "$", f"struct<{fields}>"))
+
+
 def extract(df: DataFrame, variant_col: str, spec: Sequence[tuple[str, str, str]],
             keep: Sequence[str] = (), tolerant: bool = False) -> DataFrame:
     """Project ``(name, json_path, type)`` entries out of ``variant_col``."""

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from courtside.functions.keys import surrogate_key
 from courtside.functions.scalars import blank_default, guarded_ratio, status_bucket
-from courtside.functions.semistruct import typed_path
+from courtside.functions.semistruct import typed_fields, typed_path, whole_number
 from courtside.operators.dedup import latest_per_key
 from courtside.operators.incremental import new_rows, upsert
 from courtside.operators.scd2 import current_versions, snapshot_check
@@ -40,12 +40,16 @@ def _key_part(v: Column, path: str, kind: str) -> Column:
 
 def bronze_rows(raw: DataFrame, spec: FeedSpec, tolerant: bool = False) -> DataFrame:
     """Flatten RAW rows of one feed and type them."""
-    rec = records(raw, value="rec")
-    v = F.col("rec")
-    key = surrogate_key(*[_key_part(v, p, k) for p, k in spec.key_parts]).alias(spec.key_name)
-    cols = [typed_path(v, path, t, tolerant).alias(name) for name, path, t in spec.columns]
+    v, s = F.col("rec"), F.col("__fields")
+    paths = {path: t for _, path, t in spec.columns} | {"$.fetched_at": "timestamp_ntz"}
+    rec = records(raw, value="rec").withColumn("__fields", typed_fields(v, paths, tolerant))
+    field = lambda path: s[path.removeprefix("$.")]
+    # A text is a text for every type of value, so a column of texts serves the key as well.
+    part = lambda p, k: field(p) if k == "text" and paths.get(p) == "string" else _key_part(v, p, k)
+    key = surrogate_key(*[part(p, k) for p, k in spec.key_parts]).alias(spec.key_name)
+    cols = [whole_number(field(path), t).alias(name) for name, path, t in spec.columns]
     meta = [F.col("file_name").alias("source_file"), F.col("inserted_at").alias("loaded_at_utc"),
-            typed_path(v, "$.fetched_at", "timestamp_ntz", tolerant).alias("api_fetched_at")]
+            field("$.fetched_at").alias("api_fetched_at")]
     return rec.select(key, *cols, *meta)
 
 
