@@ -45,17 +45,6 @@ def logical_date(run_ts: str) -> str:
     return (dt.datetime.fromisoformat(run_ts).date() - dt.timedelta(days=1)).strftime("%Y%m%d")
 
 
-def _per_date(df: DataFrame, date_col: str, of_count: Column) -> Column:
-    """A value made from the row count ``n`` of each row's date, looked up in one map (as many entries as dates).
-
-    A map in place of a join: a NULL date finds its entry, and a constant one plans no cross join.
-    """
-    name = lambda c: F.coalesce(c.cast("string"), F.lit(NULL_DATE))
-    counts = df.groupBy(name(F.col(date_col)).alias("d")).agg(F.count("*").alias("n"))
-    entries = counts.agg(F.map_from_entries(F.collect_list(F.struct("d", of_count.alias("x")))).alias("m"))
-    return F.element_at(entries.select("m").scalar(), name(F.col(date_col)))
-
-
 def pack_json_arrays(df: DataFrame, date_col: str, feed: str, max_records: int = 10_000) -> DataFrame:
     """S8 in memory: one JSON array text per (date, chunk) of ~max_records objects.
 
@@ -65,10 +54,13 @@ def pack_json_arrays(df: DataFrame, date_col: str, feed: str, max_records: int =
     read for the counts and for the texts: store it first if it is costly to derive.
     """
     payload = [c for c in df.columns if c != date_col]
-    chunks = _per_date(df, date_col, F.ceil(F.col("n") / max_records))
-    chunk = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in payload]), chunks)
-    grouped = (df.withColumn("__chunk", chunk).groupBy(date_col, "__chunk")
-                 .agg(F.to_json(F.collect_list(F.struct(*payload))).alias("raw_text")))
+    day = F.coalesce(F.col(date_col).cast("string"), F.lit(NULL_DATE))  # a NULL date finds its row too
+    counts = df.groupBy(day.alias("__day")).agg(F.ceil(F.count("*") / max_records).alias("__chunks"))
+    # Joined, as a map of all dates would be searched from its start for every row.
+    dealt = df.join(F.broadcast(counts), day == F.col("__day"))
+    chunk = F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in payload]), F.col("__chunks"))
+    dealt = dealt.select(*df.columns, chunk.alias("__chunk")).repartition(date_col, "__chunk")  # else each task sorts and packs parts of all
+    grouped = dealt.groupBy(date_col, "__chunk").agg(F.to_json(F.collect_list(F.struct(*payload))).alias("raw_text"))
     name = F.concat(F.lit(f"source/{feed}/date="), F.coalesce(F.col(date_col).cast("string"), F.lit(NULL_DATE)),
                     F.lit(f"/{feed}-"), F.col("__chunk").cast("string"), F.lit(".json"))
     return grouped.select(F.col(date_col), name.alias("file_name"), "raw_text")
