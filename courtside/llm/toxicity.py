@@ -40,7 +40,7 @@ from courtside.llm.term_search import terms
 
 DISCOUNT = 0.75
 _PAIRS = pa.schema([("prev", pa.binary()), ("word", pa.binary()), ("c0", pa.int64()), ("c1", pa.int64())])
-PAIRS_HELD = 1 << 19
+PAIRS_HELD = 1 << 16  # pairs that a task counts before it hands them on, about 300 bytes each
 
 
 @dataclass

@@ -97,3 +97,13 @@ def test_one_class_or_none(spark):
     for rows, share in (([], 0.0), ([(1, 1)], 1.0), ([(1, 0), (2, 0)], 0.0)):
         labels = spark.createDataFrame(rows, "doc_id bigint, toxic int")
         assert {r["score"] for r in score(docs, fit(docs, labels, F.lit(True))).collect()} == {share}
+
+
+def test_few_pairs_are_held_at_once(spark, monkeypatch):
+    """Round 3, op13: a worker's counts stay small beside an executor's heap, and passing them on early changes no count."""
+    assert toxicity.PAIRS_HELD * 300 <= 20 << 20  # bytes a pair
+    texts = [(i % 2, f"w{i % 7} w{i % 5} w{i % 3} w{i}") for i in range(60)]
+    frame = spark.createDataFrame(texts, "toxic int, text string").coalesce(1)
+    whole = sorted(map(tuple, toxicity._count_pairs(frame).collect()))
+    monkeypatch.setattr(toxicity, "PAIRS_HELD", 3)
+    assert sorted(map(tuple, toxicity._count_pairs(frame).collect())) == whole
