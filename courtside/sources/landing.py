@@ -54,7 +54,9 @@ def pack_json_arrays(df: DataFrame, date_col: str, feed: str, max_records: int =
     read for the counts and for the texts: store it first if it is costly to derive.
     """
     payload = [c for c in df.columns if c != date_col]
-    day = F.coalesce(F.col(date_col).cast("string"), F.lit(NULL_DATE))  # a NULL date finds its row too
+    # A NULL date finds its row too; with nothing of another column added, a constant one is still joined as a key, not crossed.
+    nothing = F.left(F.coalesce(F.col(payload[0]).cast("string"), F.lit("")), F.lit(0))
+    day = F.concat(F.coalesce(F.col(date_col).cast("string"), F.lit(NULL_DATE)), nothing)
     counts = df.groupBy(day.alias("__day")).agg(F.ceil(F.count("*") / max_records).alias("__chunks"))
     # Joined, as a map of all dates would be searched from its start for every row.
     dealt = df.join(F.broadcast(counts), day == F.col("__day"))
