@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from courtside.functions.semistruct import flatten
-from courtside.session import materialize, shuffles_dropped
+from courtside.session import materialize, shuffles_dropped, unshredded
 
 TASK_DATES = 50
 ZIPPED_ROWS = 200_000
@@ -207,7 +207,7 @@ def rejects(raw: DataFrame) -> DataFrame:
 
 def append_raw(raw: DataFrame, path: str) -> None:
     """A (forced) load appends its rows to the RAW table; duplicates are removed downstream."""
-    with shuffles_dropped(raw.sparkSession):
+    with shuffles_dropped(raw.sparkSession), unshredded(raw.sparkSession):
         raw.write.mode("append").parquet(path)
 
 

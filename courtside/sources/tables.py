@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courtside.operators.incremental import upsert
-from courtside.session import materialize, shuffles_dropped
+from courtside.session import materialize, shuffles_dropped, small_tasks
+
+FILE_BYTES = 64 << 20  # of shuffled rows for one task of a bucketed table, whose files are a share of it
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -74,8 +76,8 @@ class VersionedTable:
 class BucketedTable:
     """One row per key, in folders by a hash of the key (I3): an upsert reads and rewrites the folders of its batch only.
 
-    The bucket numbers of a batch (at most ``buckets``) become a partition filter on the table, and Spark's dynamic
-    partition overwrite replaces those folders. The new content of the folders is first written aside as a whole:
+    The bucket numbers of a batch (at most ``buckets``) become a partition filter on the table, and those folders are
+    replaced. The new content of the folders is first written aside as a whole:
     a run that stops while folders are replaced is finished by the next one, so no row is lost and the watermark of
     the table never runs ahead of its rows. Choose ``buckets`` so that one fits a task; ``bucket_by`` (part of the key) keeps
     rows that change together in one folder.
@@ -106,28 +108,39 @@ class BucketedTable:
         """Rows of ``batch`` (one per key) replace those with the same key or are added; returns the buckets written."""
         self._replace()
         bucket = F.pmod(F.xxhash64(*self.bucket_by), F.lit(self.buckets)).cast("int")
-        batch = materialize(batch.withColumn("key_bucket", bucket))
-        touched = sorted(r[0] for r in batch.select("key_bucket").distinct().collect())
-        if not touched and self.exists():
-            return []
-        target = None
+        merged = batch.withColumn("key_bucket", bucket)  # the first rows are written where they lie, each task to all folders
         if self.exists():
+            batch = materialize(merged)
+            touched = [r[0] for r in batch.select("key_bucket").distinct().collect()]
+            if not touched:
+                return []
             target = self.spark.read.parquet(self.path).where(F.col("key_bucket").isin(touched))
-        merged = upsert(target, batch, [*self.keys, "key_bucket"]).repartition("key_bucket")
-        with shuffles_dropped(self.spark):
+            # Rebalanced: a bucket is written by as many tasks as its bytes ask for.
+            merged = upsert(target, batch, [*self.keys, "key_bucket"]).hint("rebalance", "key_bucket")
+        with shuffles_dropped(self.spark), small_tasks(merged, FILE_BYTES):
             merged.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("key_bucket").parquet(self.aside)
+        written = sorted(int(p.getName().removeprefix("key_bucket=")) for p in self._folders(self.aside))
         self._replace()
-        return touched
+        return written
+
+    def _folders(self, path: str) -> list:
+        fs, p = self._fs(path)
+        return [s.getPath() for s in fs.listStatus(p) if s.isDirectory() and s.getPath().getName().startswith("key_bucket=")]
 
     def _replace(self) -> None:
-        """Put the folders written aside in their place; a no-op unless they are complete."""
+        """Move the folders written aside to their place; a no-op unless they are complete.
+
+        A folder leaves the place aside only as it arrives, so that what a stop leaves undone is done by the next call.
+        """
         if self._has(f"{self.aside}/_SUCCESS"):
-            rows = self.spark.read.parquet(self.aside)
-            out = rows.repartition("key_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            with shuffles_dropped(self.spark):
-                out.partitionBy("key_bucket").parquet(self.path)
-            fs, p = self._fs(self.aside)
-            fs.delete(p, True)
+            fs, aside = self._fs(self.aside)
+            for folder in self._folders(self.aside):
+                _, place = self._fs(f"{self.path}/{folder.getName()}")
+                fs.mkdirs(place.getParent())
+                fs.delete(place, True)
+                if not fs.rename(folder, place):
+                    raise OSError(f"{folder} could not be moved to {place}")
+            fs.delete(aside, True)
 
 
 class HistoryTable(VersionedTable):
